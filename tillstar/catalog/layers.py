@@ -42,17 +42,22 @@ class Layers:
         return self.spark.read.parquet(_written[key])
 
     def raw(self) -> DataFrame:
+        """The feed as derived from the driver tables."""
         return raw_orders(self.spark, self.sf_dir)
 
     def feed_location(self) -> str:
-        """The feed as CSV files, the form in which orders arrive."""
         return self._location("raw_feed", lambda path: write_feed(self.raw(), path))
 
     def feed(self) -> DataFrame:
+        """The feed as CSV files, the form in which orders arrive and the ETL reads them.
+
+        The ETL must see plain columns: Catalyst pushes its filters below the typing and would copy the
+        whole derivation of each column into every predicate.
+        """
         return read_feed(self.spark, self.feed_location())
 
     def staged_location(self) -> str:
-        return self._location("staged_orders", lambda path: write_staged(orders_etl.staged_orders(self.raw()), path))
+        return self._location("staged_orders", lambda path: write_staged(orders_etl.staged_orders(self.feed()), path))
 
     def staged(self) -> DataFrame:
         return read_staged(self.spark, self.staged_location())

@@ -10,7 +10,7 @@ AS_OF = "DATE '2001-10-01'"
 def _ratio(num: str, den: str, digits: int) -> str:
     """Round half away from zero on whole numbers."""
     unit = 10**digits
-    size = f"((2 * abs(cast({num} AS HUGEINT)) * {unit} + cast({den} AS HUGEINT)) // (2 * nullif(cast({den} AS HUGEINT), 0)))"
+    size = f"((2 * abs(cast({num} AS HUGEINT)) * {unit} + cast(({den}) AS HUGEINT)) // (2 * nullif(cast(({den}) AS HUGEINT), 0)))"
     return f"(CASE WHEN ({num}) < 0 THEN -1.0 ELSE 1.0 END * cast({size} AS DOUBLE) / {unit}.0)"
 
 
@@ -80,7 +80,7 @@ SELECT product_id, product_category category FROM (
 def _customers(stg: str, as_of: str) -> str:
     return f"""
 SELECT md5(customer_id) customer_key, customer_id, country_code, first_order_date, last_order_date, total_orders,
-  cast(spend AS DOUBLE) / 100.0 total_spend, {_ratio('spend', 'n', 2)} avg_order_value, distinct_categories,
+  cast(spend AS DOUBLE) / 100.0 total_spend, {_ratio('spend', '100 * n', 2)} avg_order_value, distinct_categories,
   cast(datediff('day', last_order_date, {as_of}) AS INTEGER) days_since_last_order,
   CASE WHEN spend >= 1000000 AND total_orders >= 20 THEN 'platinum' WHEN spend >= 500000 AND total_orders >= 10 THEN 'gold'
     WHEN spend >= 100000 AND total_orders >= 3 THEN 'silver' ELSE 'bronze' END customer_segment,
@@ -350,7 +350,7 @@ SELECT CASE WHEN {any_bad} THEN 'rows_errors' ELSE 'rows_loaded' END AS outcome,
         "load_check": _on("staged", "SELECT count(*) AS row_count, true AS has_load_time FROM staged"),
         "load_verification": _on("staged", f"""
 SELECT total_orders, unique_customers, unique_products, earliest_order, latest_order,
-  {_ratio('cents', '100000000', 2)} AS total_revenue_m, {_ratio('cents', 'n', 2)} AS avg_order_value
+  {_ratio('cents', '100000000', 2)} AS total_revenue_m, {_ratio('cents', '100 * n', 2)} AS avg_order_value
 FROM (SELECT count(*) total_orders, count(DISTINCT customer_id) unique_customers, count(DISTINCT product_id) unique_products,
   min(order_date) earliest_order, max(order_date) latest_order, {totals} FROM staged)"""),
         "load_profile": _on("staged", f"""
@@ -379,7 +379,7 @@ SELECT c.country_code, cast({_cents('f.net_amount')} AS DOUBLE) / 100.0 AS reven
 FROM fct f JOIN cust c ON f.customer_id = c.customer_id GROUP BY c.country_code
 ORDER BY revenue DESC NULLS FIRST, c.country_code NULLS FIRST LIMIT 10"""),
         "channel_performance": _on("fct", f"""
-SELECT channel, orders, cast(cents AS DOUBLE) / 100.0 AS revenue, {_ratio('cents', 'n', 2)} AS average_order_value,
+SELECT channel, orders, cast(cents AS DOUBLE) / 100.0 AS revenue, {_ratio('cents', '100 * n', 2)} AS average_order_value,
   {_ratio('ship_days', 'shipped', 1)} AS avg_ship_days
 FROM (SELECT sales_channel channel, count(DISTINCT order_id) orders, {totals}, sum(days_to_ship) ship_days, count(days_to_ship) shipped
   FROM fct GROUP BY 1) ORDER BY revenue DESC"""),

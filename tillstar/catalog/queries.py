@@ -56,7 +56,7 @@ def csv_feed_scan(layers):
 
 @query
 def typed_orders(layers):
-    return orders_etl.typed_orders(layers.raw())
+    return orders_etl.typed_orders(layers.feed())
 
 
 @query
@@ -76,12 +76,12 @@ def deduped_orders(layers):
 
 @query
 def staged_orders(layers):
-    return orders_etl.staged_orders(layers.raw())
+    return orders_etl.staged_orders(layers.feed())
 
 
 @query
 def etl_funnel(layers):
-    return orders_etl.etl_funnel(layers.raw())
+    return orders_etl.etl_funnel(layers.feed())
 
 
 @query
@@ -92,7 +92,7 @@ def staged_roundtrip(layers):
 @query
 def noisy_feed(layers):
     identity = F.concat_ws("|", *RAW_COLUMNS)
-    return synthetic_feed.with_noise(layers.raw(), identity)
+    return synthetic_feed.with_noise(layers.feed(), identity)
 
 
 # --- loads -----------------------------------------------------------------------------------------
@@ -100,17 +100,17 @@ def noisy_feed(layers):
 
 @query
 def copy_into_good(layers):
-    return bulk_load.accepted_rows(bulk_load.classify(layers.raw(), TYPED_FEED), TYPED_FEED)
+    return bulk_load.accepted_rows(bulk_load.classify(layers.feed(), TYPED_FEED), TYPED_FEED)
 
 
 @query
 def copy_into_errors(layers):
-    return bulk_load.rejected_rows(bulk_load.classify(layers.raw(), TYPED_FEED))
+    return bulk_load.rejected_rows(bulk_load.classify(layers.feed(), TYPED_FEED))
 
 
 @query
 def copy_into_counts(layers):
-    done = bulk_load.copy_into(layers.raw(), TYPED_FEED, "orders_copy")
+    done = bulk_load.copy_into(layers.feed(), TYPED_FEED, "orders_copy")
     outcome = F.when(F.col(bulk_load.OUTCOME) == bulk_load.LOADED, "rows_loaded").otherwise("rows_errors")
     return done.table.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("row_count"))
 
@@ -272,22 +272,22 @@ def quality_gate_verdict(layers):
 
 @query
 def duplicate_order_ids(layers):
-    return dedup.duplicate_keys(layers.raw(), "order_id")
+    return dedup.duplicate_keys(layers.feed(), "order_id")
 
 
 @query
 def not_null_test(layers):
-    return integrity.not_null(layers.raw(), "order_id")
+    return integrity.not_null(layers.feed(), "order_id")
 
 
 @query
 def unique_test(layers):
-    return integrity.unique(layers.raw(), "order_id")
+    return integrity.unique(layers.feed(), "order_id")
 
 
 @query
 def accepted_values_test(layers):
-    return integrity.accepted_values(layers.raw(), "status", ORDER_STATUSES)
+    return integrity.accepted_values(layers.feed(), "status", ORDER_STATUSES)
 
 
 @query

@@ -51,6 +51,10 @@ def from_cents(total: Column) -> Column:
     return total.cast("double") / F.lit(100.0)
 
 
+def average_amount(total_cents: Column, rows: Column) -> Column:
+    return half_up_ratio(total_cents, rows * 100, 2)
+
+
 def half_up_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
     """``round(numerator / denominator, digits)`` on whole numbers, ties away from zero.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions import keys, scoring
 from tillstar.functions.calendar import as_of_day
-from tillstar.functions.money import cents, from_cents, half_up_ratio
+from tillstar.functions.money import average_amount, cents, from_cents
 from tillstar.operators.modes import modal_value
 
 
@@ -59,7 +59,7 @@ def dim_customers(stg: DataFrame, as_of: dt.date | None = None) -> DataFrame:
         "last_order_date",
         "total_orders",
         spend.alias("total_spend"),
-        half_up_ratio(F.col("spend_cents"), F.col("net_rows"), 2).alias("avg_order_value"),
+        average_amount(F.col("spend_cents"), F.col("net_rows")).alias("avg_order_value"),
         "distinct_categories",
         silent.alias("days_since_last_order"),
         scoring.segment(spend, F.col("total_orders")).alias("customer_segment"),

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.calendar import as_of_day
-from tillstar.functions.money import cents, from_cents, half_up_ratio
+from tillstar.functions.money import average_amount, cents, from_cents, half_up_ratio
 from tillstar.functions.scoring import churn_label
 
 NET = "net_cents"
@@ -90,7 +90,7 @@ def channel_performance(sales: DataFrame) -> DataFrame:
         "channel",
         "orders",
         from_cents(F.col(NET)).alias("revenue"),
-        half_up_ratio(F.col(NET), F.col("net_rows"), 2).alias("average_order_value"),
+        average_amount(F.col(NET), F.col("net_rows")).alias("average_order_value"),
         half_up_ratio(F.col("ship_days"), F.col("shipped"), 1).alias("avg_ship_days"),
     ).orderBy(F.col("revenue").desc_nulls_first(), "channel")
 

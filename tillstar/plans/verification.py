@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.functions.money import cents, half_up_ratio
+from tillstar.functions.money import average_amount, cents, half_up_ratio
 
 CENTS_PER_MILLION = 100_000_000
 
@@ -36,7 +36,7 @@ def load_verification(orders: DataFrame) -> DataFrame:
         "earliest_order",
         "latest_order",
         _millions(F.col("net_cents")).alias("total_revenue_m"),
-        half_up_ratio(F.col("net_cents"), F.col("net_rows"), 2).alias("avg_order_value"),
+        average_amount(F.col("net_cents"), F.col("net_rows")).alias("avg_order_value"),
     )
 
 
