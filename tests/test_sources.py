@@ -1,0 +1,231 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tillstar.functions.keys import checked_name, layer_name
+from tillstar.plans import orders_etl, verification
+from tillstar.schemas import LOADED_ORDERS, RAW_COLUMNS, TYPED_FEED
+from tillstar.sources import bulk_load, manifest, snapshots, synthetic_feed, workspace
+from tillstar.sources.orders_feed import read_feed, write_feed
+from tillstar.sources.staging_area import read_staged, write_staged
+
+
+class TestCsvFeed:
+    def test_text_survives_the_round_trip(self, spark, raw, tmp_path):
+        rows = raw({"status": "  CANCELLED ", "category": 'Food, "fresh" & more', "country": None}, {"quantity": "abc"})
+        write_feed(rows, str(tmp_path / "feed"))
+        back = read_feed(spark, str(tmp_path / "feed"))
+        assert back.schema == rows.schema
+        assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+
+    def test_empty_fields_are_null_and_nothing_is_inferred(self, spark, tmp_path):
+        header = ",".join(RAW_COLUMNS)
+        (tmp_path / "orders.csv").write_text(f'{header}\nA,C1,,"",Toys,007,1.50,0,9999-99-99,,x,IN,web,upi\n')
+        row = read_feed(spark, str(tmp_path)).first()
+        assert (row.product_id, row.store_id, row.ship_date) == (None, None, None)
+        assert (row.quantity, row.unit_price, row.order_date) == ("007", "1.50", "9999-99-99")
+
+
+class TestStagingArea:
+    def test_layout_count_and_replacement(self, spark, raw, tmp_path):
+        path = str(tmp_path / "staged")
+        rows = orders_etl.staged_orders(raw({"order_id": "A"}, {"order_id": "B", "order_date": "2023-12-31"}))
+        assert write_staged(rows, path) == 2
+        assert write_staged(rows.where("order_id = 'A'"), path) == 1
+        back = read_staged(spark, path)
+        assert [(r.year, r.month) for r in back.select("year", "month").collect()] == [(2024, 3)]
+        assert dict(back.dtypes)["year"] == "int" and set(back.columns) == set(rows.columns)
+
+    def test_month_filter_prunes_directories(self, spark, raw, tmp_path):
+        path = str(tmp_path / "staged")
+        write_staged(orders_etl.staged_orders(raw({"order_id": "A"}, {"order_id": "B", "order_date": "2023-12-31"})), path)
+        pruned = read_staged(spark, path).where("year = 2024 and month = 3")
+        assert pruned.count() == 1
+        assert "PartitionFilters: [isnotnull(year" in pruned._jdf.queryExecution().executedPlan().toString()
+
+    def test_a_hot_month_is_complete(self, spark, tmp_path):
+        rows = orders_etl.staged_orders(synthetic_feed.clean_feed(spark, 2000).withColumn(
+            "order_date", F.when(F.rand(1) < 0.6, F.lit("2024-06-15")).otherwise(F.col("order_date"))))
+        assert write_staged(rows, str(tmp_path / "hot")) == 2000
+
+
+class TestBulkLoad:
+    BAD = ({"order_id": "A"}, {"order_id": "B", "quantity": "abc"}, {"order_id": "C", "order_date": "9999-99-99", "unit_price": "x"},
+           {"order_id": "D", "quantity": None})
+
+    def test_tolerant_load_splits_and_counts(self, raw):
+        done = bulk_load.copy_into(raw(*self.BAD), TYPED_FEED, "tolerant")
+        assert (done.rows_loaded, done.rows_errors) == (2, 2)
+        assert done.loaded.schema == TYPED_FEED
+        assert sorted(r.order_id for r in done.loaded.collect()) == ["A", "D"]
+        rejected = {r.order_id: r for r in done.quarantined.collect()}
+        assert (rejected["B"].quantity, rejected["B"].load_reason) == ("abc", "quantity")
+        assert rejected["C"].load_reason == "unit_price,order_date"
+
+    def test_strict_load_stops_at_a_bad_row(self, raw):
+        with pytest.raises(PySparkException, match="quantity cannot hold abc"):
+            bulk_load.copy_into(raw(*self.BAD[:2]), TYPED_FEED, "strict", on_error="abort")
+
+    def test_strict_load_stops_even_without_ansi_mode(self, spark, raw):
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        try:
+            with pytest.raises(PySparkException):
+                bulk_load.copy_into(raw(*self.BAD[:2]), TYPED_FEED, "strict", on_error="abort")
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
+
+    def test_strict_load_of_good_rows(self, raw):
+        done = bulk_load.copy_into(raw({}, {"order_id": "B"}), TYPED_FEED, "strict", on_error="abort")
+        assert (done.rows_loaded, done.rows_errors, done.quarantined.count()) == (2, 0, 0)
+
+    def test_empty_load(self, raw):
+        done = bulk_load.copy_into(raw({}).where(F.lit(False)), TYPED_FEED, "empty")
+        assert (done.rows_loaded, done.rows_errors, done.loaded.count()) == (0, 0, 0)
+
+    def test_unknown_mode(self, raw):
+        with pytest.raises(ValueError):
+            bulk_load.copy_into(raw({}), TYPED_FEED, "x", on_error="skip")
+
+    def test_partition_columns_are_loaded_with_values(self, spark, raw, tmp_path):
+        write_staged(orders_etl.staged_orders(raw({})), str(tmp_path / "s"))
+        (tmp_path / "s" / "notes.txt").write_text("not parquet")
+        source = bulk_load.read_parquet_objects(spark, str(tmp_path / "s"))
+        row = bulk_load.copy_into(source, LOADED_ORDERS, "loaded", on_error="abort").loaded.first()
+        assert (row.year, row.month, row.net_amount) == (2024, 3, 180.0)
+
+
+class TestSnapshots:
+    def test_publish_and_replace(self, spark, raw):
+        first = snapshots.replace_snapshot(raw({"order_id": "A"}, {"order_id": "B"}), "orders_live", "order_id")
+        assert (first.total_rows, first.unique_keys) == (2, 2)
+        snapshots.replace_snapshot(raw({"order_id": "Z"}), "orders_live", "order_id")
+        assert [r.order_id for r in spark.table("orders_live").collect()] == ["Z"]
+
+    @pytest.mark.parametrize("bad", [[{"order_id": "A"}, {"order_id": "A"}], [{"order_id": "A"}, {"order_id": None}], []])
+    def test_a_bad_load_leaves_the_published_snapshot(self, spark, raw, bad):
+        snapshots.replace_snapshot(raw({"order_id": "OLD"}), "orders_kept", "order_id")
+        candidate = raw(*bad) if bad else raw({}).where(F.lit(False))
+        with pytest.raises(snapshots.SnapshotRejected):
+            snapshots.replace_snapshot(candidate, "orders_kept", "order_id")
+        assert [r.order_id for r in spark.table("orders_kept").collect()] == ["OLD"]
+
+    def test_table_and_view(self, spark, raw):
+        rows = orders_etl.staged_orders(raw({"order_id": "A"}, {"order_id": "B"}))
+        snapshots.save_table(rows, "orders_table", ("year", "month"))
+        snapshots.save_table(rows.where("order_id = 'A'"), "orders_table", ("year", "month"))
+        assert spark.table("orders_table").count() == 1
+        snapshots.save_view(spark.table("orders_table"), "orders_view")
+        assert spark.table("orders_view").count() == 1
+
+    @pytest.mark.parametrize("name", ["a.b.c", "_x1", "RAW.orders$2"])
+    def test_legal_names(self, name):
+        assert checked_name(name) == name
+
+    @pytest.mark.parametrize("name", ["", "1a", "a;drop table b", "a..b", "a b", "a.", "a`b", "a\n"])
+    def test_illegal_names(self, name):
+        with pytest.raises(ValueError):
+            checked_name(name)
+
+    def test_layer_name(self):
+        assert (layer_name(None, "dev"), layer_name(" marts ", "dev")) == ("dev", "MARTS")
+
+    def test_load_check(self, spark):
+        at = dt.datetime(2024, 1, 2, 3)
+        rows = spark.createDataFrame([("A", at), ("B", dt.datetime(2024, 1, 1))], "k string, t timestamp_ntz")
+        assert tuple(snapshots.load_check(rows, "t").first()) == (2, at)
+
+
+class TestVerification:
+    def test_figures(self, spark):
+        rows = spark.createDataFrame(
+            [("C1", "P1", dt.date(2024, 1, 1), 1_000_000.0), ("C1", "P2", dt.date(2024, 1, 3), 250_000.01), ("C2", "P2", dt.date(2024, 1, 2), None)],
+            "customer_id string, product_id string, order_date date, net_amount double",
+        )
+        full = verification.load_verification(rows).first()
+        assert tuple(full) == (3, 2, 2, dt.date(2024, 1, 1), dt.date(2024, 1, 3), 1.25, 625000.01)
+        assert tuple(verification.load_profile(rows).first()) == (3, 2, dt.date(2024, 1, 1), dt.date(2024, 1, 3), 1.25)
+
+
+class TestManifest:
+    def test_listing(self, spark, tmp_path):
+        (tmp_path / "a.csv").write_text("12345")
+        row = manifest.require_objects(spark, str(tmp_path), "*.csv").first()
+        assert row.path.endswith("a.csv") and row.size_bytes == 5 and row.modified_at is not None
+
+    def test_absent_and_empty_objects(self, spark, tmp_path):
+        with pytest.raises(FileNotFoundError):
+            manifest.require_objects(spark, str(tmp_path / "none"))
+        with pytest.raises(FileNotFoundError):
+            manifest.require_objects(spark, str(tmp_path), "*.csv")
+        (tmp_path / "a.csv").touch()
+        with pytest.raises(ValueError):
+            manifest.require_objects(spark, str(tmp_path), "*.csv")
+
+    def test_layers(self, spark, tmp_path):
+        for name in ("raw/a", "raw/deep/b", "staging/c"):
+            (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+            (tmp_path / name).write_text("xy")
+        got = manifest.layer_metrics(spark, {"raw": str(tmp_path / "raw"), "staging": str(tmp_path / "staging")})
+        assert sorted(map(tuple, got.collect())) == [("raw", 2, 4), ("staging", 1, 2)]
+
+
+class TestWorkspace:
+    def test_shared_folder_comes_from_the_session(self, spark):
+        assert workspace.shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+    def test_persisted_rows_come_back(self, spark):
+        rows = spark.range(50).selectExpr("id", "id % 3 as part")
+        back = workspace.persisted(rows, "numbers", ("part",))
+        assert back.dtypes == rows.dtypes
+        assert sorted(back.collect()) == sorted(rows.collect())
+
+
+@pytest.fixture(scope="module")
+def feeds(spark):
+    clean = synthetic_feed.clean_feed(spark, TestSyntheticFeed.ROWS)
+    return clean.cache(), synthetic_feed.with_noise(clean, F.col("order_id")).cache()
+
+
+class TestSyntheticFeed:
+    ROWS = 20_000
+
+    def test_clean_orders_pass_the_etl_untouched(self, feeds):
+        clean, _ = feeds
+        assert clean.columns == RAW_COLUMNS
+        assert orders_etl.staged_orders(clean).count() == clean.select("order_id").distinct().count() == self.ROWS
+        shapes = clean.agg(
+            F.min(F.col("customer_id").rlike(r"^C\d{6}$") & F.col("product_id").rlike(r"^P\d{5}$") & F.col("store_id").rlike(r"^S\d{3}$")),
+            F.min(F.col("quantity").cast("int")), F.max(F.col("quantity").cast("int")), F.min("order_date"), F.max("order_date"),
+        ).first()
+        assert tuple(shapes) == (True, 1, 10, "2023-01-01", "2024-12-31")
+
+    def test_weights_and_noise_rates(self, feeds):
+        clean, noisy = feeds
+        completed = clean.where("status = 'completed'").count() / self.ROWS
+        assert abs(completed - 0.65) < 0.02
+        extra = noisy.count() - self.ROWS
+        assert abs(extra / self.ROWS - 0.01) < 0.003
+        share = noisy.agg(
+            F.avg((F.col("order_date") == "9999-99-99").cast("int")), F.avg(F.col("unit_price").startswith("-").cast("int")),
+            *[F.avg(F.col(c).isNull().cast("int")) for c in synthetic_feed.NULLED_COLUMNS],
+        ).first()
+        assert abs(share[0] - 0.005) < 0.002 and abs(share[1] - 0.002) < 0.0015
+        assert all(abs(s - 0.0075) < 0.003 for s in share[2:])
+
+    def test_copies_are_exact_and_the_etl_removes_them(self, feeds):
+        _, noisy = feeds
+        extra = noisy.count() - self.ROWS
+        assert noisy.distinct().count() == self.ROWS and extra > 0
+        staged = orders_etl.staged_orders(noisy)
+        assert staged.count() == staged.select("order_id").distinct().count()
+        assert abs(1 - staged.count() / self.ROWS - 0.0144) < 0.004
+
+    def test_same_seed_same_feed(self, spark):
+        def digest(seed, parts):
+            return sorted(map(tuple, synthetic_feed.noisy_feed(spark, 200, seed).repartition(parts).collect()), key=str)
+
+        assert digest(5, 1) == digest(5, 3) != digest(6, 1)

@@ -10,26 +10,33 @@ from pyspark.sql import functions as F
 
 
 def list_objects(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """``(path, size_bytes, modified_at)`` per object. Contents are never read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if pattern is not None:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(path).select(
+    """``(path, size_bytes, modified_at)`` per object with content. Contents are never read.
+
+    Spark does not schedule empty files and hides names that start with ``_`` or ``.``.
+    """
+    return _objects(spark, path, pattern).select(
         "path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at")
     )
 
 
+def _objects(spark: SparkSession, path: str, pattern: str | None) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return (reader if pattern is None else reader.option("pathGlobFilter", pattern)).load(path)
+
+
 def require_objects(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """The listing, after checking that something is there and nothing is empty."""
     try:
-        listing = list_objects(spark, path, pattern)
+        # The names are those of the file index, which the driver holds for any scan.
+        present = len(_objects(spark, path, pattern).inputFiles())
     except AnalysisException as error:
         raise FileNotFoundError(path) from error
-    found = listing.agg(F.count("path").alias("objects"), F.count_if(F.col("size_bytes") <= 0).alias("empty")).first()
-    if found["objects"] == 0:
+    if present == 0:
         raise FileNotFoundError(path)
-    if found["empty"]:
-        raise ValueError(f"{found['empty']} empty object(s) under {path}")
+    listing = list_objects(spark, path, pattern)
+    empty = present - listing.count()
+    if empty:
+        raise ValueError(f"{empty} empty object(s) under {path}")
     return listing
 
 
