@@ -347,6 +347,8 @@ FROM feed WHERE NOT ({any_bad})"""),
 SELECT CASE WHEN {any_bad} THEN 'rows_errors' ELSE 'rows_loaded' END AS outcome, count(*) AS row_count FROM feed GROUP BY 1"""),
         "copy_into_strict": _on("staged", f"SELECT {loaded} FROM staged"),
         "snapshot_replace_verify": _on("staged", "SELECT count(*) AS total_orders, count(DISTINCT order_id) AS unique_orders FROM staged"),
+        "warehouse_table": _on("staged", "SELECT * FROM staged"),
+        "staging_view": _on("stg", "SELECT * FROM stg"),
         "load_check": _on("staged", "SELECT count(*) AS row_count, true AS has_load_time FROM staged"),
         "load_verification": _on("staged", f"""
 SELECT total_orders, unique_customers, unique_products, earliest_order, latest_order,

@@ -127,6 +127,19 @@ def snapshot_replace_verify(layers):
     return snapshots.key_check(layers.spark.table("orders_snapshot"), "order_id")
 
 
+@query
+def warehouse_table(layers):
+    """The staged set as a catalog table laid out by month."""
+    snapshots.save_table(layers.staged(), "orders_table", ("year", "month"))
+    return layers.spark.table("orders_table")
+
+
+@query
+def staging_view(layers):
+    snapshots.save_view(layers.stg(), "stg_orders_view")
+    return layers.spark.table("stg_orders_view")
+
+
 @query
 def load_check(layers):
     checked = snapshots.load_check(layers.staged(), "etl_loaded_at")

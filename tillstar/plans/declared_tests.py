@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.operators.contracts import combine
-from tillstar.operators.integrity import breaks, orphan_keys, outside, unique
+from tillstar.operators.dedup import repeated_values
+from tillstar.operators.integrity import breaks, orphan_keys, outside
 from tillstar.schemas import ACCEPTED_STATUSES, CHURN_RISKS, REVENUE_TIERS, SEGMENTS
 
 
@@ -24,6 +25,8 @@ class RowTest:
 
 @dataclass(frozen=True)
 class UniqueTest:
+    """Counts repeated values; all unique tests of a table share one scan and one shuffle."""
+
     column: str
 
 
@@ -94,10 +97,10 @@ def declared_tests() -> dict[str, list]:
     }
 
 
-def _result(table: str, kind: str, column: str, severity: str, failures: Column) -> Column:
+def _result(table: str, kind: str, column: Column, severity: str, failures: Column) -> Column:
     return F.struct(
         F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
+        column.alias("column_name"),
         F.lit(kind).alias("test"),
         F.when(failures == 0, "pass").otherwise(severity).alias("status"),
         failures.cast("bigint").alias("failures"),
@@ -106,27 +109,32 @@ def _result(table: str, kind: str, column: str, severity: str, failures: Column)
 
 def _row_results(table: str, rows: DataFrame, tests: Sequence[RowTest]) -> DataFrame:
     counted = rows.agg(*[F.count_if(t.offends).alias(f"t{i}") for i, t in enumerate(tests)])
-    lines = [_result(table, t.kind, t.column, "error", F.col(f"t{i}")) for i, t in enumerate(tests)]
+    lines = [_result(table, t.kind, F.lit(t.column), "error", F.col(f"t{i}")) for i, t in enumerate(tests)]
     return counted.select(F.inline(F.array(*lines)))
 
 
-def _single(failing: DataFrame, failures: Column, line) -> DataFrame:
-    return failing.agg(F.coalesce(failures, F.lit(0)).alias("n")).select(F.inline(F.array(line(F.col("n")))))
+def _unique_results(table: str, rows: DataFrame, tests: Sequence[UniqueTest]) -> DataFrame:
+    """One line per column, also when the table has no rows."""
+    columns = [t.column for t in tests]
+    listed = rows.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    counted = listed.join(repeated_values(rows, columns), "column_name", "left")
+    line = _result(table, "unique", F.col("column_name"), "error", F.coalesce("repeated", F.lit(0)))
+    return counted.select(F.inline(F.array(line)))
+
+
+def _parent_results(table: str, rows: DataFrame, test: ParentTest, parent: DataFrame) -> DataFrame:
+    lost = orphan_keys(rows, test.column, parent, test.column).agg(F.coalesce(F.sum("orphan_rows"), F.lit(0)).alias("n"))
+    return lost.select(F.inline(F.array(_result(table, "relationships", F.lit(test.column), test.severity, F.col("n")))))
 
 
-def table_results(table: str, tables: dict[str, DataFrame], tests: Sequence | None = None) -> list[DataFrame]:
-    rows = tables[table]
-    tests = declared_tests()[table] if tests is None else tests
-    results = [_row_results(table, rows, [t for t in tests if isinstance(t, RowTest)])]
-    for test in tests:
-        if isinstance(test, UniqueTest):
-            line = lambda n, t=test: _result(table, "unique", t.column, "error", n)
-            results.append(_single(unique(rows, test.column), F.count(F.lit(1)), line))
-        elif isinstance(test, ParentTest):
-            line = lambda n, t=test: _result(table, "relationships", t.column, t.severity, n)
-            lost = orphan_keys(rows, test.column, tables[test.parent], test.column)
-            results.append(_single(lost, F.sum("orphan_rows"), line))
-    return results
+def table_results(table: str, tables: dict[str, DataFrame]) -> list[DataFrame]:
+    rows, tests = tables[table], declared_tests()[table]
+    parents = [t for t in tests if isinstance(t, ParentTest)]
+    return [
+        _row_results(table, rows, [t for t in tests if isinstance(t, RowTest)]),
+        _unique_results(table, rows, [t for t in tests if isinstance(t, UniqueTest)]),
+        *[_parent_results(table, rows, t, tables[t.parent]) for t in parents],
+    ]
 
 
 def declared_report(tables: dict[str, DataFrame]) -> DataFrame:

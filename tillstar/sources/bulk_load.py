@@ -75,7 +75,7 @@ def copy_into(rows: DataFrame, target: StructType, name: str, on_error: str = "c
 
     ``continue`` keeps good rows and quarantines bad ones in a single pass: the outcome is a
     directory of the written table, so readers of either side skip the other. ``abort`` fails on the
-    first bad row. Counts come from the written files.
+    first bad row. No row is shuffled, and the counts come from the written files.
     """
     if on_error == "continue":
         located = classify(rows, target)
@@ -85,7 +85,7 @@ def copy_into(rows: DataFrame, target: StructType, name: str, on_error: str = "c
         )
     else:
         raise ValueError(f"on_error must be 'continue' or 'abort', not {on_error!r}")
-    table = persisted(located, name, (OUTCOME,))
+    table = persisted(located, name, (OUTCOME,), shuffle=False)
     counts = table.groupBy(OUTCOME).count().collect()
     rows_by_outcome = {line[OUTCOME]: line["count"] for line in counts}
     return LoadResult(table, target, rows_by_outcome.get(LOADED, 0), rows_by_outcome.get(REJECTED, 0))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions.keys import checked_name, quoted_name
 from tillstar.operators.dedup import key_counts
-from tillstar.sources.workspace import write_once
+from tillstar.sources.workspace import by_partition, new_location, write_once
 
 
 class SnapshotRejected(RuntimeError):
@@ -55,11 +55,14 @@ def replace_snapshot(rows: DataFrame, target: str, key: str, partition_by: tuple
 
 
 def save_table(rows: DataFrame, target: str, cluster_by: tuple[str, ...] = ()) -> None:
-    """Materialise as a catalog table, laid out by ``cluster_by`` so range filters skip files."""
-    writer = rows.hint("rebalance", *cluster_by).write.mode("overwrite").format("parquet")
-    if cluster_by:
-        writer = writer.partitionBy(*cluster_by)
-    writer.saveAsTable(checked_name(target))
+    """Materialise as a catalog table, laid out by ``cluster_by`` so range filters skip files.
+
+    Each save goes to a location of its own: running readers keep the files of the previous one.
+    """
+    location = new_location(rows.sparkSession, checked_name(target))
+    by_partition(rows, cluster_by).write.saveAsTable(
+        target, format="parquet", mode="overwrite", partitionBy=list(cluster_by), path=location
+    )
 
 
 def save_view(rows: DataFrame, name: str) -> None:

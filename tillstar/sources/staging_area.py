@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillstar.sources.workspace import by_partition
+
 LAYOUT = ("year", "month")
 MAX_ROWS_PER_FILE = 5_000_000
 
@@ -11,12 +13,11 @@ MAX_ROWS_PER_FILE = 5_000_000
 def write_staged(orders: DataFrame, path: str) -> int:
     """Replace the staged set and return its row count.
 
-    Rows are rebalanced by month, so a month lands in few files while a hot month is split over
-    tasks. The count is taken from the written footers: unlike an accumulator it stays exact when
+    The count is taken from the written footers: unlike an accumulator it stays exact when
     a stage is recomputed after an executor loss, and unlike ``orders.count()`` it repeats no work.
     """
-    sized = orders.hint("rebalance", *LAYOUT)
-    sized.write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE).partitionBy(*LAYOUT).parquet(path, mode="overwrite")
+    writer = by_partition(orders, LAYOUT).write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
+    writer.parquet(path, mode="overwrite", partitionBy=list(LAYOUT))
     return orders.sparkSession.read.schema(orders.schema).parquet(path).count()
 
 

@@ -32,22 +32,24 @@ def new_location(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tillstar/{name}/{uuid.uuid4().hex}"
 
 
-def write_once(rows: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Write to a fresh location and return it.
+def by_partition(rows: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """Bring rows of a partition value together before a partitioned write.
 
-    ``rebalance`` lets adaptive execution size the output files: small ones are merged and a partition
-    value that holds much of the data is split over several tasks.
+    Without it every task writes a small file into every directory. Adaptive execution sizes the
+    result: small values are merged, a value that holds much of the data is split over many tasks.
     """
+    return rows.hint("rebalance", *partition_by) if partition_by else rows
+
+
+def write_once(rows: DataFrame, name: str, partition_by: tuple[str, ...] = (), shuffle: bool = True) -> str:
+    """Write to a fresh location and return it. ``shuffle=False`` keeps a map-only job map-only."""
     location = new_location(rows.sparkSession, name)
-    sized = rows.hint("rebalance", *partition_by)
-    writer = sized.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(location)
+    arranged = by_partition(rows, partition_by) if shuffle else rows
+    arranged.write.parquet(location, mode="errorifexists", partitionBy=list(partition_by))
     return location
 
 
-def persisted(rows: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def persisted(rows: DataFrame, name: str, partition_by: tuple[str, ...] = (), shuffle: bool = True) -> DataFrame:
     """The same rows, read back from a written table."""
-    location = write_once(rows, name, partition_by)
+    location = write_once(rows, name, partition_by, shuffle)
     return rows.sparkSession.read.schema(rows.schema).parquet(location).select(*rows.columns)
