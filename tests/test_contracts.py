@@ -23,9 +23,10 @@ NAMES = {
 }
 
 
-@pytest.fixture
-def staged(raw):
-    return orders_etl.staged_orders(raw(*[{"order_id": f"O{i}", "customer_id": f"C{i:06d}"} for i in range(20)]))
+@pytest.fixture(scope="module")
+def staged(spark, raw):
+    rows = orders_etl.staged_orders(raw(*[{"order_id": f"O{i}", "customer_id": f"C{i:06d}"} for i in range(20)]))
+    return spark.createDataFrame(rows.collect(), rows.schema).coalesce(2)
 
 
 def report(frame, volume=VOLUME, cardinality=ANY_SHARE):

@@ -100,15 +100,10 @@ def plan(frame):
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_query_pairs_rows_or_leaves_the_jvm(spark, name):
+def test_no_query_pairs_rows_leaves_the_jvm_or_ranks_in_one_task(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
         assert operator not in text
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_window_runs_in_a_single_task(spark, name):
-    text = plan(QUERIES[name](spark, SF_DIR))
     assert "Window" not in text or "windowspecdefinition(order_id" in text
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillstar.catalog.layers import AS_OF, Layers
 from tillstar.operators import contracts, dedup, history, integrity
 from tillstar.plans import (
+    customer_history,
     customers,
     dashboard,
     dates,
@@ -339,12 +340,8 @@ def _history(layers, keep) -> DataFrame:
     versions = None
     for day in HISTORY_RUNS:
         until = layers.stg().where(F.col("order_date") <= F.lit(day))
-        incoming = customers.history_input(keep(customers.dim_customers(until, day)))
-        at = dt.datetime.combine(day, dt.time())
-        if versions is None:
-            versions = history.open_versions(incoming, "customer_id", at)
-        else:
-            versions = history.scd2_merge(versions, incoming, "customer_id", customers.HISTORY_CHECKS, at)
+        dim = keep(customers.dim_customers(until, day))
+        versions = customer_history.record_run(versions, dim, dt.datetime.combine(day, dt.time()))
     return versions.withColumnRenamed(history.UPDATED_AT, "version_updated_at")
 
 

@@ -66,15 +66,3 @@ def dim_customers(stg: DataFrame, as_of: dt.date | None = None) -> DataFrame:
         scoring.churn_risk(silent).alias("churn_risk"),
         F.current_timestamp().cast("timestamp_ntz").alias("dbt_updated_at"),
     )
-
-
-# What the customer history carries and which changes open a new version.
-HISTORY_COLUMNS = [
-    "customer_key", "customer_id", "country_code", "first_order_date", "last_order_date",
-    "total_orders", "total_spend", "avg_order_value", "customer_segment", "churn_risk",
-]
-HISTORY_CHECKS = ["customer_segment", "churn_risk", "total_orders", "total_spend"]
-
-
-def history_input(customers: DataFrame) -> DataFrame:
-    return customers.select(*HISTORY_COLUMNS)
