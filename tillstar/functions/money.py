@@ -39,8 +39,11 @@ def net(unit_price: Column, quantity: Column, discount_pct: Column) -> Column:
 
 
 def scaled(value: Column, digits: int) -> Column:
-    """A double as a whole number of ``10^-digits`` units, held in a decimal that sums safely."""
-    return F.rint(value * F.lit(float(10**digits))).cast("decimal(18,0)")
+    """A double as a whole number of ``10^-digits`` units.
+
+    The decimal is wide enough for any amount a double can hold exactly, and its sum for any row count.
+    """
+    return F.rint(value * F.lit(float(10**digits))).cast("decimal(28,0)")
 
 
 def cents(amount: Column) -> Column:

@@ -41,7 +41,7 @@ def customer_metrics(stg: DataFrame) -> DataFrame:
         F.min("first_day").alias("first_order_date"),
         F.max("last_day").alias("last_order_date"),
         F.sum("orders").alias("total_orders"),
-        F.sum(F.col("net_cents").cast("decimal(28,0)")).alias("spend_cents"),
+        F.sum("net_cents").alias("spend_cents"),
         F.sum("net_rows").alias("net_rows"),
         F.count("product_category").alias("distinct_categories"),
     )

@@ -24,10 +24,6 @@ def _net_cents() -> Column:
     return F.sum(cents(F.col("net_amount"))).alias(NET)
 
 
-def _summed(name: str) -> Column:
-    return F.sum(F.col(name).cast("decimal(28,0)"))
-
-
 def _per_key(sales: DataFrame, key: str) -> DataFrame:
     return sales.groupBy(key).agg(_net_cents(), F.count("order_id").alias("orders"))
 
@@ -36,7 +32,7 @@ def _trend(sales: DataFrame, dates: DataFrame, period: Column) -> DataFrame:
     per_day = _per_key(sales, "date_key").join(dates.select("date_key", "full_date"), "date_key")
     return (
         per_day.groupBy(period.alias("month"))
-        .agg(from_cents(_summed(NET)).alias("net_revenue"), F.sum("orders").alias("total_orders"))
+        .agg(from_cents(F.sum(NET)).alias("net_revenue"), F.sum("orders").alias("total_orders"))
         .orderBy("month")
     )
 
@@ -55,7 +51,7 @@ def revenue_by_category(sales: DataFrame, products: DataFrame) -> DataFrame:
     priced = _per_key(sales, "product_id").join(products.select("product_id", "category"), "product_id")
     return (
         priced.groupBy(F.col("category").alias("product_category"))
-        .agg(from_cents(_summed(NET)).alias("net_revenue"))
+        .agg(from_cents(F.sum(NET)).alias("net_revenue"))
         .orderBy(F.col("net_revenue").desc_nulls_first(), "product_category")
     )
 
@@ -72,7 +68,7 @@ def top_countries(sales: DataFrame, customers: DataFrame, limit: int = TOP_COUNT
     located = _per_key(sales, "customer_id").join(customers.select("customer_id", "country_code"), "customer_id")
     return (
         located.groupBy("country_code")
-        .agg(from_cents(_summed(NET)).alias("revenue"))
+        .agg(from_cents(F.sum(NET)).alias("revenue"))
         .orderBy(F.col("revenue").desc_nulls_first(), "country_code")
         .limit(limit)
     )

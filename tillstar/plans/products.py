@@ -22,7 +22,7 @@ def product_category_mode(stg: DataFrame) -> DataFrame:
 
 def product_revenue(stg: DataFrame) -> DataFrame:
     """Revenue in cents per product; NULL when no order of the product has an amount."""
-    return stg.groupBy("product_id").agg(F.sum(cents(F.col("net_amount"))).cast("decimal(28,0)").alias("revenue_cents"))
+    return stg.groupBy("product_id").agg(F.sum(cents(F.col("net_amount"))).alias("revenue_cents"))
 
 
 def product_metrics(stg: DataFrame) -> DataFrame:
@@ -46,8 +46,8 @@ def product_metrics(stg: DataFrame) -> DataFrame:
         likeliest(F.col("product_category"), F.col("weight")).alias("category"),
         F.sum("orders").alias("total_orders"),
         F.sum("units").alias("total_units_sold"),
-        F.sum(F.col("net_cents").cast("decimal(28,0)")).cast("decimal(28,0)").alias("revenue_cents"),
-        F.sum(F.col("price_units").cast("decimal(28,0)")).cast("decimal(28,0)").alias("price_units"),
+        F.sum("net_cents").alias("revenue_cents"),
+        F.sum("price_units").alias("price_units"),
         F.sum("price_rows").alias("price_rows"),
         F.sum("discounts").alias("discounts"),
         F.sum("discount_rows").alias("discount_rows"),
