@@ -16,6 +16,15 @@ def as_of_day(as_of: dt.date | None) -> Column:
     return F.current_date() if as_of is None else F.lit(as_of)
 
 
+def load_time() -> Column:
+    return F.current_timestamp().cast("timestamp_ntz")
+
+
+def wall_time(moment: dt.datetime | None) -> Column:
+    """A zone-free timestamp, the same in every session time zone; None stands for now."""
+    return load_time() if moment is None else F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def date_key(day: Column) -> Column:
     """``yyyymmdd`` as an integer."""
     return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
+from tillstar.functions.calendar import load_time
 from tillstar.functions.keys import layer_name
 from tillstar.operators.contracts import CRITICAL
 from tillstar.plans import customers, dashboard, dates, declared_tests, orders_etl, products, quality_gate, sales, staging
@@ -38,8 +38,7 @@ def check(spark: SparkSession, staged: str, **bounds) -> list[Row]:
 def load(spark: SparkSession, staged: str, target: str = "orders") -> snapshots.Snapshot:
     """Strict load of the staged set and replacement of the published orders."""
     source = bulk_load.read_parquet_objects(spark, staged)
-    now = F.current_timestamp().cast("timestamp_ntz")
-    loaded = bulk_load.strict(source, LOADED_ORDERS).withColumn("etl_loaded_at", now)
+    loaded = bulk_load.strict(source, LOADED_ORDERS).withColumn("etl_loaded_at", load_time())
     return snapshots.replace_snapshot(loaded, target, "order_id", ("year", "month"))
 
 

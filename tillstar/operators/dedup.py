@@ -29,15 +29,15 @@ def key_counts(rows: DataFrame, key: str) -> DataFrame:
 
 
 def repeated_values(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column_name, repeated)``: per column, how many non-null values occur more than once.
+    """One row: for each column, how many of its non-null values occur more than once.
 
     All columns share one scan and one shuffle. Comparing as text keeps the values of one column apart
     exactly as their own type does.
     """
     pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
-    found = rows.select(F.inline(F.array(*pairs))).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("copies"))
-    repeated = F.count_if(F.col("value").isNotNull() & (F.col("copies") > 1))
-    return found.groupBy("column_name").agg(repeated.alias("repeated"))
+    counted = rows.select(F.inline(F.array(*pairs))).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("copies"))
+    repeated = F.col("value").isNotNull() & (F.col("copies") > 1)
+    return counted.agg(*[F.count_if(repeated & (F.col("column_name") == c)).alias(c) for c in columns])
 
 
 def duplicate_keys(rows: DataFrame, key: str) -> DataFrame:

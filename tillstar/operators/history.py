@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillstar.functions.calendar import wall_time
+
 # Names of the validity columns appended to the tracked columns.
 VERSION_ID = "dbt_scd_id"
 UPDATED_AT = "dbt_updated_at"
@@ -27,7 +29,7 @@ def _version_columns(key: str, run_at: Column) -> dict[str, Column]:
 
 def open_versions(incoming: DataFrame, key: str, run_at: dt.datetime) -> DataFrame:
     """First run: every incoming row opens a version."""
-    return incoming.withColumns(_version_columns(key, F.lit(run_at).cast("timestamp_ntz")))
+    return incoming.withColumns(_version_columns(key, wall_time(run_at)))
 
 
 def scd2_merge(
@@ -44,7 +46,7 @@ def scd2_merge(
     that is gone is closed when ``close_missing``. A key that comes back opens a new version. Changes
     are null-safe. ``incoming`` has one row per key, so the join cannot multiply rows.
     """
-    now = F.lit(run_at).cast("timestamp_ntz")
+    now = wall_time(run_at)
     fresh = open_versions(incoming, key, run_at)
     columns = history.columns
     current = history.where(F.col(VALID_TO).isNull())

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillstar.functions.calendar import wall_time
 from tillstar.operators.dedup import duplicate_keys
 
 
@@ -65,10 +66,8 @@ def freshness(
     as_of: dt.datetime | None = None,
 ) -> DataFrame:
     """One row: newest load time, its age in hours and pass / warn / error."""
-    now = F.current_timestamp() if as_of is None else F.lit(as_of)
-    # Both sides become zone-free before the subtraction, in the session time zone.
     newest = F.max(F.col(loaded_at).cast("timestamp_ntz")).alias("newest_load")
-    seconds = F.timestamp_diff("SECOND", F.col("newest_load"), now.cast("timestamp_ntz"))
+    seconds = F.timestamp_diff("SECOND", F.col("newest_load"), wall_time(as_of))
     status = (
         F.when(F.col("newest_load").isNull() | (F.col("age_seconds") > error_hours * 3600), "error")
         .when(F.col("age_seconds") > warn_hours * 3600, "warn")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions import keys, scoring
-from tillstar.functions.calendar import as_of_day
+from tillstar.functions.calendar import as_of_day, load_time
 from tillstar.functions.money import average_amount, cents, from_cents
 from tillstar.operators.modes import modal_value
 
@@ -64,5 +64,5 @@ def dim_customers(stg: DataFrame, as_of: dt.date | None = None) -> DataFrame:
         silent.alias("days_since_last_order"),
         scoring.segment(spend, F.col("total_orders")).alias("customer_segment"),
         scoring.churn_risk(silent).alias("churn_risk"),
-        F.current_timestamp().cast("timestamp_ntz").alias("dbt_updated_at"),
+        load_time().alias("dbt_updated_at"),
     )

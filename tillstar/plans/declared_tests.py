@@ -5,22 +5,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.operators.contracts import combine
 from tillstar.operators.dedup import repeated_values
-from tillstar.operators.integrity import breaks, orphan_keys, outside
+from tillstar.operators.integrity import orphan_keys
 from tillstar.schemas import ACCEPTED_STATUSES, CHURN_RISKS, REVENUE_TIERS, SEGMENTS
 
 
 @dataclass(frozen=True)
 class RowTest:
-    """Counts offending rows; all row tests of a table share one scan."""
+    """Counts rows for which the condition is true; all row tests of a table share one scan."""
 
     kind: str
     column: str
-    offends: Column
+    offends: str
+    severity: str = "error"
 
 
 @dataclass(frozen=True)
@@ -28,25 +29,31 @@ class UniqueTest:
     """Counts repeated values; all unique tests of a table share one scan and one shuffle."""
 
     column: str
+    kind: str = "unique"
+    severity: str = "error"
 
 
 @dataclass(frozen=True)
 class ParentTest:
+    """Counts child rows without a parent."""
+
     column: str
     parent: str
     severity: str = "error"
+    kind: str = "relationships"
 
 
 def _filled(*columns: str) -> list[RowTest]:
-    return [RowTest("not_null", c, F.col(c).isNull()) for c in columns]
+    return [RowTest("not_null", c, f"{c} IS NULL") for c in columns]
 
 
 def _one_of(column: str, values: Sequence) -> RowTest:
-    return RowTest("accepted_values", column, outside(F.col(column), values))
+    return RowTest("accepted_values", column, f"{column} NOT IN ({', '.join(map(repr, values))})")
 
 
 def _holds(column: str, expression: str, where: str | None = None) -> RowTest:
-    return RowTest("expression_is_true", column, breaks(column, expression, where))
+    scope = "" if where is None else f"({where}) AND "
+    return RowTest("expression_is_true", column, f"{scope}NOT ({column} {expression})")
 
 
 def _unique(*columns: str) -> list[UniqueTest]:
@@ -97,34 +104,30 @@ def declared_tests() -> dict[str, list]:
     }
 
 
-def _result(table: str, kind: str, column: Column, severity: str, failures: Column) -> Column:
-    return F.struct(
-        F.lit(table).alias("table_name"),
-        column.alias("column_name"),
-        F.lit(kind).alias("test"),
-        F.when(failures == 0, "pass").otherwise(severity).alias("status"),
-        failures.cast("bigint").alias("failures"),
-    )
+def _lines(counted: DataFrame, table: str, tests: Sequence, failures: Sequence[str]) -> DataFrame:
+    """One report line per test from a single row of failure counts."""
+    structs = [
+        f"named_struct('table_name', '{table}', 'column_name', '{t.column}', 'test', '{t.kind}', "
+        f"'status', if({n} = 0, 'pass', '{t.severity}'), 'failures', {n})"
+        for t, n in zip(tests, failures)
+    ]
+    return counted.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def _row_results(table: str, rows: DataFrame, tests: Sequence[RowTest]) -> DataFrame:
-    counted = rows.agg(*[F.count_if(t.offends).alias(f"t{i}") for i, t in enumerate(tests)])
-    lines = [_result(table, t.kind, F.lit(t.column), "error", F.col(f"t{i}")) for i, t in enumerate(tests)]
-    return counted.select(F.inline(F.array(*lines)))
+    names = [f"t{i}" for i in range(len(tests))]
+    counted = rows.agg(*[F.expr(f"count_if({t.offends}) AS {n}") for t, n in zip(tests, names)])
+    return _lines(counted, table, tests, names)
 
 
 def _unique_results(table: str, rows: DataFrame, tests: Sequence[UniqueTest]) -> DataFrame:
-    """One line per column, also when the table has no rows."""
     columns = [t.column for t in tests]
-    listed = rows.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
-    counted = listed.join(repeated_values(rows, columns), "column_name", "left")
-    line = _result(table, "unique", F.col("column_name"), "error", F.coalesce("repeated", F.lit(0)))
-    return counted.select(F.inline(F.array(line)))
+    return _lines(repeated_values(rows, columns), table, tests, columns)
 
 
 def _parent_results(table: str, rows: DataFrame, test: ParentTest, parent: DataFrame) -> DataFrame:
-    lost = orphan_keys(rows, test.column, parent, test.column).agg(F.coalesce(F.sum("orphan_rows"), F.lit(0)).alias("n"))
-    return lost.select(F.inline(F.array(_result(table, "relationships", F.lit(test.column), test.severity, F.col("n")))))
+    lost = orphan_keys(rows, test.column, parent, test.column)
+    return _lines(lost.agg(F.expr("coalesce(sum(orphan_rows), 0L) AS n")), table, [test], ["n"])
 
 
 def table_results(table: str, tables: dict[str, DataFrame]) -> list[DataFrame]:

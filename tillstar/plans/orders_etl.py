@@ -79,7 +79,7 @@ def enriched_orders(orders: DataFrame) -> DataFrame:
             "day_of_week": calendar.order_weekday(day),
             "is_weekend": calendar.falls_on_weekend(day),
             "days_to_ship": F.datediff("ship_date", day),
-            "etl_loaded_at": F.current_timestamp().cast("timestamp_ntz"),
+            "etl_loaded_at": calendar.load_time(),
         }
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions import keys
+from tillstar.functions.calendar import load_time
 from tillstar.functions.money import cents, from_cents, half_up_ratio, scaled
 from tillstar.operators.modes import likeliest, modal_value
 from tillstar.operators.tiers import rank_tier
@@ -73,7 +74,7 @@ def dim_products(stg: DataFrame) -> DataFrame:
         "unique_buyers",
         return_rate(F.col("return_count"), F.col("total_orders")).alias("return_rate_pct"),
         tier.alias("revenue_tier"),
-        F.current_timestamp().cast("timestamp_ntz").alias("dbt_updated_at"),
+        load_time().alias("dbt_updated_at"),
     )
 
 

@@ -34,7 +34,7 @@ def fct_sales(stg: DataFrame, customers: DataFrame) -> DataFrame:
         "is_return": _flag(F.col("order_status") == "returned"),
         "has_discount": _flag(F.col("discount_pct") > 0),
         "is_fast_shipped": _flag(F.col("days_to_ship") <= FAST_SHIPPING_DAYS),
-        "dbt_updated_at": F.current_timestamp().cast("timestamp_ntz"),
+        "dbt_updated_at": calendar.load_time(),
     }
     return stg.join(segments, "customer_id", "left").withColumns(columns).select(*FACT_COLUMNS)
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions import text
+from tillstar.functions.calendar import load_time
 
 
 def stg_orders(loaded: DataFrame) -> DataFrame:
@@ -38,5 +39,5 @@ def stg_orders(loaded: DataFrame) -> DataFrame:
         as_type("day_of_week", "int"),
         as_type("is_weekend", "boolean"),
         F.col("etl_loaded_at"),
-        F.current_timestamp().cast("timestamp_ntz").alias("dbt_updated_at"),
+        load_time().alias("dbt_updated_at"),
     )
