@@ -124,21 +124,21 @@ def copy_into_strict(layers):
 
 @query
 def snapshot_replace_verify(layers):
-    snapshots.replace_snapshot(layers.staged(), "orders_snapshot", "order_id", ("year", "month"))
-    return snapshots.key_check(layers.spark.table("orders_snapshot"), "order_id")
+    snapshots.replace_snapshot(layers.staged(), "tillstar_orders_snapshot", "order_id", ("year", "month"))
+    return snapshots.key_check(layers.spark.table("tillstar_orders_snapshot"), "order_id")
 
 
 @query
 def warehouse_table(layers):
     """The staged set as a catalog table laid out by month."""
-    snapshots.save_table(layers.staged(), "orders_table", ("year", "month"))
-    return layers.spark.table("orders_table")
+    snapshots.save_table(layers.staged(), "tillstar_orders_table", ("year", "month"))
+    return layers.spark.table("tillstar_orders_table")
 
 
 @query
 def staging_view(layers):
-    snapshots.save_view(layers.stg(), "stg_orders_view")
-    return layers.spark.table("stg_orders_view")
+    snapshots.save_view(layers.stg(), "tillstar_stg_orders")
+    return layers.spark.table("tillstar_stg_orders")
 
 
 @query
