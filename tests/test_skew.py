@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillstar.operators import dedup, integrity
 from tillstar.plans import customers, dashboard, products, sales
+from tillstar.sources import workspace
 
 ROWS = 30_000
 TIGHT = {
@@ -133,3 +134,11 @@ def test_a_hot_product_counts_every_buyer(skewed):
     dim = {r.product_id: r for r in products.dim_products(wide).collect()}
     assert (dim["P0"].unique_buyers, dim["P0"].total_orders, dim["P0"].category) == (ROWS // 3, ROWS // 3, "Toys")
     assert sum(r.total_orders for r in dim.values()) == ROWS
+
+
+def test_a_hot_month_is_written_by_several_tasks(spark, skewed, tight):
+    months = skewed.withColumn("order_month", F.when(F.col("customer_id") == "C0", 6).otherwise(F.month("order_date")))
+    back = workspace.persisted(months, "hot_month", ("order_month",))
+    assert back.count() == ROWS
+    files = back.select("order_month", F.input_file_name().alias("file")).distinct().groupBy("order_month").count()
+    assert {r.order_month: r["count"] for r in files.collect()}[6] > 1
