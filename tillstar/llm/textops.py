@@ -6,7 +6,9 @@ ASCII belongs to words. All functions work on UTF-8 bytes; a null text has no wo
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -16,6 +18,9 @@ import pyarrow.compute
 #: Bytes hashed at a time. A longer text is cut between words, a longer word is taken whole.
 PIECE = 1 << 21
 
+#: Bytes between words.
+WHITE = b" \t\n\v\f\r"
+
 _P = 0x9E3779B97F4A7C15 | 1
 _TABLES: dict = {}
 
@@ -46,9 +51,7 @@ def _tables() -> dict:
         codes = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_P))
         lower = codes.copy()
         lower[65:91] = codes[97:123]
-        space = np.zeros(256, bool)
-        space[[0x20, *range(0x09, 0x0E)]] = True
-        _TABLES.update(plain=codes, lower=lower, space=space, inverse=np.uint64(pow(_P, -1, 1 << 64)), powers={})
+        _TABLES.update(plain=codes, lower=lower, inverse=np.uint64(pow(_P, -1, 1 << 64)), powers={})
     return _TABLES
 
 
@@ -77,11 +80,14 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return bytes_[at[0] : at[-1]], at - at[0]
 
 
-def words_of(texts: pa.Array, lower: bool = False) -> Words:
+def words_of(texts: pa.Array, lower: bool = False, breaks: bytes = WHITE) -> Words:
+    """Words of each text; breaks are the bytes between words."""
     data, offsets = text_buffer(texts)
     tables = _tables()
     n = len(data)
-    solid = ~tables["space"][data]
+    white = np.zeros(256, bool)
+    white[list(breaks)] = True
+    solid = ~white[data]
     # A word starts at a solid byte after white space or at the start of a text.
     opens = solid.copy()
     if n:
@@ -156,3 +162,54 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[
         b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most, side="right")))
         yield batch.slice(a, b - a)
         a = b
+
+
+def worker_state() -> dict:
+    """What outlives a task in a reused Python worker; functions shipped by value lose their globals."""
+    return sys.modules.setdefault("_tillstar_worker", types.ModuleType("_tillstar_worker")).__dict__
+
+
+class WordTable:
+    """What a function gives for each distinct word, kept while words repeat.
+
+    compute takes a list of words (bytes) and returns an integer array for each. The table is bounded: beyond
+    ``most`` words it starts anew with those of the current batch, which costs time and changes no result.
+    """
+
+    def __init__(self, compute: Callable[[list[bytes]], list], most: int = 1 << 20) -> None:
+        self.compute, self.most = compute, most
+        self._set(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def _set(self, hashes: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> None:
+        self.hashes, self.sizes, self.values = hashes, sizes, values
+        self.first = np.concatenate([[0], np.cumsum(sizes)])
+
+    def rows(self, words: Words) -> np.ndarray:
+        """Index in the table of every word, after missing ones are computed."""
+        distinct, at, back = np.unique(words.hashes, return_index=True, return_inverse=True)
+        found = np.searchsorted(self.hashes, distinct)
+        known = np.zeros(len(distinct), bool)
+        inside = found < len(self.hashes)
+        known[inside] = self.hashes[found[inside]] == distinct[inside]
+        if not known.all():
+            if len(self.hashes) + int((~known).sum()) > self.most:
+                self._set(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+                known[:] = False
+            fresh, at = distinct[~known], at[~known]
+            raw = words.data.tobytes()
+            results = self.compute([raw[a:b] for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)])
+            sizes = np.fromiter(map(len, results), np.int64, len(results))
+            values = np.fromiter((x for r in results for x in r), np.int64, int(sizes.sum()))
+            hashes = np.concatenate([self.hashes, fresh])
+            order = np.argsort(hashes, kind="stable")
+            starts = np.concatenate([self.first[:-1], self.first[-1] + np.cumsum(sizes) - sizes])[order]
+            sizes, values = np.concatenate([self.sizes, sizes])[order], np.concatenate([self.values, values])
+            self._set(hashes[order], sizes, values[ranges(starts, sizes)])
+            found = np.searchsorted(self.hashes, distinct)
+        return found[back]
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... for sizes[0] entries, then the same for each further pair."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
