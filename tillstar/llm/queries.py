@@ -6,20 +6,56 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from tillstar.llm import mixing
 from tillstar.llm.ngram_join import similar_documents
+from tillstar.llm.quality_rules import judge_quality
+from tillstar.llm.token_counts import count_tokens
+from tillstar.llm.token_files import read_token_files, write_token_files
+from tillstar.llm.url_rules import judge_urls, mine_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    location = write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return read_token_files(spark, location)
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(_table(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(_table(spark, sf_dir, "documents"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(_table(spark, sf_dir, "documents"))
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages show documents whose id ends their path, so documents' labels are the pages' labels."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    shown = F.regexp_extract("url", r"/(\d+)(?:\.html|/)?(?:[?#].*)?$", 1).try_cast("long")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.coalesce(bad, F.lit(False)).alias("bad"))
+    labelled = pages.withColumn("shown", shown).join(labels, F.col("shown") == F.col("doc_id")).select("url", "bad")
+    return judge_urls(pages, mine_rules(labelled))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_ngram_jaccard_join,)}
+    every = (op2_token_counts, op3_token_files, op4_ngram_jaccard_join, op7_mixing, op8_quality_rules, op10_url_filters)
+    return {f.__name__: f for f in every}
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op7_mixing": mixing.SQL}
