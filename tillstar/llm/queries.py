@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tillstar.llm import mixing
 from tillstar.llm.ngram_join import similar_documents
 from tillstar.llm.quality_rules import judge_quality
+from tillstar.llm.substring_dedup import removed_words
 from tillstar.llm.token_counts import count_tokens
 from tillstar.llm.token_files import read_token_files, write_token_files
 from tillstar.llm.url_rules import judge_urls, mine_rules
@@ -34,6 +35,10 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(_table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removed_words(_table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -53,7 +58,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op2_token_counts, op3_token_files, op4_ngram_jaccard_join, op7_mixing, op8_quality_rules, op10_url_filters)
+    every = (op2_token_counts, op3_token_files, op4_ngram_jaccard_join, op5_substring_dedup, op7_mixing, op8_quality_rules, op10_url_filters)
     return {f.__name__: f for f in every}
 
 
