@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillstar.llm import mixing
+from tillstar.llm import mixing, quality_classifier
+from tillstar.llm.decontamination import judge_contamination
+from tillstar.llm.html_extract import extract_text
 from tillstar.llm.ngram_join import similar_documents
 from tillstar.llm.quality_rules import judge_quality
 from tillstar.llm.substring_dedup import removed_words
@@ -22,6 +24,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -39,6 +45,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed_words(_table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -47,6 +57,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(_table(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), ("doc_id",))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages show documents whose id ends their path, so documents' labels are the pages' labels."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
@@ -58,7 +72,18 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op2_token_counts, op3_token_files, op4_ngram_jaccard_join, op5_substring_dedup, op7_mixing, op8_quality_rules, op10_url_filters)
+    every = (
+        op1_html_extraction,
+        op2_token_counts,
+        op3_token_files,
+        op4_ngram_jaccard_join,
+        op5_substring_dedup,
+        op6_decontamination,
+        op7_mixing,
+        op8_quality_rules,
+        op9_quality_classifier,
+        op10_url_filters,
+    )
     return {f.__name__: f for f in every}
 
 
