@@ -59,3 +59,18 @@ def test_sums_do_not_depend_on_partitioning(spark):
     for parts in (1, 7):
         total = frame.repartition(parts).agg(money.from_cents(F.sum(money.cents(F.col("x"))))).first()[0]
         assert total == expected
+
+
+def test_amounts_without_a_decimal_form_are_kept(spark):
+    """NaN shows in every figure it belongs to, and 1e40 stops nothing."""
+    def figures(*amounts):
+        x = F.col("x")
+        frame = spark.createDataFrame([(a,) for a in amounts], "x double")
+        total, rest, rows = F.sum(money.cents(x)), F.sum(money.beyond(x)), F.count("x")
+        return frame.agg(money.from_cents(total, rest).alias("t"), money.average_amount(total, rows, rest).alias("a")).first()
+
+    assert tuple(figures(80.0, 100.0, None)) == (180.0, 90.0)
+    assert all(v != v for v in figures(float("nan"), 100.0))
+    assert tuple(figures(float("inf"), 100.0)) == (float("inf"), float("inf"))
+    assert tuple(figures(1e40, 100.0)) == (1e40, 5e39)
+    assert tuple(figures(None)) == (None, None)

@@ -11,9 +11,10 @@ import pytest
 import __spark_entry__ as entry_points
 from tillstar.catalog import oracle
 from tillstar.catalog.layers import Layers
+from tillstar.catalog.queries import registered
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLE = registered(), oracle.statements()
 LISTINGS = {"source_manifest", "layer_metrics"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables are not on this machine")

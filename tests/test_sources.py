@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tillstar.functions.keys import checked_name, layer_name
-from tillstar.plans import orders_etl, verification
+from tillstar.plans import orders_etl, quality_gate, verification
 from tillstar.schemas import LOADED_ORDERS, RAW_COLUMNS, TYPED_FEED
 from tillstar.sources import bulk_load, manifest, snapshots, synthetic_feed, workspace
 from tillstar.sources.orders_feed import read_feed, write_feed
@@ -40,6 +40,12 @@ class TestStagingArea:
         assert [(r.year, r.month) for r in back.select("year", "month").collect()] == [(2024, 3)]
         assert dict(back.dtypes)["year"] == "int" and set(back.columns) == set(rows.columns)
 
+    def test_a_set_without_rows(self, spark, raw, tmp_path):
+        path = str(tmp_path / "none")
+        assert write_staged(orders_etl.staged_orders(raw({"quantity": "no"})), path) == 0
+        assert read_staged(spark, path).count() == 0
+        assert not quality_gate.quality_report(read_staged(spark, path)).where("name like '%not_null%' and success").count()
+
     def test_month_filter_prunes_directories(self, spark, raw, tmp_path):
         path = str(tmp_path / "staged")
         write_staged(orders_etl.staged_orders(raw({"order_id": "A"}, {"order_id": "B", "order_date": "2023-12-31"})), path)
@@ -66,6 +72,18 @@ class TestBulkLoad:
         assert (rejected["B"].quantity, rejected["B"].load_reason) == ("abc", "quantity")
         assert rejected["C"].load_reason == "unit_price,order_date"
 
+    @pytest.mark.parametrize("day", ["2024", "2024-3", "2024-03-05 junk", "2024-03-05T00:00:00", " 2024-03-05"])
+    def test_only_whole_dates_load(self, raw, day):
+        done = bulk_load.copy_into(raw({}, {"order_id": "B", "order_date": day}), TYPED_FEED, "days")
+        assert [r.load_reason for r in done.quarantined.collect()] == ["order_date"]
+
+    @pytest.mark.parametrize("column", ["order_id", "customer_id", "product_id"])
+    def test_required_columns(self, raw, column):
+        done = bulk_load.copy_into(raw({}, {column: None}), TYPED_FEED, "required")
+        assert [r.load_reason for r in done.quarantined.collect()] == [column]
+        with pytest.raises(PySparkException, match=f"{column} cannot hold NULL"):
+            bulk_load.copy_into(raw({}, {column: None}), TYPED_FEED, "required", on_error="abort")
+
     def test_strict_load_stops_at_a_bad_row(self, raw):
         with pytest.raises(PySparkException, match="quantity cannot hold abc"):
             bulk_load.copy_into(raw(*self.BAD[:2]), TYPED_FEED, "strict", on_error="abort")
@@ -121,6 +139,26 @@ class TestSnapshots:
         snapshots.save_view(spark.table("orders_table"), "orders_view")
         assert spark.table("orders_view").count() == 1
 
+    def test_a_failed_save_leaves_the_old_table(self, spark, raw):
+        snapshots.save_table(raw({"order_id": "OLD"}), "orders_safe")
+        broken = raw({}).withColumn("order_id", F.raise_error(F.lit("stop")).cast("string"))
+        with pytest.raises(PySparkException):
+            snapshots.save_table(broken, "orders_safe")
+        assert [r.order_id for r in spark.table("orders_safe").collect()] == ["OLD"]
+        assert [r.order_id for r in snapshots.published(spark, "orders_safe").collect()] == ["OLD"]
+
+    def test_old_versions_go(self, spark, raw):
+        for i in range(snapshots.KEPT_VERSIONS + 2):
+            snapshots.save_table(raw({"order_id": str(i)}), "orders_many")
+        assert len(snapshots.versions(spark, "orders_many")) == snapshots.KEPT_VERSIONS
+        with pytest.raises(LookupError):
+            snapshots.published(spark, "never_saved")
+
+    def test_an_empty_table_keeps_its_columns(self, spark, raw):
+        rows = orders_etl.staged_orders(raw({})).where(F.lit(False))
+        snapshots.save_table(rows, "orders_none", ("year", "month"))
+        assert snapshots.published(spark, "orders_none").count() == 0
+
     @pytest.mark.parametrize("name", ["a.b.c", "_x1", "RAW.orders$2"])
     def test_legal_names(self, name):
         assert checked_name(name) == name

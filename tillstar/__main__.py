@@ -22,10 +22,13 @@ def main(arguments: list[str] | None = None) -> int:
     load = commands.add_parser("load", help="publish the staged set as the orders snapshot")
     load.add_argument("staged")
     load.add_argument("--target", default="orders")
-    marts = commands.add_parser("marts", help="build the star schema, test it and print the reports")
+    marts = commands.add_parser("marts", help="build the star schema, test it and write the reports")
     marts.add_argument("--orders", default="orders")
     marts.add_argument("--schema", default=None)
     marts.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
+    history = commands.add_parser("history", help="continue the customer history with the published dimension")
+    history.add_argument("run_at", type=dt.datetime.fromisoformat)
+    history.add_argument("--schema", default=None)
     options = parser.parse_args(arguments)
 
     spark = builder().getOrCreate()
@@ -41,14 +44,15 @@ def main(arguments: list[str] | None = None) -> int:
             return 1
     elif options.job == "load":
         print(jobs.load(spark, options.staged, options.target))
+    elif options.job == "history":
+        print(jobs.record_history(spark, options.run_at, options.schema))
     else:
         jobs.build_marts(spark, options.orders, options.schema, options.as_of)
         failed = jobs.run_declared_tests(spark, options.orders, options.schema).where("failures > 0").collect()
         for line in failed:
             print(line["status"], line["table_name"], line["column_name"], line["test"], line["failures"])
-        for name, report in jobs.reports(jobs.marts(spark, options.orders, options.schema), options.as_of).items():
-            print(name)
-            report.show(10, truncate=False)
+        for name, location in jobs.publish_reports(spark, options.orders, options.schema, options.as_of).items():
+            print(name, location)
         return int(any(line["status"] == "error" for line in failed))
     return 0
 

@@ -67,14 +67,12 @@ FROM staged
 WHERE order_id IS NOT NULL AND customer_id IS NOT NULL AND order_date IS NOT NULL AND unit_price > 0 AND quantity > 0"""
 
 COUNTRY_MODE = """
-SELECT customer_id, country_code FROM (
-  SELECT customer_id, country_code, row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, country_code) rn
-  FROM {stg} WHERE country_code IS NOT NULL GROUP BY customer_id, country_code) WHERE rn = 1"""
+SELECT customer_id, min({{'less': -n, 'value': country_code}}).value country_code
+FROM (FROM {stg} SELECT customer_id, country_code, count(country_code) n GROUP BY ALL HAVING n > 0) GROUP BY customer_id"""
 
 CATEGORY_MODE = """
-SELECT product_id, product_category category FROM (
-  SELECT product_id, product_category, row_number() OVER (PARTITION BY product_id ORDER BY count(*) DESC, product_category) rn
-  FROM stg WHERE product_category IS NOT NULL GROUP BY product_id, product_category) WHERE rn = 1"""
+SELECT product_id, min({'less': -n, 'value': product_category}).value category
+FROM (FROM stg SELECT product_id, product_category, count(product_category) n GROUP BY ALL HAVING n > 0) GROUP BY product_id"""
 
 
 def _customers(stg: str, as_of: str) -> str:
@@ -86,26 +84,27 @@ SELECT md5(customer_id) customer_key, customer_id, country_code, first_order_dat
     WHEN spend >= 100000 AND total_orders >= 3 THEN 'silver' ELSE 'bronze' END customer_segment,
   CASE WHEN datediff('day', last_order_date, {as_of}) > 180 THEN 'high'
     WHEN datediff('day', last_order_date, {as_of}) > 90 THEN 'medium' ELSE 'low' END churn_risk
-FROM (SELECT o.customer_id, m.country_code, min(order_date) first_order_date, max(order_date) last_order_date,
+FROM (FROM {stg} SELECT customer_id, min(order_date) first_order_date, max(order_date) last_order_date,
     count(DISTINCT order_id) total_orders, {_cents('net_amount')} spend, count(net_amount) n,
     count(DISTINCT product_category) distinct_categories
-  FROM {stg} o LEFT JOIN ({COUNTRY_MODE.format(stg=stg)}) m ON o.customer_id = m.customer_id
-  WHERE order_status != 'cancelled' GROUP BY o.customer_id, m.country_code)"""
+  WHERE order_status <> 'cancelled' GROUP BY customer_id) LEFT JOIN ({COUNTRY_MODE.format(stg=stg)}) USING (customer_id)"""
 
 
 PROD = f"""
-SELECT md5(product_id) product_key, product_id, category, total_orders, total_units_sold,
+WITH figures AS (
+  FROM stg SELECT product_id, count(DISTINCT order_id) total_orders, cast(sum(quantity) AS BIGINT) total_units_sold,
+    {_cents('net_amount')} revenue, sum(cast(round(unit_price * 1000000) AS BIGINT)) price, count(unit_price) price_n,
+    sum(discount_pct) disc, count(discount_pct) disc_n, count(*) FILTER (WHERE order_status = 'returned') return_count,
+    count(DISTINCT customer_id) unique_buyers GROUP BY product_id),
+ahead AS (
+  SELECT a.product_id, (SELECT count(*) FROM figures b WHERE b.revenue IS NULL AND a.revenue IS NOT NULL OR b.revenue > a.revenue) n FROM figures a)
+SELECT md5(f.product_id) product_key, f.product_id, m.category, total_orders, total_units_sold,
   cast(revenue AS DOUBLE) / 100.0 total_revenue, {_ratio('price', 'price_n * 1000000', 2)} avg_selling_price,
   {_ratio('disc', 'disc_n', 1)} avg_discount_pct, return_count, unique_buyers,
   {_ratio('return_count * 100', 'total_orders', 2)} return_rate_pct,
-  CASE WHEN rank() OVER (ORDER BY revenue DESC NULLS FIRST) <= 100 THEN 'top_100'
-    WHEN rank() OVER (ORDER BY revenue DESC NULLS FIRST) <= 500 THEN 'top_500' ELSE 'standard' END revenue_tier
-FROM (SELECT o.product_id, m.category, count(DISTINCT order_id) total_orders, cast(sum(quantity) AS BIGINT) total_units_sold,
-    {_cents('net_amount')} revenue, sum(cast(round(unit_price * 1000000) AS BIGINT)) price, count(unit_price) price_n,
-    sum(discount_pct) disc, count(discount_pct) disc_n,
-    cast(sum(CASE WHEN order_status = 'returned' THEN 1 ELSE 0 END) AS BIGINT) return_count,
-    count(DISTINCT customer_id) unique_buyers
-  FROM stg o LEFT JOIN ({CATEGORY_MODE}) m ON o.product_id = m.product_id GROUP BY o.product_id, m.category)"""
+  CASE WHEN n < 100 THEN 'top_100' WHEN n < 500 THEN 'top_500' ELSE 'standard' END revenue_tier
+FROM figures f JOIN ahead ON f.product_id IS NOT DISTINCT FROM ahead.product_id
+LEFT JOIN ({CATEGORY_MODE}) m ON f.product_id IS NOT DISTINCT FROM m.product_id"""
 
 CAL = f"""
 SELECT cast(strftime(d, '%Y%m%d') AS INTEGER) date_key, d full_date, cast(year(d) AS INTEGER) AS year,
@@ -301,17 +300,19 @@ FROM (SELECT *, {drawn}, unnest(CASE WHEN {draw('copy')} < 0.01 THEN [1, 2] ELSE
 
 
 def statements() -> dict[str, str]:
+    day = r"NOT regexp_full_match({0}, '\d{{4}}-\d{{2}}-\d{{2}}') OR try_cast({0} AS DATE) IS NULL"
     rejected = {
+        **{name: f"{name} IS NULL" for name in ("order_id", "customer_id", "product_id")},
         "quantity": "quantity IS NOT NULL AND try_cast(quantity AS INTEGER) IS NULL",
         "unit_price": "unit_price IS NOT NULL AND try_cast(unit_price AS DOUBLE) IS NULL",
         "discount_pct": "discount_pct IS NOT NULL AND try_cast(discount_pct AS INTEGER) IS NULL",
-        "order_date": "order_date IS NOT NULL AND try_cast(order_date AS DATE) IS NULL",
-        "ship_date": "ship_date IS NOT NULL AND try_cast(ship_date AS DATE) IS NULL",
+        "order_date": f"order_date IS NOT NULL AND ({day.format('order_date')})",
+        "ship_date": f"ship_date IS NOT NULL AND ({day.format('ship_date')})",
     }
     any_bad = " OR ".join(f"({c})" for c in rejected.values())
     reasons = ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in rejected.items())
     gate = _gate()
-    known_days = "SELECT 1 FROM cal d WHERE d.year < 2000 AND d.date_key = f.date_key"
+    staged_order = "SELECT 1 FROM staged s WHERE s.order_id = f.order_id"
     totals = f"{_cents('net_amount')} cents, count(net_amount) n"
     loaded = (
         "order_id, customer_id, product_id, store_id, category, quantity, unit_price, discount_pct, order_date, ship_date, "
@@ -346,7 +347,11 @@ FROM feed WHERE NOT ({any_bad})"""),
         "copy_into_counts": _on("feed", f"""
 SELECT CASE WHEN {any_bad} THEN 'rows_errors' ELSE 'rows_loaded' END AS outcome, count(*) AS row_count FROM feed GROUP BY 1"""),
         "copy_into_strict": _on("staged", f"SELECT {loaded} FROM staged"),
-        "snapshot_replace_verify": _on("staged", "SELECT count(*) AS total_orders, count(DISTINCT order_id) AS unique_orders FROM staged"),
+        "snapshot_replace_verify": _on("staged", "SELECT count(*) AS total_orders, count(DISTINCT order_id) AS unique_orders, true AS has_load_time FROM staged"),
+        "dim_date_fixed": _on("stg", f"""
+SELECT d.*, count(o.order_id) AS orders
+FROM ({CAL.replace("FROM stg)", "FROM (VALUES (DATE '1998-01-01'), (DATE '2000-12-31')) fixed (order_date))")}) d
+  LEFT JOIN stg o ON o.order_date = d.full_date GROUP BY ALL"""),
         "warehouse_table": _on("staged", "SELECT * FROM staged"),
         "staging_view": _on("stg", "SELECT * FROM stg"),
         "load_check": _on("staged", "SELECT count(*) AS row_count, true AS has_load_time FROM staged"),
@@ -386,9 +391,10 @@ SELECT channel, orders, cast(cents AS DOUBLE) / 100.0 AS revenue, {_ratio('cents
 FROM (SELECT sales_channel channel, count(DISTINCT order_id) orders, {totals}, sum(days_to_ship) ship_days, count(days_to_ship) shipped
   FROM fct GROUP BY 1) ORDER BY revenue DESC"""),
         "churn_summary": _on("cust", f"""
-SELECT churn_risk, count(*) AS customers, cast({_cents('total_spend')} AS DOUBLE) / 100.0 AS customer_revenue
-FROM (SELECT total_spend, CASE WHEN last_order_date IS NULL OR last_order_date < {AS_OF} - INTERVAL 180 DAY THEN 'High Risk'
-  WHEN last_order_date < {AS_OF} - INTERVAL 90 DAY THEN 'Medium Risk' ELSE 'Low Risk' END churn_risk FROM cust) GROUP BY 1"""),
+SELECT label AS churn_risk, count(*) AS customers, cast({_cents('total_spend')} AS DOUBLE) / 100.0 AS customer_revenue
+FROM cust JOIN (VALUES (0, 90, 'Low Risk'), (91, 180, 'Medium Risk'), (181, 1000000, 'High Risk')) limits (least, most, label)
+  ON coalesce(greatest(datediff('day', last_order_date, {AS_OF}), 0), 1000000) BETWEEN least AND most
+GROUP BY label"""),
         "quality_gate_report": _on("staged", gate),
         "quality_gate_verdict": _on("staged", f"""
 SELECT count(*) AS checks, count(*) FILTER (WHERE success) AS passed,
@@ -401,9 +407,9 @@ FROM ({gate})"""),
         "unique_test": _on("feed", "SELECT order_id, count(*) AS copies FROM feed WHERE order_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1"),
         "accepted_values_test": _on("feed", "SELECT * FROM feed WHERE status NOT IN ('completed','returned','pending','cancelled','processing')"),
         "expression_test": _on("stg", "SELECT * FROM stg WHERE discount_pct > 0 AND NOT (gross_amount >= 1000)"),
-        "relationships_test": _on("fct", f"SELECT * FROM fct f WHERE date_key IS NOT NULL AND NOT EXISTS ({known_days})"),
-        "orphan_keys_test": _on("fct", f"""
-SELECT date_key, count(*) AS orphan_rows FROM fct f WHERE date_key IS NOT NULL AND NOT EXISTS ({known_days}) GROUP BY 1"""),
+        "relationships_test": _on("staged", f"SELECT * FROM feed f WHERE order_id IS NOT NULL AND NOT EXISTS ({staged_order})"),
+        "orphan_keys_test": _on("staged", f"""
+SELECT order_id, count(*) AS orphan_rows FROM feed f WHERE order_id IS NOT NULL AND NOT EXISTS ({staged_order}) GROUP BY 1"""),
         "freshness": _on("staged", """
 SELECT newest_load, age // 3600 AS age_hours,
   CASE WHEN age > 48 * 3600 THEN 'error' WHEN age > 24 * 3600 THEN 'warn' ELSE 'pass' END AS status

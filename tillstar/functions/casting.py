@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, DateType, StringType
 
 
 def whole_number(text: Column) -> Column:
@@ -29,10 +29,13 @@ def iso_day(text: Column) -> Column:
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}\z"), text.try_cast("date"))
 
 
-def try_typed(value: Column, target: DataType) -> Column:
+def try_typed(value: Column, source: DataType, target: DataType) -> Column:
+    """Text becomes a date only in the full ``yyyy-MM-dd`` form; a plain cast would take ``2024`` or trailing text."""
+    if isinstance(target, DateType) and isinstance(source, StringType):
+        return iso_day(value)
     return value.try_cast(target)
 
 
-def cast_failed(value: Column, target: DataType) -> Column:
+def cast_failed(value: Column, source: DataType, target: DataType) -> Column:
     """True when a present value has no representation in the target type."""
-    return value.isNotNull() & value.try_cast(target).isNull()
+    return value.isNotNull() & try_typed(value, source, target).isNull()

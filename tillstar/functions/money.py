@@ -39,23 +39,38 @@ def net(unit_price: Column, quantity: Column, discount_pct: Column) -> Column:
 
 
 def scaled(value: Column, digits: int) -> Column:
-    """A double as a whole number of ``10^-digits`` units.
+    """A double as a whole number of ``10^-digits`` units; NULL if it has none, as NaN, Infinity or 1e40.
 
-    The decimal is wide enough for any amount a double can hold exactly, and its sum for any row count.
+    Twenty digits hold any amount a double can hold exactly, and leave room for the sum of 10^18 rows.
     """
-    return F.rint(value * F.lit(float(10**digits))).cast("decimal(28,0)")
+    return F.rint(value * F.lit(float(10**digits))).try_cast("decimal(20,0)")
 
 
 def cents(amount: Column) -> Column:
     return scaled(amount, 2)
 
 
-def from_cents(total: Column) -> Column:
-    return total.cast("double") / F.lit(100.0)
+def beyond(value: Column, digits: int = 2) -> Column:
+    """The values that ``scaled`` has no whole number for. Their sum is kept beside the exact one, so that no value is lost."""
+    return F.when(scaled(value, digits).isNull(), value)
 
 
-def average_amount(total_cents: Column, rows: Column) -> Column:
-    return half_up_ratio(total_cents, rows * 100, 2)
+def from_cents(total: Column, rest: Column | None = None) -> Column:
+    """Amount of a sum of cents and, if there is any, of the sum of ``beyond``."""
+    amount = total.cast("double") / F.lit(100.0)
+    return amount if rest is None else F.when(rest.isNull(), amount).otherwise(F.coalesce(amount, F.lit(0.0)) + rest)
+
+
+def average_amount(total_cents: Column, rows: Column, rest: Column | None = None) -> Column:
+    return average(total_cents, rows, 2, rest)
+
+
+def average(total: Column, rows: Column, scale: int, rest: Column | None = None) -> Column:
+    """Mean with two decimals of ``rows`` values whose scaled sum is ``total``; ``rest`` as in from_cents."""
+    exact = half_up_ratio(total, rows * F.lit(10**scale), 2)
+    if rest is None:
+        return exact
+    return F.when(rest.isNull(), exact).otherwise((F.coalesce(total.cast("double") / F.lit(float(10**scale)), F.lit(0.0)) + rest) / rows)
 
 
 def half_up_ratio(numerator: Column, denominator: Column, digits: int) -> Column:

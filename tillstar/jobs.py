@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from tillstar.functions.calendar import load_time
 from tillstar.functions.keys import layer_name
 from tillstar.operators.contracts import CRITICAL
-from tillstar.plans import customers, dashboard, dates, declared_tests, orders_etl, products, quality_gate, sales, staging
+from tillstar.plans import customer_history, customers, dashboard, dates, declared_tests, orders_etl, products, quality_gate, sales, staging
 from tillstar.plans.orders_etl import EtlSummary
 from tillstar.schemas import LOADED_ORDERS
 from tillstar.sources import bulk_load, manifest, snapshots
@@ -49,18 +49,18 @@ def mart_name(table: str, schema: str | None = None) -> str:
 
 def build_marts(spark: SparkSession, orders: str = "orders", schema: str | None = None, as_of: dt.date | None = None) -> None:
     """Dimensions first, then the fact on the written customer dimension."""
-    stg = staging.stg_orders(spark.table(orders))
+    stg = staging.stg_orders(snapshots.published(spark, orders))
     snapshots.save_view(stg, "stg_orders")
     snapshots.save_table(customers.dim_customers(stg, as_of), mart_name("dim_customers", schema))
     snapshots.save_table(products.dim_products(stg), mart_name("dim_products", schema))
     snapshots.save_table(dates.dim_date(dates.years_covering(stg, "order_date"), as_of), mart_name("dim_date", schema))
-    written = spark.table(mart_name("dim_customers", schema))
+    written = snapshots.published(spark, mart_name("dim_customers", schema))
     snapshots.save_table(sales.fct_sales(stg, written), mart_name("fct_sales", schema), sales.LAYOUT)
 
 
 def marts(spark: SparkSession, orders: str = "orders", schema: str | None = None) -> dict[str, DataFrame]:
     names = ("fct_sales", "dim_customers", "dim_products", "dim_date")
-    return {"raw_orders": spark.table(orders), **{n: spark.table(mart_name(n, schema)) for n in names}}
+    return {"raw_orders": snapshots.published(spark, orders), **{n: snapshots.published(spark, mart_name(n, schema)) for n in names}}
 
 
 def run_declared_tests(spark: SparkSession, orders: str = "orders", schema: str | None = None) -> DataFrame:
@@ -68,7 +68,7 @@ def run_declared_tests(spark: SparkSession, orders: str = "orders", schema: str
 
 
 def reports(tables: dict[str, DataFrame], as_of: dt.date | None = None) -> dict[str, DataFrame]:
-    """The dashboard's six questions, plus the trend by month."""
+    """The dashboard's six questions, plus the trend by month, whole."""
     fact, dim = tables["fct_sales"], tables["dim_customers"]
     return {
         "revenue_trend_daily": dashboard.revenue_trend_daily(fact, tables["dim_date"]),
@@ -79,3 +79,18 @@ def reports(tables: dict[str, DataFrame], as_of: dt.date | None = None) -> dict[
         "channel_performance": dashboard.channel_performance(fact),
         "churn_summary": dashboard.churn_summary(dim, as_of),
     }
+
+
+def publish_reports(spark: SparkSession, orders: str = "orders", schema: str | None = None, as_of: dt.date | None = None) -> dict[str, str]:
+    """Every report as a published table; returns where each one is."""
+    made = reports(marts(spark, orders, schema), as_of)
+    return {name: snapshots.save_table(report, mart_name(f"report_{name}", schema)) for name, report in made.items()}
+
+
+def record_history(spark: SparkSession, run_at: dt.datetime, schema: str | None = None) -> int:
+    """Continue the published customer history, or begin it; returns its number of versions."""
+    target = mart_name("customer_history", schema)
+    earlier = snapshots.published(spark, target) if snapshots.versions(spark, target) else None
+    current = snapshots.published(spark, mart_name("dim_customers", schema))
+    snapshots.save_table(customer_history.record_run(earlier, current, run_at), target)
+    return snapshots.published(spark, target).count()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillstar.operators.history import open_versions, scd2_merge
 from tillstar.sources.workspace import persisted
@@ -18,6 +19,11 @@ CHECKED = ["customer_segment", "churn_risk", "total_orders", "total_spend"]
 KEY = "customer_id"
 
 
+def active(customers: DataFrame, churned: str = "high") -> DataFrame:
+    """Customers who have not left by the churn rule: the tracked set of a history that only follows active ones."""
+    return customers.where(F.col("churn_risk") != churned)
+
+
 def record_run(history: DataFrame | None, customers: DataFrame, run_at: dt.datetime) -> DataFrame:
     """The history after one run, as a table of its own.
 

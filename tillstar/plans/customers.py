@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions import keys, scoring
 from tillstar.functions.calendar import as_of_day, load_time
-from tillstar.functions.money import average_amount, cents, from_cents
+from tillstar.functions.money import average_amount, beyond, cents, from_cents
 from tillstar.operators.modes import modal_value
 
 
@@ -34,6 +34,7 @@ def customer_metrics(stg: DataFrame) -> DataFrame:
             F.max("order_date").alias("last_day"),
             F.count("order_id").alias("orders"),
             F.sum(net).alias("net_cents"),
+            F.sum(beyond(F.col("net_amount"))).alias("net_rest"),
             F.count("net_amount").alias("net_rows"),
         )
     )
@@ -42,6 +43,7 @@ def customer_metrics(stg: DataFrame) -> DataFrame:
         F.max("last_day").alias("last_order_date"),
         F.sum("orders").alias("total_orders"),
         F.sum("net_cents").alias("spend_cents"),
+        F.sum("net_rest").alias("spend_rest"),
         F.sum("net_rows").alias("net_rows"),
         F.count("product_category").alias("distinct_categories"),
     )
@@ -49,7 +51,7 @@ def customer_metrics(stg: DataFrame) -> DataFrame:
 
 def dim_customers(stg: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     measured = customer_metrics(stg).join(customer_country_mode(stg), "customer_id", "left")
-    spend = from_cents(F.col("spend_cents"))
+    spend = from_cents(F.col("spend_cents"), F.col("spend_rest"))
     silent = F.datediff(as_of_day(as_of), "last_order_date")
     return measured.select(
         keys.surrogate_key("customer_id").alias("customer_key"),
@@ -59,7 +61,7 @@ def dim_customers(stg: DataFrame, as_of: dt.date | None = None) -> DataFrame:
         "last_order_date",
         "total_orders",
         spend.alias("total_spend"),
-        average_amount(F.col("spend_cents"), F.col("net_rows")).alias("avg_order_value"),
+        average_amount(F.col("spend_cents"), F.col("net_rows"), F.col("spend_rest")).alias("avg_order_value"),
         "distinct_categories",
         silent.alias("days_since_last_order"),
         scoring.segment(spend, F.col("total_orders")).alias("customer_segment"),

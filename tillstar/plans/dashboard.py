@@ -13,26 +13,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.calendar import as_of_day
-from tillstar.functions.money import average_amount, cents, from_cents, half_up_ratio
+from tillstar.functions.money import average_amount, beyond, cents, from_cents, half_up_ratio
 from tillstar.functions.scoring import churn_label
 
-NET = "net_cents"
+NET, REST = "net_cents", "net_rest"
 TOP_COUNTRIES = 10
 
 
-def _net_cents() -> Column:
-    return F.sum(cents(F.col("net_amount"))).alias(NET)
+def _net(amount: str = "net_amount") -> list[Column]:
+    return [F.sum(cents(F.col(amount))).alias(NET), F.sum(beyond(F.col(amount))).alias(REST)]
+
+
+def _revenue() -> Column:
+    return from_cents(F.sum(NET), F.sum(REST))
 
 
 def _per_key(sales: DataFrame, key: str) -> DataFrame:
-    return sales.groupBy(key).agg(_net_cents(), F.count("order_id").alias("orders"))
+    return sales.groupBy(key).agg(*_net(), F.count("order_id").alias("orders"))
 
 
 def _trend(sales: DataFrame, dates: DataFrame, period: Column) -> DataFrame:
     per_day = _per_key(sales, "date_key").join(dates.select("date_key", "full_date"), "date_key")
     return (
         per_day.groupBy(period.alias("month"))
-        .agg(from_cents(F.sum(NET)).alias("net_revenue"), F.sum("orders").alias("total_orders"))
+        .agg(_revenue().alias("net_revenue"), F.sum("orders").alias("total_orders"))
         .orderBy("month")
     )
 
@@ -51,7 +55,7 @@ def revenue_by_category(sales: DataFrame, products: DataFrame) -> DataFrame:
     priced = _per_key(sales, "product_id").join(products.select("product_id", "category"), "product_id")
     return (
         priced.groupBy(F.col("category").alias("product_category"))
-        .agg(from_cents(F.sum(NET)).alias("net_revenue"))
+        .agg(_revenue().alias("net_revenue"))
         .orderBy(F.col("net_revenue").desc_nulls_first(), "product_category")
     )
 
@@ -68,7 +72,7 @@ def top_countries(sales: DataFrame, customers: DataFrame, limit: int = TOP_COUNT
     located = _per_key(sales, "customer_id").join(customers.select("customer_id", "country_code"), "customer_id")
     return (
         located.groupBy("country_code")
-        .agg(from_cents(F.sum(NET)).alias("revenue"))
+        .agg(_revenue().alias("revenue"))
         .orderBy(F.col("revenue").desc_nulls_first(), "country_code")
         .limit(limit)
     )
@@ -77,7 +81,7 @@ def top_countries(sales: DataFrame, customers: DataFrame, limit: int = TOP_COUNT
 def channel_performance(sales: DataFrame) -> DataFrame:
     totals = sales.groupBy(F.col("sales_channel").alias("channel")).agg(
         F.count("order_id").alias("orders"),
-        _net_cents(),
+        *_net(),
         F.count("net_amount").alias("net_rows"),
         F.sum("days_to_ship").alias("ship_days"),
         F.count("days_to_ship").alias("shipped"),
@@ -85,8 +89,8 @@ def channel_performance(sales: DataFrame) -> DataFrame:
     return totals.select(
         "channel",
         "orders",
-        from_cents(F.col(NET)).alias("revenue"),
-        average_amount(F.col(NET), F.col("net_rows")).alias("average_order_value"),
+        from_cents(F.col(NET), F.col(REST)).alias("revenue"),
+        average_amount(F.col(NET), F.col("net_rows"), F.col(REST)).alias("average_order_value"),
         half_up_ratio(F.col("ship_days"), F.col("shipped"), 1).alias("avg_ship_days"),
     ).orderBy(F.col("revenue").desc_nulls_first(), "channel")
 
@@ -98,7 +102,7 @@ def churn_summary(customers: DataFrame, as_of: dt.date | None = None) -> DataFra
         customers.groupBy(risk.alias("churn_risk"))
         .agg(
             F.count(F.lit(1)).alias("customers"),
-            from_cents(F.sum(cents(F.col("total_spend")))).alias("customer_revenue"),
+            from_cents(*(F.sum(part(F.col("total_spend"))) for part in (cents, beyond))).alias("customer_revenue"),
         )
         .orderBy(severity)
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions import keys
 from tillstar.functions.calendar import load_time
-from tillstar.functions.money import cents, from_cents, half_up_ratio, scaled
+from tillstar.functions.money import average, beyond, cents, from_cents, half_up_ratio, scaled
 from tillstar.operators.modes import likeliest, modal_value
 from tillstar.operators.tiers import rank_tier
 
@@ -22,8 +22,10 @@ def product_category_mode(stg: DataFrame) -> DataFrame:
 
 
 def product_revenue(stg: DataFrame) -> DataFrame:
-    """Revenue in cents per product; NULL when no order of the product has an amount."""
-    return stg.groupBy("product_id").agg(F.sum(cents(F.col("net_amount"))).alias("revenue_cents"))
+    """Revenue per product; NULL when no order of the product has an amount."""
+    net = F.col("net_amount")
+    summed = stg.groupBy("product_id").agg(F.sum(cents(net)).alias("cents"), F.sum(beyond(net)).alias("rest"))
+    return summed.select("product_id", from_cents(F.col("cents"), F.col("rest")).alias("total_revenue"))
 
 
 def product_metrics(stg: DataFrame) -> DataFrame:
@@ -37,7 +39,9 @@ def product_metrics(stg: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("weight"),
         F.sum("quantity").alias("units"),
         F.sum(cents(F.col("net_amount"))).alias("net_cents"),
+        F.sum(beyond(F.col("net_amount"))).alias("net_rest"),
         F.sum(scaled(F.col("unit_price"), PRICE_DIGITS)).alias("price_units"),
+        F.sum(beyond(F.col("unit_price"), PRICE_DIGITS)).alias("price_rest"),
         F.count("unit_price").alias("price_rows"),
         F.sum("discount_pct").alias("discounts"),
         F.count("discount_pct").alias("discount_rows"),
@@ -47,28 +51,30 @@ def product_metrics(stg: DataFrame) -> DataFrame:
         likeliest(F.col("product_category"), F.col("weight")).alias("category"),
         F.sum("orders").alias("total_orders"),
         F.sum("units").alias("total_units_sold"),
-        F.sum("net_cents").alias("revenue_cents"),
+        from_cents(F.sum("net_cents"), F.sum("net_rest")).alias("total_revenue"),
         F.sum("price_units").alias("price_units"),
+        F.sum("price_rest").alias("price_rest"),
         F.sum("price_rows").alias("price_rows"),
         F.sum("discounts").alias("discounts"),
         F.sum("discount_rows").alias("discount_rows"),
         F.sum("returns").alias("return_count"),
     )
     buyers = stg.groupBy("product_id").agg(F.count_distinct("customer_id").alias("unique_buyers"))
-    return per_product.join(buyers, "product_id")
+    # Orders without a product are a group of their own.
+    other = buyers.withColumnRenamed("product_id", "buyers_of")
+    return per_product.join(other, F.col("product_id").eqNullSafe(F.col("buyers_of"))).drop("buyers_of")
 
 
 def dim_products(stg: DataFrame) -> DataFrame:
-    tier = rank_tier(product_revenue(stg), "revenue_cents", TIERS, LOWEST_TIER)
-    price_scale = F.lit(10**PRICE_DIGITS)
+    tier = rank_tier(product_revenue(stg), "total_revenue", TIERS, LOWEST_TIER)
     return product_metrics(stg).select(
         keys.surrogate_key("product_id").alias("product_key"),
         "product_id",
         "category",
         "total_orders",
         "total_units_sold",
-        from_cents(F.col("revenue_cents")).alias("total_revenue"),
-        half_up_ratio(F.col("price_units"), F.col("price_rows") * price_scale, 2).alias("avg_selling_price"),
+        "total_revenue",
+        average(F.col("price_units"), F.col("price_rows"), PRICE_DIGITS, F.col("price_rest")).alias("avg_selling_price"),
         half_up_ratio(F.col("discounts"), F.col("discount_rows"), 1).alias("avg_discount_pct"),
         "return_count",
         "unique_buyers",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.functions.money import average_amount, cents, half_up_ratio
+from tillstar.functions.money import average_amount, beyond, cents, half_up_ratio
 
 CENTS_PER_MILLION = 100_000_000
 
@@ -18,12 +18,15 @@ def _totals(orders: DataFrame, *distinct) -> DataFrame:
         F.min("order_date").alias("earliest_order"),
         F.max("order_date").alias("latest_order"),
         F.sum(cents(F.col("net_amount"))).alias("net_cents"),
+        F.sum(beyond(F.col("net_amount"))).alias("net_rest"),
         F.count("net_amount").alias("net_rows"),
     )
 
 
-def _millions(net):
-    return half_up_ratio(net, F.lit(CENTS_PER_MILLION), 2)
+def _millions():
+    net, rest = F.col("net_cents"), F.col("net_rest")
+    inexact = (F.coalesce(net.cast("double") / 100.0, F.lit(0.0)) + rest) / 1_000_000.0
+    return F.when(rest.isNull(), half_up_ratio(net, F.lit(CENTS_PER_MILLION), 2)).otherwise(inexact)
 
 
 def load_verification(orders: DataFrame) -> DataFrame:
@@ -35,8 +38,8 @@ def load_verification(orders: DataFrame) -> DataFrame:
         "unique_products",
         "earliest_order",
         "latest_order",
-        _millions(F.col("net_cents")).alias("total_revenue_m"),
-        average_amount(F.col("net_cents"), F.col("net_rows")).alias("avg_order_value"),
+        _millions().alias("total_revenue_m"),
+        average_amount(F.col("net_cents"), F.col("net_rows"), F.col("net_rest")).alias("avg_order_value"),
     )
 
 
@@ -46,5 +49,5 @@ def load_profile(orders: DataFrame) -> DataFrame:
         "unique_customers",
         "earliest_order",
         "latest_order",
-        _millions(F.col("net_cents")).alias("revenue_millions"),
+        _millions().alias("revenue_millions"),
     )

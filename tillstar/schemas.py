@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import BooleanType, DateType, DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DateType, DoubleType, IntegerType, StringType, StructField, StructType, TimestampNTZType
 
 # The feed columns, the types they load as, the derived columns and the accepted domains.
 RAW_COLUMNS = [
@@ -32,6 +32,10 @@ REVENUE_TIERS = ["top_100", "top_500", "standard"]
 ACCEPTED_STATUSES = [*ORDER_STATUSES, UNKNOWN_STATUS]
 
 
+# The load target declares these NOT NULL.
+REQUIRED = ["order_id", "customer_id", "product_id"]
+
+
 def _layout(names: list[str], types: dict) -> StructType:
     return StructType([StructField(name, types.get(name, StringType())) for name in names])
 
@@ -40,3 +44,4 @@ def _layout(names: list[str], types: dict) -> StructType:
 RAW_ORDERS = _layout(RAW_COLUMNS, {})
 TYPED_FEED = _layout(RAW_COLUMNS, NON_TEXT_TYPES)
 LOADED_ORDERS = _layout(RAW_COLUMNS + DERIVED_COLUMNS, NON_TEXT_TYPES)
+STAGED_ORDERS = _layout(RAW_COLUMNS + DERIVED_COLUMNS + ["etl_loaded_at"], NON_TEXT_TYPES | {"etl_loaded_at": TimestampNTZType()})

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 
+#: Environment variable for the number of partitions that a shuffle starts with. Adaptive execution merges small
+#: partitions but doesn't split even ones, so set it to the largest shuffle's size over about 200 MB.
+INITIAL_PARTITIONS = "TILLSTAR_INITIAL_PARTITIONS"
+
+
 def builder(app_name: str = "tillstar") -> SparkSession.Builder:
     """Adaptive execution sizes shuffles, splits hot join keys and merges small partitions."""
-    return (
+    wide = os.environ.get(INITIAL_PARTITIONS)
+    made = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -16,6 +24,7 @@ def builder(app_name: str = "tillstar") -> SparkSession.Builder:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
     )
+    return made.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", wide) if wide else made
 
 
 def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:

@@ -6,9 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 from tillstar.functions.casting import cast_failed, try_typed
+from tillstar.schemas import REQUIRED, STAGED_ORDERS
 from tillstar.sources.workspace import persisted
 
 OUTCOME = "load_outcome"
@@ -17,15 +18,20 @@ SOURCE = "load_source"
 LOADED, REJECTED = "loaded", "rejected"
 
 
+def _faulty(rows: DataFrame, name: str, data_type: DataType) -> Column:
+    failed = cast_failed(F.col(name), rows.schema[name].dataType, data_type)
+    return failed | F.col(name).isNull() if name in REQUIRED else failed
+
+
 def classify(rows: DataFrame, target: StructType) -> DataFrame:
     """Typed columns plus an outcome per row; a rejected row also keeps its input values.
 
-    A row is rejected when any present value has no counterpart in the target type.
+    A row is rejected when any present value has no counterpart in the target type, or a required one is missing.
     """
-    failing = F.concat_ws(",", *[F.when(cast_failed(F.col(f.name), f.dataType), F.lit(f.name)) for f in target])
+    failing = F.concat_ws(",", *[F.when(_faulty(rows, f.name, f.dataType), F.lit(f.name)) for f in target])
     source = F.struct(*[F.col(f.name) for f in target])
     return rows.select(
-        *[try_typed(F.col(f.name), f.dataType).alias(f.name) for f in target],
+        *[try_typed(F.col(f.name), rows.schema[f.name].dataType, f.dataType).alias(f.name) for f in target],
         failing.alias(REASON),
         F.when(failing != "", source).alias(SOURCE),
         F.when(failing == "", LOADED).otherwise(REJECTED).alias(OUTCOME),
@@ -44,10 +50,11 @@ def rejected_rows(classified: DataFrame) -> DataFrame:
 def strict(rows: DataFrame, target: StructType) -> DataFrame:
     """Typed rows; evaluating a bad value fails the job, whatever the session's ANSI mode."""
 
-    def typed(name: str, data_type) -> Column:
+    def typed(name: str, data_type: DataType) -> Column:
         value = F.col(name)
-        complaint = F.concat(F.lit(f"column {name} cannot hold "), value.cast("string"))
-        return F.when(cast_failed(value, data_type), F.raise_error(complaint)).otherwise(value.try_cast(data_type))
+        complaint = F.concat(F.lit(f"column {name} cannot hold "), F.coalesce(value.cast("string"), F.lit("NULL")))
+        good = try_typed(value, rows.schema[name].dataType, data_type)
+        return F.when(_faulty(rows, name, data_type), F.raise_error(complaint)).otherwise(good)
 
     return rows.select(*[typed(f.name, f.dataType).alias(f.name) for f in target])
 
@@ -92,5 +99,5 @@ def copy_into(rows: DataFrame, target: StructType, name: str, on_error: str = "c
 
 
 def read_parquet_objects(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet files only; anything else under the path is ignored."""
-    return spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
+    """Staged Parquet files only; anything else under the path is ignored, and a set without rows can be read."""
+    return spark.read.schema(STAGED_ORDERS).option("pathGlobFilter", "*.parquet").parquet(path)

@@ -27,8 +27,8 @@ def _objects(spark: SparkSession, path: str, pattern: str | None) -> DataFrame:
 def require_objects(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """The listing, after checking that something is there and nothing is empty."""
     try:
-        # The names are those of the file index, which the driver holds for any scan.
-        present = len(_objects(spark, path, pattern).inputFiles())
+        # The index that any scan holds; only its length comes to Python.
+        present = len(_objects(spark, path, pattern)._jdf.inputFiles())
     except AnalysisException as error:
         raise FileNotFoundError(path) from error
     if present == 0:

@@ -1,15 +1,27 @@
-"""Catalog publication: snapshots that are checked before they become visible, tables and views."""
+"""Publication: tables that are written and checked before they become visible, and outlive their process.
+
+A published table is a folder of versions under the warehouse. A version counts from the moment its marker file is
+there, which holds its schema; readers take the newest marked version. So a failed save leaves the old one,
+and a new process finds the table by name. The newest KEPT_VERSIONS stay for readers that are still running.
+"""
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillstar.functions.keys import checked_name, quoted_name
 from tillstar.operators.dedup import key_counts
-from tillstar.sources.workspace import by_partition, new_location, write_once
+from tillstar.sources.workspace import by_partition, warehouse_root
+
+KEPT_VERSIONS = 3
+MARKER = "_PUBLISHED"
 
 
 class SnapshotRejected(RuntimeError):
@@ -28,41 +40,92 @@ def load_check(rows: DataFrame, loaded_at: str) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("row_count"), F.max(loaded_at).alias("latest_load"))
 
 
-def key_check(rows: DataFrame, key: str) -> DataFrame:
-    """Rows, distinct non-null keys. Keys are pre-counted, so a repeated key costs one row per task."""
-    return key_counts(rows, key).agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("total_orders"), F.count(key).alias("unique_orders")
-    )
+def key_check(rows: DataFrame, key: str, loaded_at: str | None = None) -> DataFrame:
+    """Rows, distinct non-null keys and newest load time. Keys are pre-counted, so a repeated key costs one row per task."""
+    total, unique = F.coalesce(F.sum("copies"), F.lit(0)).alias("total_orders"), F.count(key).alias("unique_orders")
+    if loaded_at is None:
+        return key_counts(rows, key).agg(total, unique)
+    newest = F.max(loaded_at).alias("latest_load")
+    counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("copies"), newest)
+    return counted.agg(total, unique, F.max("latest_load").alias("latest_load"))
+
+
+def _files(spark: SparkSession, path: str) -> tuple:
+    """Hadoop's view of the store that holds a path."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def table_root(spark: SparkSession, target: str) -> str:
+    return f"{warehouse_root(spark)}/_published/{checked_name(target).replace('.', '/')}"
+
+
+def versions(spark: SparkSession, target: str) -> list[str]:
+    """Published versions of a table, oldest first; their names begin with the time of writing."""
+    store, root = _files(spark, table_root(spark, target))
+    if not store.exists(root):
+        return []
+    paths = [status.getPath() for status in store.listStatus(root)]
+    return sorted(p.toString() for p in paths if store.exists(_files(spark, f"{p.toString()}/{MARKER}")[1]))
+
 
+def published(spark: SparkSession, target: str) -> DataFrame:
+    """The newest version of a table that any process has published."""
+    found = versions(spark, target)
+    if not found:
+        raise LookupError(f"{target} has not been published under {warehouse_root(spark)}")
+    store, marker = _files(spark, f"{found[-1]}/{MARKER}")
+    stream = store.open(marker)
+    schema = bytes(stream.readAllBytes()).decode()
+    stream.close()
+    return spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(found[-1])
 
-def publish_view(spark: SparkSession, location: str, target: str) -> None:
-    """Point the catalog view at a written table; readers switch between two complete versions."""
-    spark.sql(f"CREATE OR REPLACE VIEW {quoted_name(target)} AS SELECT * FROM parquet.`{location}`")
+
+def _write_version(rows: DataFrame, target: str, partition_by: tuple[str, ...]) -> str:
+    location = f"{table_root(rows.sparkSession, target)}/{time.time_ns():020d}-{uuid.uuid4().hex}"
+    by_partition(rows, partition_by).write.parquet(location, mode="errorifexists", partitionBy=list(partition_by))
+    return location
+
+
+def _publish(rows: DataFrame, location: str, target: str) -> None:
+    """Mark a complete version, point this session's view at it and drop versions beyond the retention."""
+    spark = rows.sparkSession
+    store, marker = _files(spark, f"{location}/{MARKER}")
+    stream = store.create(marker, False)
+    stream.write(bytearray(rows.schema.json().encode()))
+    stream.close()
+    _show(spark, target)
+    for old in versions(spark, target)[:-KEPT_VERSIONS]:
+        store.delete(_files(spark, old)[1], True)
+
+
+def _show(spark: SparkSession, target: str) -> None:
+    """Readers by name see the newest version; the view holds no files of its own."""
+    name = target.replace(".", "__")
+    published(spark, target).createOrReplaceTempView(name)
+    if "." in target:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted_name(target.rpartition('.')[0])}")
+        location = versions(spark, target)[-1]
+        spark.sql(f"CREATE OR REPLACE VIEW {quoted_name(target)} AS SELECT * FROM parquet.`{location}`")
 
 
 def replace_snapshot(rows: DataFrame, target: str, key: str, partition_by: tuple[str, ...] = ()) -> Snapshot:
     """Write a new version, verify volume and key uniqueness on what was written, then publish it."""
-    spark = rows.sparkSession
-    checked_name(target)
-    location = write_once(rows, target, partition_by)
-    found = key_check(spark.read.schema(rows.schema).parquet(location), key).first()
+    location = _write_version(rows, target, partition_by)
+    found = key_check(rows.sparkSession.read.schema(rows.schema).parquet(location), key).first()
     if found["total_orders"] == 0:
         raise SnapshotRejected(f"{target}: the load produced no rows")
     if found["total_orders"] != found["unique_orders"]:
         raise SnapshotRejected(f"{target}: {key} is not unique or is missing")
-    publish_view(spark, location, target)
+    _publish(rows, location, target)
     return Snapshot(location, found["total_orders"], found["unique_orders"])
 
 
-def save_table(rows: DataFrame, target: str, cluster_by: tuple[str, ...] = ()) -> None:
-    """Materialise as a catalog table, laid out by ``cluster_by`` so range filters skip files.
-
-    Each save goes to a location of its own: running readers keep the files of the previous one.
-    """
-    location = new_location(rows.sparkSession, checked_name(target))
-    by_partition(rows, cluster_by).write.saveAsTable(
-        target, format="parquet", mode="overwrite", partitionBy=list(cluster_by), path=location
-    )
+def save_table(rows: DataFrame, target: str, cluster_by: tuple[str, ...] = ()) -> str:
+    """Publish as a table, laid out by ``cluster_by`` so range filters skip files; returns the version's location."""
+    location = _write_version(rows, target, cluster_by)
+    _publish(rows, location, target)
+    return location
 
 
 def save_view(rows: DataFrame, name: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillstar.schemas import STAGED_ORDERS
 from tillstar.sources.workspace import by_partition
 
 LAYOUT = ("year", "month")
@@ -22,5 +23,5 @@ def write_staged(orders: DataFrame, path: str) -> int:
 
 
 def read_staged(spark: SparkSession, path: str) -> DataFrame:
-    """``year`` and ``month`` come back from the directory names and prune the scan."""
-    return spark.read.parquet(path)
+    """``year`` and ``month`` come back from the directory names and prune the scan. A set without rows can be read."""
+    return spark.read.schema(STAGED_ORDERS).parquet(path)

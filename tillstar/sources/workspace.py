@@ -6,25 +6,19 @@ any executor and cut the lineage of whatever reads them.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
-
-
 def shared_root(spark: SparkSession) -> str:
+    """Scratch: the checkpoint folder, or else a corner of the warehouse, which executors share as well."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    # Single-machine runs only, such as tests.
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="tillstar-")
-    return _local_roots[app]
+    return named.rstrip("/") if named else f"{warehouse_root(spark)}/_scratch"
+
+
+def warehouse_root(spark: SparkSession) -> str:
+    """Published tables, which no clean-up of scratch may touch."""
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
 def new_location(spark: SparkSession, name: str) -> str:
