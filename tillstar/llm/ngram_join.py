@@ -39,6 +39,8 @@ GROUP_TOKENS = 1_500_000
 FREQUENT = 64
 #: Entries of pairs in different components, per entry of the index, up to which all are verified at once.
 FEW = 8
+#: Rounds with single partners, at most.
+MOST_TURNS = 3
 
 _TOKEN = np.uint64((1 << 40) - 1)
 _MANY = np.uint64(0)  # stands for "several classes of this slice"
@@ -177,18 +179,21 @@ def size_class(n: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.floor(np.log(n.astype(float)) / np.log(den / num)).astype(np.int64)
 
 
-def index_keys(n: int, frequency: np.ndarray, shingles: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of one set, and for each the most shingles that a partner can share which meets it there first.
+def index_keys(n: int, frequency: np.ndarray, shingles: np.ndarray, num: int, den: int) -> tuple[np.ndarray, ...]:
+    """Keys of one set, for each the most shingles that a partner can share which meets it there first, the key before, and if it is for larger sets.
 
-    frequency and shingles: those of its n shingles that more than one set has, in global order.
+    frequency and shingles: those of its n shingles that more than one set has, in global order. Two sets that share
+    a key and the one before have met earlier. The first key has none, that is 0, before it. Two sets that
+    meet by a key for larger sets than both meet by one for their own size as well.
     """
+    none = np.zeros(0, np.uint64)
     need, alone = int(_need(np.int64(n), num, den)), n - len(shingles)
     reach = n - need + 1 - alone
     if reach < 1 or len(shingles) < need or need < 2:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)  # no partner, or only equal sets
+        return none, none.astype(np.int64), none, none.astype(bool)  # no partner, or only equal sets
     rare = int(np.searchsorted(frequency, FREQUENT, side="right"))
     keys = [mix(shingles[: min(reach, rare)])]
-    singles = len(keys[0])
+    caps, upper = [len(shingles) - np.arange(len(keys[0]))], [np.zeros(len(keys[0]), bool)]
     if reach > rare:
         own = int(size_class(np.array([n]), num, den)[0])
         for c in (own, own + 1):
@@ -197,34 +202,40 @@ def index_keys(n: int, frequency: np.ndarray, shingles: np.ndarray, num: int, de
             group = mix(common ^ np.uint64(0xC0)) % np.uint64(groups)
             order = np.lexsort((common, group))
             common, group = common[order], group[order]
+            found, at = [none], [none.astype(np.int64)]
             for apart in range(1, len(common)):
                 near = group[apart:] == group[:-apart]
                 if not near.any():
                     break
-                keys.append(mix(mix(common[:-apart][near]) + np.uint64(2 * c + 1) * common[apart:][near]))
-    keys, at = np.unique(np.concatenate(keys), return_index=True)
-    # The first common shingle is the key itself, or else every common shingle is frequent.
-    return keys, len(shingles) - np.where(at < singles, at, rare)
+                found.append(mix(mix(common[:-apart][near]) + np.uint64(2 * c + 1) * common[apart:][near]))
+                at.append(group[apart:][near].astype(np.int64))
+            found, at = np.concatenate(found), np.concatenate(at)
+            # By group, so that a shingle that differs parts few neighbours.
+            keys.append(found[np.lexsort((found, at))])
+            caps.append(np.full(len(keys[-1]), len(shingles) - rare))  # every common shingle is frequent
+            upper.append(np.full(len(keys[-1]), c > own))
+    before = [np.concatenate([none, [np.uint64(0)], k[:-1]])[: len(k)] for k in keys]
+    return np.concatenate(keys), np.concatenate(caps), np.concatenate(before), np.concatenate(upper)
 
 
 def _index(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    none = np.zeros(0, np.uint64)
     for batch in batches:
         lists = batch.column("common")
         first = lists.offsets.to_numpy()
         flat = lists.values
         shingles, frequency = flat.field("shingle").to_numpy().view(np.uint64), flat.field("df").to_numpy()
         sizes = batch.column("n").to_numpy()
-        keys, caps = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        found = [index_keys(1, none, none, num, den)]
         for i, n in enumerate(sizes):
             s, f = shingles[first[i] : first[i + 1]], frequency[first[i] : first[i + 1]]
             order = np.lexsort((s, f))
-            key, cap = index_keys(int(n), f[order], s[order], num, den)
-            keys.append(key)
-            caps.append(cap)
-        counts = [len(x) for x in keys[1:]]
+            found.append(index_keys(int(n), f[order], s[order], num, den))
+        counts = [len(x[0]) for x in found[1:]]
+        keys, caps, befores, upper = (np.concatenate(x) for x in zip(*found, strict=True))
         yield pa.RecordBatch.from_arrays(
-            [np.concatenate(keys).view(np.int64), np.repeat(batch.column("rep").to_numpy(), counts), np.repeat(sizes, counts), np.concatenate(caps)],
-            ["key", "rep", "n", "cap"],
+            [keys.view(np.int64), np.repeat(batch.column("rep").to_numpy(), counts), np.repeat(sizes, counts).astype(np.int32), caps.astype(np.int32), befores.view(np.int64), pa.array(upper)],
+            ["key", "rep", "n", "cap", "before", "upper"],
         )
 
 
@@ -269,27 +280,31 @@ def similar_documents(
         .groupBy("rep", "n")
         .agg(F.collect_list(F.struct("shingle", "df")).alias("common"))
     )
-    index = persisted(common.mapInArrow(lambda b: _index(b, num, den), "key long, rep long, n long, cap long"), "shingle_index", shuffle=False)
+    index = persisted(common.mapInArrow(lambda b: _index(b, num, den), "key long, rep long, n int, cap int, before long, upper boolean"), "shingle_index", shuffle=False)
 
     links, labels, tested, turn = None, None, None, 0
     entries = index.count()
+    members = index.withColumn("label", F.col("rep"))
     while True:
-        members = index if labels is None else index.join(labels, F.col("rep") == F.col("node"), "left").drop("node")
-        members = members.withColumn("label", F.col("rep") if labels is None else F.coalesce("component", "rep")).select("key", "rep", "n", "cap", "label")
-        mixed = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-        members = persisted(members.join(mixed, "key", "left_semi"), "mixed_keys", shuffle=False)
-        tally = members.groupBy("key", "label").count().groupBy("key").agg(F.sum("count").alias("m"), F.sum(F.col("count") * F.col("count")).alias("q"))
-        open_pairs = tally.agg(F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("q")) / 2), F.lit(0))).first()[0]
+        tally = members.groupBy("key", "label").count().groupBy("key").agg(F.count("*").alias("labels"), F.sum("count").alias("m"), F.sum(F.col("count") * F.col("count")).alias("q"))
+        mixed = persisted(tally.where("labels > 1"), "mixed_keys", shuffle=False)
+        open_pairs = mixed.agg(F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("q")) / 2), F.lit(0))).first()[0]
         if not open_pairs:
             break
-        last = open_pairs <= FEW * entries or turn >= 3
-        b = members.select("key", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "cap", "label")))
+        # Keys whose sets are all in one component have nothing left to tell.
+        members = persisted(members.join(mixed.select("key"), "key", "left_semi"), "mixed_members", shuffle=False)
+        last = open_pairs <= FEW * entries or turn >= MOST_TURNS
+        columns = ("rep", "n", "cap", "before", "upper", "label")
+        b = members.select("key", *(F.col(c).alias(f"{c}_b") for c in columns))
         if last:
-            a = members.select("key", *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "cap", "label")))
-            met = a.join(b, (a["key"] == b["key"]) & (F.col("label_a") < F.col("label_b")) & _possible(num, den))
+            a = members.select("key", *(F.col(c).alias(f"{c}_a") for c in columns))
+            first = ((F.col("before_a") != F.col("before_b")) | (F.col("before_a") == 0)) & ~(F.col("upper_a") & F.col("upper_b"))
+            met = a.join(b, (a["key"] == b["key"]) & (F.col("label_a") < F.col("label_b")) & _possible(num, den) & first)
         else:
-            one = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "n", "cap", "label"))
-            a = members.groupBy("key").agg(one.alias("p")).select("key", *(F.col(f"p.{c}").alias(f"{c}_a") for c in ("rep", "n", "cap", "label")))
+            # At first one partner for all keys of a group; then another one for each key.
+            draw = F.xxhash64("rep") if not turn else F.xxhash64("rep", "key", F.lit(turn))
+            one = F.min(F.struct(draw.alias("h"), *columns))
+            a = members.groupBy("key").agg(one.alias("p")).select("key", *(F.col(f"p.{c}").alias(f"{c}_a") for c in columns))
             met = a.join(b, (a["key"] == b["key"]) & (F.col("label_a") != F.col("label_b")) & _possible(num, den))
         pairs = met.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
         if tested is not None:
@@ -302,6 +317,7 @@ def similar_documents(
         turn += 1
         if last:
             break
+        members = members.drop("label").join(labels, F.col("rep") == F.col("node"), "left").withColumn("label", F.coalesce("component", "rep")).drop("node", "component")
 
     merged = classes if labels is None else classes.join(labels, F.col("rep") == F.col("node"), "left")
     merged = merged.select("n", "s1", "s2", (F.col("rep") if labels is None else F.coalesce("component", "rep")).alias("component_id"))
