@@ -9,7 +9,6 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-
 from tillstar.llm import html_extract, textops, token_counts, token_files
 
 TEXTS = [
@@ -155,6 +154,20 @@ def test_slots_of_a_host_are_its_text(spark):
     assert html_extract.extract_text(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<div class='page no-sidebar'><article><p>a<p>b</article></div>", "a\n\nb"),
+        ("<article class=comment>c</article><main><article><header><h1>T</h1><p>by x</p></header>a &lt;b&gt; <em>c</em>d</article></main>", "T\n\na <b> cd"),
+        ("<main>x<form>f</form><section class='related posts'>r</section>y<!-- z --></main>", "x\n\ny"),
+        ("<article><table><tr><td>1</td><td>2</td></tr><tr><td>3<td>4</table></article>", "1 2\n\n3 4"),
+        ("<article>a < b <p title='x>y'>c</article><script>1</script>", "a < b\n\nc"),
+    ],
+)
+def test_articles(page, text):
+    assert "\n\n".join(html_extract.article(html_extract.parse(page))) == text
+
+
 def test_trees_match_in_order():
     a = [[0, "r", "", 0], [1, "x", "1", 0], [1, "y", "2", 0], [2, "z", "3", 0]]
     b = [[0, "r", "", 0], [1, "w", "0", 0], [1, "y", "2", 0], [2, "z", "4", 0], [1, "x", "1", 0]]
