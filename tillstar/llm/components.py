@@ -32,18 +32,15 @@ def component_labels(links: DataFrame, a: str, b: str) -> DataFrame:
     """
     ordered = links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct()
     edges = persisted(ordered, "component_edges", shuffle=False)
-    state = _fingerprint(edges)
-    while state[0]:
+    while not _stars(edges):
         edges = persisted(_towards_minimum(_towards_minimum(edges, "larger"), "smaller"), "component_edges", shuffle=False)
-        after = _fingerprint(edges)
-        if after == state:
-            break
-        state = after
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first()
-    return tuple(row)
+def _stars(edges: DataFrame) -> bool:
+    """True if every node has one smaller neighbour, which has none itself: the neighbour is then its component's smallest node."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("b", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not nodes.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).agg(F.count("*")).first()[0]

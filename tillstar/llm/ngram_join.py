@@ -38,9 +38,9 @@ GROUP_TOKENS = 1_500_000
 #: A shingle in more classes than this is frequent.
 FREQUENT = 64
 #: Entries of pairs in different components, per entry of the index, up to which all are verified at once.
-FEW = 8
+FEW = 16
 #: Rounds with single partners, at most.
-MOST_TURNS = 3
+MOST_TURNS = 2
 
 _TOKEN = np.uint64((1 << 40) - 1)
 _MANY = np.uint64(0)  # stands for "several classes of this slice"
