@@ -187,3 +187,17 @@ def test_fact_flags_and_defaults(stg):
     assert [got[k].is_return for k in "ABCD"] == [True, False, False, False]
     assert [got[k].has_discount for k in "ABCD"] == [True, False, False, False]
     assert (got["A"].discount_amount, got["A"].net_amount, got["A"].date_key) == (0.0, 12.5, 20240101)
+
+
+def test_orders_without_a_product_are_a_product_of_their_own(stg):
+    rows = stg({"product_id": None, "customer_id": "C1"}, {"product_id": None, "customer_id": "C2"}, {"product_id": "P1"})
+    found = by(products.dim_products(rows), "product_id")
+    assert (found[None].total_orders, found[None].unique_buyers, found["P1"].total_orders) == (2, 2, 1)
+
+
+def test_amounts_without_a_decimal_form_reach_the_dimensions(stg):
+    rows = stg({"product_id": "P1", "net_amount": 1e40, "unit_price": 1e40}, {"product_id": "P1"}, {"product_id": "P2", "net_amount": float("nan")})
+    found = by(products.dim_products(rows), "product_id")
+    assert found["P1"].total_revenue == 1e40 and found["P1"].avg_selling_price == 5e39
+    assert found["P2"].total_revenue != found["P2"].total_revenue
+    assert customers.dim_customers(rows, TODAY).count() == 1
