@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -57,11 +58,7 @@ def word_class(word: bytes) -> list[int]:
         flags |= UNIT
     elif inner[:1].isupper():
         flags |= CAPITAL
-    value = np.uint64(1469598103934665603)
-    with np.errstate(over="ignore"):
-        for byte in lower.encode():
-            value = (value ^ np.uint64(byte)) * np.uint64(1099511628211)
-    return [flags, int(value.view(np.int64))]
+    return [flags, int.from_bytes(blake2b(lower.encode(), digest_size=8).digest(), "little", signed=True)]
 
 
 def canonical(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
