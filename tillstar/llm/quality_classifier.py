@@ -145,14 +145,14 @@ def _views(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text", 4 << 20):
+        for part in slices(batch, "text", 2 << 20):
             packed = [np.concatenate(pair).astype("<f4").tobytes() for pair in zip(*_views(part), strict=True)]
             yield pa.RecordBatch.from_arrays([part.column("draw"), part.column("good"), pa.array(packed, pa.binary())], ["draw", "good", "features"])
 
 
 def _scored(batches: Iterator[pa.RecordBatch], models: list[Logistic], prior: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text", 4 << 20):
+        for part in slices(batch, "text", 2 << 20):
             text, meta = (m.log_odds(x) for m, x in zip(models, _views(part), strict=True))
             p = [1 / (1 + np.exp(-z)) for z in (text, meta, np.clip(text + meta - prior, -30, 30))]
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in part.schema.names if c.startswith("own_")), *map(pa.array, p)], [c for c in part.schema.names if c.startswith("own_")] + ["p_text", "p_meta", "p_good"])

@@ -153,7 +153,7 @@ def shingles_of(texts: pa.Array, k: int = 5, lower: bool = True) -> Shingles:
     return Shingles(out[fresh], np.concatenate([[0], np.cumsum(fresh)])[first])
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with at most so many bytes of text, one row at least."""
     sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), np.int64)
     ends = np.cumsum(sizes)

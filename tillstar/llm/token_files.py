@@ -34,7 +34,7 @@ MAGIC = b"TSB1"
 #: Set bits between two kept positions.
 SAMPLE = 64
 #: Text of one block; a longer text makes a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def elias_fano(values: np.ndarray, universe: int) -> bytes:
