@@ -173,3 +173,21 @@ def test_trees_match_in_order():
     b = [[0, "r", "", 0], [1, "w", "0", 0], [1, "y", "2", 0], [2, "z", "4", 0], [1, "x", "1", 0]]
     assert sorted(html_extract.match_trees(a, b)) == [(0, 0), (2, 2), (3, 3)]
     assert html_extract.match_trees(a, [[0, "other", "", 0]]) == []
+
+
+def test_long_and_deep_pages_without_an_article(spark):
+    body = lambda page, n: [f"Page {page} says line {i} of its own." for i in range(n)]
+    frame_of = lambda lines: "<html><body><div class=top>Our shop</div>" + "".join(f"<p>{x}</p>" for x in lines) + "<div class=end>All rights</div></body></html>"
+    pages = {i: body(i, 2000 + 50 * i) for i in range(4)}
+    deep = "<div>" * 3000 + "<p>Far below.</p>" + "</div>" * 3000 + "<p>And after.</p>"
+    rows = [(i, "http://long.net/a", frame_of(lines)) for i, lines in pages.items()] + [(9, "http://deep.net/a", deep)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract_text(frame).collect()}
+    assert got == {**{i: "\n\n".join(lines) for i, lines in pages.items()}, 9: "Far below.\n\nAnd after."}
+
+
+def test_large_trees_match_from_both_ends(monkeypatch):
+    tree = lambda n: [[0, "body", "", 0], [1, "nav", "n", 0], *([1, "p", f"{n}-{i}", 0] for i in range(n)), [1, "p", "end", 0]]
+    monkeypatch.setattr(html_extract, "MOST_NODES", 3)
+    pairs = html_extract.match_trees(tree(5), tree(8))
+    assert {(0, 0), (1, 1), (7, 10)} <= set(pairs) and len(pairs) == 8
