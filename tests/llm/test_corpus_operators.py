@@ -178,6 +178,24 @@ def test_benchmark_items(spark, docs):
     assert decontamination.judge_contamination(frame.limit(0), bench).count() == 0
 
 
+def test_items_beside_other_fillings_of_their_template(spark):
+    item = "A train leaves Boston at 40 km per hour and meets Anna after 3 hours on the long way to the coast."
+    other = item.replace("Boston", "Lisbon").replace("40", "55").replace("Anna", "Tom").replace("3", "7")
+    third = item.replace("Boston", "Quito").replace("40", "66").replace("Anna", "Ida").replace("3", "9")
+    halves = item.split(" and meets ")
+    texts = [f"{item} {other}", " ".join(["Questions.", third, other, item]), f"{halves[0]} and meets {' '.join(prose(random.Random(1), 40))}. and meets {halves[1]}", "no such words here at all in this text"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, other)], "item_id long, text string")
+    got = {r.doc_id: r for r in decontamination.judge_contamination(frame, bench).collect()}
+    assert [got[i].contaminated for i in range(4)] == [True, True, True, False]
+    assert got[0].n_items == got[1].n_items == 2 and got[0].coverage == 1.0
+
+
+def test_occurrences():
+    steps = [(0, 0), (1, 1), (4, 2), (5, 3), (30, 0), (31, 1), (40, 3), (41, 2)]
+    assert decontamination.occurrences(steps) == [steps[:4], [(30, 0), (31, 1), (40, 3)], [(41, 2)]]
+
+
 def test_benchmark_join_beyond_the_lookup(spark, monkeypatch):
     words = " ".join(f"k{i}" for i in range(30))
     frame = spark.createDataFrame([(1, f"x y {words} z"), (2, "k1 k2 k3")], "doc_id long, text string")

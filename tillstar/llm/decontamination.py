@@ -3,7 +3,9 @@
 Words lose outer punctuation and case; numbers, names and units become typed slots. A name is a capitalised word
 that doesn't open a sentence, a unit a unit word after a number. Windows of template words are hash-joined
 with those of the benchmark. An item is found in a document when enough of its windows match and its slots are
-filled consistently: one value of the item always meets one value of the document.
+filled consistently: one value of the item always meets one value of the document. Both are judged for each
+occurrence, a run of matches in the order of the item, so other fillings of its template elsewhere don't count
+against it; and for all matches of the document together, which finds items in scattered parts.
 
 The benchmark's windows go to the tasks as a sorted array when they are counted to fit LOOKUP_WINDOWS; else
 windows of documents and items are joined by a shuffle. Both ways give the same rows.
@@ -15,7 +17,7 @@ clean. Rows with null or repeated ids are judged by their own text. Extra column
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -29,6 +31,9 @@ from tillstar.llm.textops import WordTable, Words, mix, slices, window_hashes, w
 WINDOW = 8
 #: Share of an item's windows that have to match, and of its slots that have to agree.
 MIN_COVERAGE, MIN_CONSISTENT = 0.5, 0.8
+#: Words by which the offset between document and item may change from one match of an occurrence to the next.
+#: Adjacent copies of an item of two windows are further apart.
+MOST_SHIFT = WINDOW - 1
 #: Windows of the benchmark that a task holds: 16 bytes each.
 LOOKUP_WINDOWS = 4_000_000
 
@@ -116,20 +121,60 @@ def _windows_of(batches: Iterator[pa.RecordBatch], size: int, lookup: np.ndarray
             )
 
 
-def _judged(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-    """One document and item: matched windows, and the share of slots that meet their usual value."""
+def occurrences(matches: list[tuple]) -> list[list[tuple]]:
+    """Matches (place, item_place, ...) in order of place, as runs that go forward in document and item with small shifts."""
+    runs: list[list[tuple]] = []
+    latest: dict[int, int] = {}  # the last run at each offset
+    shifts = [0, *(d for n in range(1, MOST_SHIFT + 1) for d in (n, -n))]
+    for match in matches:
+        place, item_place = match[:2]
+        for shift in shifts:
+            run = latest.get(place - item_place + shift)
+            if run is not None and runs[run][-1][0] < place and runs[run][-1][1] < item_place:
+                del latest[place - item_place + shift]
+                break
+        else:
+            run = len(runs)
+            runs.append([])
+        runs[run].append(match)
+        latest[place - item_place] = run
+    return runs
+
+
+def _agreement(matches: Iterable[tuple]) -> tuple[int, float]:
+    """Windows of the item among matches (item_place, slots, item_slots), and the share of slots that meet their usual value."""
     met: dict[int, dict[int, int]] = {}
-    for own, other in zip(group["slots"], group["item_slots"], strict=True):
+    places = set()
+    for item_place, own, other in matches:
+        places.add(item_place)
         for x, y in zip(own, other, strict=False):
-            met.setdefault(y, {})[x] = met.setdefault(y, {}).get(x, 0) + 1
+            values = met.setdefault(y, {})
+            values[x] = values.get(x, 0) + 1
     total = sum(sum(v.values()) for v in met.values())
     agreed = sum(max(v.values()) for v in met.values())
-    windows_met = group["item_place"].nunique()
-    return pd.DataFrame([[key[0], key[1], key[2], windows_met, windows_met / group["n_windows"].iloc[0], agreed / total if total else 1.0]])
+    return len(places), agreed / total if total else 1.0
+
+
+def _judged(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    """One document and item: matched windows and agreement of all matches, and of the occurrences that no other one beats in both."""
+    columns = (group["place"].tolist(), group["item_place"].tolist(), map(tuple, group["slots"]), map(tuple, group["item_slots"]))
+    matches = sorted(zip(*columns, strict=True))
+    found = {_agreement({m[1:] for m in matches})}
+    found.update(_agreement(m[1:] for m in run) for run in occurrences(matches))
+    best, rows = -1.0, []
+    n_windows = group["n_windows"].iloc[0]
+    for windows_met, consistent in sorted(found, reverse=True):
+        if consistent > best:
+            best = consistent
+            rows.append([key[0], key[1], key[2], windows_met, windows_met / n_windows, consistent])
+    return pd.DataFrame(rows)
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", window: int = WINDOW) -> DataFrame:
-    """(id, row, item_id, n_windows, coverage, consistent) of every document and item that share a window; row is a hash of the text."""
+    """(id, row, item_id, n_windows, coverage, consistent) of every document and item that share a window; row is a hash of the text.
+
+    A document and item have a row for all matches, and further ones for occurrences of less coverage that agree better.
+    """
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col("text").cast("string").alias("text")).where("text is not null").dropDuplicates()
     shape = "place long, hash long, slots array<long>"
     item_windows = items.mapInArrow(lambda b: _windows_of(b, window, None), f"item long, {shape}")
@@ -142,9 +187,8 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     if lookup is not None and not len(lookup):
         return docs.sparkSession.createDataFrame([], "id long, row long, item_id long, n_windows long, coverage double, consistent double")
     found = texts.mapInArrow(lambda b: _windows_of(b, window, lookup), f"id long, row long, {shape}")
-    met = found.join(item_side, "hash").select("id", "row", "item_id", "item_place", "slots", "item_slots", "n_windows")
-    # A document that repeats an item meets each window more than once, but few values.
-    met = met.dropDuplicates(["id", "row", "item_id", "item_place", "slots", "item_slots"])
+    met = found.join(item_side, "hash").select("id", "row", "item_id", "place", "item_place", "slots", "item_slots", "n_windows")
+    met = met.dropDuplicates(["id", "row", "item_id", "place", "item_place", "slots", "item_slots"])
     return met.groupBy("id", "row", "item_id").applyInPandas(_judged, "id long, row long, item_id long, n_windows long, coverage double, consistent double")
 
 
@@ -152,7 +196,7 @@ def contaminated(found: DataFrame, min_coverage: float = MIN_COVERAGE, min_consi
     """(id, row) of documents that hold an item, with the item of the highest coverage."""
     hits = found.where((F.col("coverage") >= min_coverage) & (F.col("consistent") >= min_consistent))
     best = F.max(F.struct("coverage", (-F.col("item_id")).alias("m"), "item_id", "n_windows")).alias("best")
-    return hits.groupBy("id", "row").agg(best, F.count("*").alias("n_items")).select("id", "row", "best.item_id", "best.n_windows", "best.coverage", "n_items")
+    return hits.groupBy("id", "row").agg(best, F.countDistinct("item_id").alias("n_items")).select("id", "row", "best.item_id", "best.n_windows", "best.coverage", "n_items")
 
 
 def judge_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
