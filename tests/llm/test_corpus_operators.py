@@ -196,6 +196,17 @@ def test_occurrences():
     assert decontamination.occurrences(steps) == [steps[:4], [(30, 0), (31, 1), (40, 3)], [(41, 2)]]
 
 
+def test_short_items_and_passages_of_long_ones(spark):
+    rng = random.Random(9)
+    long = prose(rng, 200, 5000)
+    wrap = lambda t: " ".join(prose(rng, 20, 5000)) + ". " + t + " " + " ".join(prose(rng, 20, 5000))
+    texts = [wrap("What is 7 plus 5?"), wrap("What is 7 minus 5?"), wrap(" ".join(long[80:120])), wrap(" ".join(long[80:92])), "What is 8 plus 2?", wrap("It has 12 rooms"), wrap("It has 42 rooms")]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "What is 7 plus 5?"), (2, " ".join(long)), (3, "42")], "item_id long, text string")
+    got = {r.doc_id: r.item_id for r in decontamination.judge_contamination(frame, bench).where("contaminated").collect()}
+    assert got == {0: 1, 2: 2, 4: 1, 6: 3}
+
+
 def test_benchmark_join_beyond_the_lookup(spark, monkeypatch):
     words = " ".join(f"k{i}" for i in range(30))
     frame = spark.createDataFrame([(1, f"x y {words} z"), (2, "k1 k2 k3")], "doc_id long, text string")

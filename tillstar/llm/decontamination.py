@@ -10,7 +10,9 @@ against it; and for all matches of the document together, which finds items in s
 The benchmark's windows go to the tasks as a sorted array when they are counted to fit LOOKUP_WINDOWS; else
 windows of documents and items are joined by a shuffle. Both ways give the same rows.
 
-Items and documents shorter than a window are one window. Null and empty texts have no words, match nothing and are
+An item shorter than a window is one window, and documents have windows of each length that such items have. Where it
+is nothing but slots its values count instead, as any number or name would match. A long verbatim passage of an item is found
+whatever its share of the item. Null and empty texts have no words, match nothing and are
 clean. Rows with null or repeated ids are judged by their own text. Extra columns are ignored.
 """
 
@@ -31,6 +33,8 @@ from tillstar.llm.textops import WordTable, Words, mix, slices, window_hashes, w
 WINDOW = 8
 #: Share of an item's windows that have to match, and of its slots that have to agree.
 MIN_COVERAGE, MIN_CONSISTENT = 0.5, 0.8
+#: Words of an item that a document has to repeat in a row, values of slots included, to hold it whatever the coverage.
+MIN_RUN = 13
 #: Words by which the offset between document and item may change from one match of an occurrence to the next.
 #: Adjacent copies of an item of two windows are further apart.
 MOST_SHIFT = WINDOW - 1
@@ -48,6 +52,7 @@ NUMBER = re.compile(r"^[+\-$€£]*\d[\d.,:/]*(%|st|nd|rd|th)?$")
 OUTER = "\"'`.,;:!?()[]{}<>*_~…“”‘’«»¿¡"
 PLAIN, NUM, UNIT, CAPITAL = 0, 1, 2, 4
 ENDS = 8
+JUDGED = "id long, row long, item_id long, n_windows long, coverage double, consistent double, run long"
 _SLOT = {NUM: np.uint64(0x6E756D), UNIT: np.uint64(0x756E6974), CAPITAL: np.uint64(0x6E616D65)}
 
 
@@ -84,20 +89,27 @@ def canonical(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return template, kind, values
 
 
-def windows(texts: pa.Array, size: int) -> tuple[np.ndarray, ...]:
-    """Text, place, hash, slot types and slot values of all windows; the last two for each word of a window."""
+def windows(texts: pa.Array, size: int, lengths: Iterable[int] | None = None) -> tuple[np.ndarray, ...]:
+    """Text, place, hash, slot types and slot values of all windows; the last two for each word of a window.
+
+    Besides windows of the full size there are those of the given shorter lengths; without lengths, a text shorter than the size is one window.
+    """
     words = words_of(texts)
     template, kind, values = canonical(words)
     counts = np.diff(words.first)
-    hashes = window_hashes(template, size)
     text = np.repeat(np.arange(len(counts)), counts)
     place = np.arange(len(template)) - words.first[text]
-    whole = np.flatnonzero(place + size <= counts[text])
-    short = np.flatnonzero((counts > 0) & (counts < size))
-    short_hashes = np.array([window_hashes(template[words.first[i] : words.first[i + 1]], int(counts[i]))[0] for i in short], np.uint64)
-    at = np.concatenate([whole, words.first[short]]).astype(np.int64)
-    span = np.concatenate([np.full(len(whole), size), counts[short]]).astype(np.int64)
-    return text[at], place[at], np.concatenate([hashes[whole], mix(short_hashes ^ counts[short].astype(np.uint64))]), at, span, kind, values
+    left = counts[text] - place
+    at = np.flatnonzero(left >= size)
+    found = [(at, np.full(len(at), size), window_hashes(template, size)[at])]
+    plain = np.concatenate([[0], np.cumsum(kind == PLAIN)])
+    for n in sorted({int(x) for x in counts if 0 < x < size} if lengths is None else lengths):
+        at = np.flatnonzero((left >= n) if lengths is not None else (place == 0) & (left == n))
+        if len(at):
+            hashes = np.where(plain[at + n] > plain[at], window_hashes(template, n)[at], window_hashes(values, n)[at])
+            found.append((at, np.full(len(at), n), mix(hashes ^ np.uint64(n))))
+    at, span, hashes = (np.concatenate(x) for x in zip(*found, strict=True))
+    return text[at], place[at], hashes, at, span, kind, values
 
 
 def _slots(at: np.ndarray, span: np.ndarray, kind: np.ndarray, values: np.ndarray) -> pa.Array:
@@ -106,18 +118,18 @@ def _slots(at: np.ndarray, span: np.ndarray, kind: np.ndarray, values: np.ndarra
     return pa.array(lists, pa.list_(pa.int64()))
 
 
-def _windows_of(batches: Iterator[pa.RecordBatch], size: int, lookup: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+def _windows_of(batches: Iterator[pa.RecordBatch], size: int, lookup: np.ndarray | None, lengths: list[int] | None = None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
-            text, place, hashes, at, span, kind, values = windows(part.column("text"), size)
+            text, place, hashes, at, span, kind, values = windows(part.column("text"), size, lengths)
             if lookup is not None and len(hashes):
                 found = np.minimum(np.searchsorted(lookup, hashes), len(lookup) - 1)
                 hit = lookup[found] == hashes
                 text, place, hashes, at, span = text[hit], place[hit], hashes[hit], at[hit], span[hit]
             names = [x for x in part.schema.names if x != "text"]
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(x).take(pa.array(text)) for x in names), pa.array(place, pa.int64()), pa.array(hashes.view(np.int64)), _slots(at, span, kind, values)],
-                [*names, "place", "hash", "slots"],
+                [*(part.column(x).take(pa.array(text)) for x in names), pa.array(place, pa.int64()), pa.array(span, pa.int64()), pa.array(hashes.view(np.int64)), _slots(at, span, kind, values)],
+                [*names, "place", "span", "hash", "slots"],
             )
 
 
@@ -155,7 +167,19 @@ def _agreement(matches: Iterable[tuple]) -> tuple[int, float]:
     return len(places), agreed / total if total else 1.0
 
 
-def _judged(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+def _longest_run(matches: list[tuple], window: int) -> int:
+    """Most words in a row that are the item's, values of slots included."""
+    same = sorted({(place - item_place, place) for place, item_place, own, other in matches if own == other})
+    longest = run = 0
+    last = None
+    for offset, place in same:
+        run = run + 1 if last == (offset, place - 1) else 1
+        last = offset, place
+        longest = max(longest, run)
+    return longest + window - 1 if longest else 0
+
+
+def _judged(key: tuple, group: pd.DataFrame, window: int) -> pd.DataFrame:
     """One document and item: matched windows and agreement of all matches, and of the occurrences that no other one beats in both."""
     columns = (group["place"].tolist(), group["item_place"].tolist(), map(tuple, group["slots"]), map(tuple, group["item_slots"]))
     matches = sorted(zip(*columns, strict=True))
@@ -163,38 +187,40 @@ def _judged(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     found.update(_agreement(m[1:] for m in run) for run in occurrences(matches))
     best, rows = -1.0, []
     n_windows = group["n_windows"].iloc[0]
+    run = _longest_run(matches, min(window, int(group["span"].iloc[0])))
     for windows_met, consistent in sorted(found, reverse=True):
         if consistent > best:
             best = consistent
-            rows.append([key[0], key[1], key[2], windows_met, windows_met / n_windows, consistent])
+            rows.append([key[0], key[1], key[2], windows_met, windows_met / n_windows, consistent, run])
     return pd.DataFrame(rows)
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", window: int = WINDOW) -> DataFrame:
-    """(id, row, item_id, n_windows, coverage, consistent) of every document and item that share a window; row is a hash of the text.
+    """(id, row, item_id, n_windows, coverage, consistent, run) of every document and item that share a window; row is a hash of the text, run the most words in a row that are the item's.
 
     A document and item have a row for all matches, and further ones for occurrences of less coverage that agree better.
     """
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col("text").cast("string").alias("text")).where("text is not null").dropDuplicates()
-    shape = "place long, hash long, slots array<long>"
+    shape = "place long, span long, hash long, slots array<long>"
     item_windows = items.mapInArrow(lambda b: _windows_of(b, window, None), f"item long, {shape}")
     of_item = item_windows.groupBy("item").agg(F.countDistinct("place").alias("n_windows"))
     item_side = item_windows.join(of_item, "item").select(F.col("item").alias("item_id"), F.col("place").alias("item_place"), "hash", F.col("slots").alias("item_slots"), "n_windows")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("row"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    lengths = [r[0] for r in item_windows.where(F.col("span") < window).select("span").distinct().collect()]
     lookup = None
     if item_windows.count() <= LOOKUP_WINDOWS:
         lookup = np.unique(np.array([r[0] for r in item_windows.select("hash").distinct().collect()], np.int64).view(np.uint64))
     if lookup is not None and not len(lookup):
-        return docs.sparkSession.createDataFrame([], "id long, row long, item_id long, n_windows long, coverage double, consistent double")
-    found = texts.mapInArrow(lambda b: _windows_of(b, window, lookup), f"id long, row long, {shape}")
-    met = found.join(item_side, "hash").select("id", "row", "item_id", "place", "item_place", "slots", "item_slots", "n_windows")
+        return docs.sparkSession.createDataFrame([], JUDGED)
+    found = texts.mapInArrow(lambda b: _windows_of(b, window, lookup, lengths), f"id long, row long, {shape}")
+    met = found.join(item_side, "hash").select("id", "row", "item_id", "place", "span", "item_place", "slots", "item_slots", "n_windows")
     met = met.dropDuplicates(["id", "row", "item_id", "place", "item_place", "slots", "item_slots"])
-    return met.groupBy("id", "row", "item_id").applyInPandas(_judged, "id long, row long, item_id long, n_windows long, coverage double, consistent double")
+    return met.groupBy("id", "row", "item_id").applyInPandas(lambda key, group: _judged(key, group, window), JUDGED)
 
 
-def contaminated(found: DataFrame, min_coverage: float = MIN_COVERAGE, min_consistent: float = MIN_CONSISTENT) -> DataFrame:
+def contaminated(found: DataFrame, min_coverage: float = MIN_COVERAGE, min_consistent: float = MIN_CONSISTENT, min_run: int = MIN_RUN) -> DataFrame:
     """(id, row) of documents that hold an item, with the item of the highest coverage."""
-    hits = found.where((F.col("coverage") >= min_coverage) & (F.col("consistent") >= min_consistent))
+    hits = found.where((F.col("coverage") >= min_coverage) & (F.col("consistent") >= min_consistent) | (F.col("run") >= min_run))
     best = F.max(F.struct("coverage", (-F.col("item_id")).alias("m"), "item_id", "n_windows")).alias("best")
     return hits.groupBy("id", "row").agg(best, F.countDistinct("item_id").alias("n_items")).select("id", "row", "best.item_id", "best.n_windows", "best.coverage", "n_items")
 
