@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillstar.llm import decontamination, mixing, ngram_join, quality_classifier, token_files
 from tillstar.sources.workspace import persisted
@@ -22,10 +23,15 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the document with the smallest id; a group's other documents go."""
-    groups = ngram_join.similar_documents(docs)
-    gone = groups.where("doc_id <> component_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Of each group of near copies, the document with the smallest id; of rows that repeat id and text, one."""
+    row = F.xxhash64("text")
+    groups = ngram_join.similar_documents(docs, keyed=True)
+    gone = groups.where("doc_id <> component_id").select("doc_id", "row").distinct()
+    left = docs.withColumn("row", row).join(gone, ["doc_id", "row"], "left_anti")
+    many = docs.groupBy("doc_id", row.alias("row")).count().where("count > 1").select(F.col("doc_id").alias("many_id"), F.col("row").alias("many_row"))
+    same = F.col("doc_id").eqNullSafe(F.col("many_id")) & (F.col("row") == F.col("many_row"))
+    repeated = left.join(many, same, "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct("lang", "source", "n_chars")).alias("rest"))
+    return left.join(many, same, "left_anti").select(*COLUMNS).unionByName(repeated.select("doc_id", "text", "rest.*"))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

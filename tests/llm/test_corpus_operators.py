@@ -253,6 +253,14 @@ def test_documents_of_the_mix(spark):
     assert out.columns == frame.columns and out.count() == 60
 
 
+def test_mix_of_documents_without_or_with_repeated_ids(spark):
+    rows = [(None, f"n{i} x y z", "s", None) for i in range(6)] + [(7, "a b c d", "s", i) for i in range(3)] + [(7, "other text is here", "s", 9)] + [(20 + i, "e f g h", "t", None) for i in range(10)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, size long")
+    out = mixing.mixed_documents(frame, share=2.0)
+    assert out.columns == frame.columns
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, rows * 2))
+
+
 def counts(text):
     words = WORD.findall(text or "")
     triples = list(zip(words, words[1:], words[2:], strict=False))

@@ -49,3 +49,17 @@ def test_run(spark, folder):
     ends = sorted((r.start, r.start + r.n_tokens) for r in out)
     assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:], strict=False))
     assert {r.doc_id for r in out} <= set(range(100))
+
+
+def test_null_and_repeated_ids(spark, folder):
+    rng = random.Random(12)
+    first, second, third = prose(rng, 90), prose(rng, 90), prose(rng, 90)
+    rows = [(3, first), (3, second), (2, first + " and more"), (5, third), (5, third), (None, third), (None, third), (None, None), (8, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    once = corpus_pipeline.one_of_each(spark, docs, folder)
+    expected = [(3, second), rows[2], (5, third), (None, third), (None, None), (8, None)]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in once.collect()))) == sorted(map(str, expected))
+    clean = corpus_pipeline.without_benchmark(spark, once, folder)
+    assert clean.count() == len(expected)
+    mixed = corpus_pipeline.mixed(spark, clean, folder)
+    assert {(r.doc_id, r.text) for r in mixed.collect()} <= set(expected[:4])

@@ -8,7 +8,8 @@ each source meets its target to the word.
 
 Sources rank by code point, null last, and weigh ``weights`` in turn. Null texts have no words. A source
 without words has target 0. Rows are told apart by nothing but id and size, so repeated rows share the
-order's place between them. Extra columns are ignored by ``mix_sources`` and kept by ``mixed_documents``.
+order's place between them. Extra columns are ignored by ``mix_sources``; ``mixed_documents`` carries them along and gives
+every row, without id or repeated, as many copies as it is taken itself.
 """
 
 from __future__ import annotations
@@ -66,8 +67,17 @@ def mix_sources(
     source_col: str = "source",
 ) -> DataFrame:
     """Per row of docs: id, source, size in words, source_size, target and taken."""
+    mix = _mix(docs, (), weights, share, max_epochs, seed, id_col, text_col, source_col)
+    return mix.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "taken")
+
+
+def _mix(
+    docs: DataFrame, carried: tuple[str, ...], weights: tuple[int, ...], share: float, max_epochs: int, seed: str, id_col: str, text_col: str, source_col: str
+) -> DataFrame:
+    """Per row of docs: id, source, size, source_size, target, taken, and the struct row of the carried columns, if there are any."""
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), key.alias("key"))
+    row = [F.struct(*(F.col(f"`{c}`") for c in carried)).alias("row")] if carried else []
+    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), key.alias("key"), *row)
     sized = persisted(sized, "mix_sizes", shuffle=False)
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     # Of the rows without an id, and of those that repeat one, a slice may hold more.
@@ -88,18 +98,25 @@ def mix_sources(
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     part = F.floor(F.col("target") - whole * F.col("source_size") + 0.5).cast("long")
     extra = F.greatest(F.lit(0), F.least("size", part - F.col("earlier")))
-    return summed.select(
-        F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", (whole * F.col("size") + extra).cast("long").alias("taken")
-    )
+    taken = (whole * F.col("size") + extra).cast("long").alias("taken")
+    return summed.select("id", "source", "size", "source_size", "target", taken, *(["row"] if carried else []))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document as often as it is taken, the last partial one rounded to a whole. Ids must be unique."""
-    id_col = options.get("id_col", "doc_id")
+def mixed_documents(
+    docs: DataFrame,
+    weights: tuple[int, ...] = (5, 2, 1),
+    share: float = 1.5,
+    max_epochs: int = 2,
+    seed: str = "mix-1",
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+) -> DataFrame:
+    """The mix itself: each row as often as it is taken, the last partial one of a source rounded to a whole."""
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    taken = mix_sources(docs, **options).where("taken > 0").select(F.col(id_col).alias("__id"), copies.alias("__copies")).where("__copies > 0")
-    repeated = docs.join(taken, docs[id_col] == F.col("__id")).withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies")))
-    return repeated.select(*docs.columns)
+    taken = _mix(docs, tuple(docs.columns), weights, share, max_epochs, seed, id_col, text_col, source_col).where("taken > 0")
+    repeated = taken.withColumn("copies", copies).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    return repeated.select("row.*")
 
 
 SQL = r"""

@@ -4,7 +4,7 @@ Two sets link when ``den * |x and y| >= num * |x or y|``. With all shingles in o
 has to share its smallest common shingle within its first ``|x| - need + 1`` ones, where ``need`` is the
 overlap that any partner demands, and its k smallest common ones within ``k - 1`` more. The join goes:
 
-1. Equal sets become one class, represented by their smallest id.
+1. Equal sets become one class, represented by the text of their smallest id.
 2. Shingles in the order of their hashes: a class stays when enough of its extended prefix also occurs in
    other classes' prefixes. Most documents have no near copy and leave here.
 3. Classes left are ordered by shingle frequency. Rare shingles of the prefix are index keys by themselves.
@@ -70,8 +70,9 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
         for part in slices(batch, "text"):
             shingles = shingles_of(part.column("text"), k)
             s1, s2 = _signatures(shingles)
+            carried = [x for x in part.schema.names if x != "text"]
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), np.diff(shingles.first), s1.view(np.int64), s2.view(np.int64)], ["id", "n", "s1", "s2"]
+                [*(part.column(x) for x in carried), np.diff(shingles.first), s1.view(np.int64), s2.view(np.int64)], [*carried, "n", "s1", "s2"]
             )
 
 
@@ -254,13 +255,16 @@ def _possible(num: int, den: int) -> F.Column:
 
 
 def similar_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 75, den: int = 100, words: int = 5
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 75, den: int = 100, words: int = 5, keyed: bool = False
 ) -> DataFrame:
-    """Per row of docs: id_col, n_shingles and component_id, the smallest id reachable by links."""
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    shape = "id long, n long, s1 long, s2 long"
+    """Per row of docs: id_col, n_shingles and component_id, the smallest id reachable by links; keyed adds row, a hash of the text."""
+    row = [F.xxhash64(text_col).alias("row")] if keyed else []
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), *row, F.col(text_col).cast("string").alias("text"))
+    shape = "id long, row long, n long, s1 long, s2 long" if keyed else "id long, n long, s1 long, s2 long"
     rows = persisted(texts.mapInArrow(lambda b: _sets(b, words), shape), "shingle_sets", shuffle=False)
-    classes = rows.where("n > 0 and id is not null").groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
+    classes = rows.where("n > 0 and id is not null").groupBy("n", "s1", "s2").agg(F.min("id").alias("least"))
+    # Different texts may share the least id, so a class has a name of its own.
+    classes = classes.withColumn("rep", F.xxhash64("n", "s1", "s2"))
     total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     groups = max(8, int(total * 0.4 / GROUP_TOKENS) + 1)
 
@@ -268,9 +272,9 @@ def similar_documents(
     shared = packed.groupBy("bin").applyInArrow(_count_shared, "s1 long, shared long").groupBy("s1").agg(F.sum("shared").alias("shared"))
     # A partner of a set of n has need(n) shingles at least, and so shares the depth of that many with it.
     least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * num / den) / 8))
-    kept = persisted(classes.join(shared, "s1").where(F.col("shared") >= least).select("rep", "n", "s1", "s2"), "shingle_classes", shuffle=False)
+    kept = persisted(classes.join(shared, "s1").where(F.col("shared") >= least).select("rep", "least", "n", "s1", "s2"), "shingle_classes", shuffle=False)
 
-    found = texts.join(kept, F.col("id") == F.col("rep")).select("text", "rep", "n", "s1", "s2")
+    found = texts.join(kept, F.col("id") == F.col("least")).select("text", "rep", "n", "s1", "s2")
     sets = persisted(found.mapInArrow(lambda b: _class_sets(b, words), "rep long, n long, shingles array<long>").dropDuplicates(["rep"]), "class_sets", shuffle=False)
 
     frequency = sets.mapInArrow(_shingle_counts, "shingle long, c long").groupBy("shingle").agg(F.sum("c").alias("df")).where("df > 1")
@@ -319,8 +323,13 @@ def similar_documents(
             break
         members = members.drop("label").join(labels, F.col("rep") == F.col("node"), "left").withColumn("label", F.coalesce("component", "rep")).drop("node", "component")
 
-    merged = classes if labels is None else classes.join(labels, F.col("rep") == F.col("node"), "left")
-    merged = merged.select("n", "s1", "s2", (F.col("rep") if labels is None else F.coalesce("component", "rep")).alias("component_id"))
+    component_id = F.col("least")
+    if labels is not None:
+        named = labels.join(kept.select("rep", "least"), F.col("node") == F.col("rep")).select("node", "component", "least")
+        smallest = named.groupBy("component").agg(F.min("least").alias("smallest"))
+        named = named.join(smallest, "component").select("node", "smallest")
+        classes, component_id = classes.join(named, F.col("rep") == F.col("node"), "left"), F.coalesce("smallest", "least")
+    merged = classes.select("n", "s1", "s2", component_id.alias("component_id"))
     linked = rows.join(merged, ["n", "s1", "s2"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
-    return linked.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return linked.select(F.col("id").alias(id_col), *(["row"] if keyed else []), F.col("n").alias("n_shingles"), component.alias("component_id"))
