@@ -191,3 +191,16 @@ def test_large_trees_match_from_both_ends(monkeypatch):
     monkeypatch.setattr(html_extract, "MOST_NODES", 3)
     pairs = html_extract.match_trees(tree(5), tree(8))
     assert {(0, 0), (1, 1), (7, 10)} <= set(pairs) and len(pairs) == 8
+
+
+def test_wrappers_choose_the_slots_of_pages_with_articles(spark):
+    page = "<body><div class=a>Our shop</div><article><p>First {0}.</p></article><div class=b>Between {0}.</div><article><p>Second {0}, longer.</p></article><p>All rights reserved</p></body>"
+    other = "<body><section><p>Only {0}.</p></section><p>Call us</p></body>"
+    rows = [(i, "http://w.org/a", page.format(i)) for i in range(4)] + [(10 + i, "http://w.org/b", other.format(i)) for i in range(4)]
+    rows += [(30, "http://alone.org/a", "<body><div>Once</div><main>Intro.<article><p>Body.</p></article></main></body>")]
+    got = {r.page_id: r.text for r in html_extract.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {
+        **{i: f"First {i}.\n\nBetween {i}.\n\nSecond {i}, longer." for i in range(4)},
+        **{10 + i: f"Only {i}." for i in range(4)},
+        30: "Intro.\n\nBody.",
+    }
