@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables
 
 
 def test_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.registered()) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.registered()) == list(range(1, 14))
     assert set(queries.statements()) <= set(queries.registered())
 
 
