@@ -111,8 +111,7 @@ class TestBulkLoad:
     def test_partition_columns_are_loaded_with_values(self, spark, raw, tmp_path):
         write_staged(orders_etl.staged_orders(raw({})), str(tmp_path / "s"))
         (tmp_path / "s" / "notes.txt").write_text("not parquet")
-        source = bulk_load.read_parquet_objects(spark, str(tmp_path / "s"))
-        row = bulk_load.copy_into(source, LOADED_ORDERS, "loaded", on_error="abort").loaded.first()
+        row = bulk_load.copy_into(read_staged(spark, str(tmp_path / "s")), LOADED_ORDERS, "loaded", on_error="abort").loaded.first()
         assert (row.year, row.month, row.net_amount) == (2024, 3, 180.0)
 
 
@@ -136,7 +135,7 @@ class TestSnapshots:
         snapshots.save_table(rows, "orders_table", ("year", "month"))
         snapshots.save_table(rows.where("order_id = 'A'"), "orders_table", ("year", "month"))
         assert spark.table("orders_table").count() == 1
-        snapshots.save_view(spark.table("orders_table"), "orders_view")
+        snapshots.save_view(spark, "SELECT * FROM orders_table", "orders_view")
         assert spark.table("orders_view").count() == 1
 
     def test_a_failed_save_leaves_the_old_table(self, spark, raw):

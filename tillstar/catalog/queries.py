@@ -20,10 +20,12 @@ from tillstar.plans import (
     products,
     quality_gate,
     sales,
+    staging,
     verification,
 )
 from tillstar.schemas import LOADED_ORDERS, ORDER_STATUSES, RAW_COLUMNS, TYPED_FEED
-from tillstar.sources import bulk_load, manifest, snapshots, synthetic_feed
+from tillstar.sources import bulk_load, manifest, snapshots, synthetic_feed, workspace
+from tillstar.sources.commits import CommittedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registry: dict[str, Query] = {}
@@ -118,8 +120,7 @@ def copy_into_counts(layers):
 
 @query
 def copy_into_strict(layers):
-    source = bulk_load.read_parquet_objects(layers.spark, layers.staged_location())
-    return bulk_load.copy_into(source, LOADED_ORDERS, "orders_strict", on_error="abort").loaded
+    return bulk_load.copy_into(layers.staged(), LOADED_ORDERS, "orders_strict", on_error="abort").loaded
 
 
 @query
@@ -138,7 +139,9 @@ def warehouse_table(layers):
 
 @query
 def staging_view(layers):
-    snapshots.save_view(layers.stg(), "tillstar_stg_orders")
+    """The staging view over the staged set; it finds the newest commit on every read."""
+    staged = CommittedTable(layers.spark, layers.staged_location())
+    snapshots.save_view(layers.spark, staging.statement(f"({staged.statement()})"), "tillstar_stg_orders")
     return layers.spark.table("tillstar_stg_orders")
 
 
@@ -344,12 +347,11 @@ def declared_tests_report(layers):
 
 
 def _history(layers, keep) -> DataFrame:
-    versions = None
+    table = CommittedTable(layers.spark, workspace.new_location(layers.spark, "customer_history"))
     for day in HISTORY_RUNS:
         until = layers.stg().where(F.col("order_date") <= F.lit(day))
-        dim = keep(customers.dim_customers(until, day))
-        versions = customer_history.record_run(versions, dim, dt.datetime.combine(day, dt.time()))
-    return versions.withColumnRenamed(history.UPDATED_AT, "version_updated_at")
+        customer_history.record_run(table, keep(customers.dim_customers(until, day)), dt.datetime.combine(day, dt.time()))
+    return table.read().withColumnRenamed(history.UPDATED_AT, "version_updated_at")
 
 
 @query

@@ -37,9 +37,9 @@ def check(spark: SparkSession, staged: str, **bounds) -> list[Row]:
 
 def load(spark: SparkSession, staged: str, target: str = "orders") -> snapshots.Snapshot:
     """Strict load of the staged set and replacement of the published orders."""
-    source = bulk_load.read_parquet_objects(spark, staged)
+    source = read_staged(spark, staged)
     loaded = bulk_load.strict(source, LOADED_ORDERS).withColumn("etl_loaded_at", load_time())
-    return snapshots.replace_snapshot(loaded, target, "order_id", ("year", "month"))
+    return snapshots.replace_snapshot(loaded, target, "order_id", ("year", "month"), "etl_loaded_at")
 
 
 def mart_name(table: str, schema: str | None = None) -> str:
@@ -49,8 +49,9 @@ def mart_name(table: str, schema: str | None = None) -> str:
 
 def build_marts(spark: SparkSession, orders: str = "orders", schema: str | None = None, as_of: dt.date | None = None) -> None:
     """Dimensions first, then the fact on the written customer dimension."""
+    # The view follows the orders; the marts of a run all come from one version of them.
     stg = staging.stg_orders(snapshots.published(spark, orders))
-    snapshots.save_view(stg, "stg_orders")
+    snapshots.save_view(spark, staging.statement(f"({snapshots.table(spark, orders).statement()})"), "stg_orders")
     snapshots.save_table(customers.dim_customers(stg, as_of), mart_name("dim_customers", schema))
     snapshots.save_table(products.dim_products(stg), mart_name("dim_products", schema))
     snapshots.save_table(dates.dim_date(dates.years_covering(stg, "order_date"), as_of), mart_name("dim_date", schema))
@@ -90,7 +91,7 @@ def publish_reports(spark: SparkSession, orders: str = "orders", schema: str | N
 def record_history(spark: SparkSession, run_at: dt.datetime, schema: str | None = None) -> int:
     """Continue the published customer history, or begin it; returns its number of versions."""
     target = mart_name("customer_history", schema)
-    earlier = snapshots.published(spark, target) if snapshots.versions(spark, target) else None
     current = snapshots.published(spark, mart_name("dim_customers", schema))
-    snapshots.save_table(customer_history.record_run(earlier, current, run_at), target)
-    return snapshots.published(spark, target).count()
+    done = customer_history.record_run(snapshots.table(spark, target), current, run_at)
+    snapshots.show(spark, target)
+    return done.rows

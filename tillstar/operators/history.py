@@ -32,15 +32,15 @@ def open_versions(incoming: DataFrame, key: str, run_at: dt.datetime) -> DataFra
     return incoming.withColumns(_version_columns(key, wall_time(run_at)))
 
 
-def scd2_merge(
-    history: DataFrame,
+def scd2_step(
+    current: DataFrame,
     incoming: DataFrame,
     key: str,
     check_cols: Sequence[str],
     run_at: dt.datetime,
     close_missing: bool = True,
 ) -> DataFrame:
-    """History after a run.
+    """What a run makes of the open versions: those that stay open, those it closes and those it opens.
 
     A changed row closes the open version and opens a new one, an unseen key opens one, and a key
     that is gone is closed when ``close_missing``. A key that comes back opens a new version. Changes
@@ -48,8 +48,7 @@ def scd2_merge(
     """
     now = wall_time(run_at)
     fresh = open_versions(incoming, key, run_at)
-    columns = history.columns
-    current = history.where(F.col(VALID_TO).isNull())
+    columns = current.columns
     # One struct per side keeps the two versions of a row apart without renaming every column.
     old = current.select(F.col(key).alias("_key"), F.struct(*columns).alias("was"))
     new = fresh.select(F.col(key).alias("_key"), F.struct(*columns).alias("now"))
@@ -65,5 +64,18 @@ def scd2_merge(
         *[(F.when(keep, was.getField(VALID_TO)).otherwise(now) if c == VALID_TO else was.getField(c)).alias(c) for c in columns]
     )
     versions = F.array(F.when(was.isNotNull(), closed), F.when(~gone & ~keep, nxt))
-    merged = pair.select(F.explode(versions).alias("v")).where(F.col("v").isNotNull()).select("v.*")
-    return history.where(F.col(VALID_TO).isNotNull()).unionByName(merged)
+    return pair.select(F.explode(versions).alias("v")).where(F.col("v").isNotNull()).select("v.*")
+
+
+def scd2_merge(
+    history: DataFrame,
+    incoming: DataFrame,
+    key: str,
+    check_cols: Sequence[str],
+    run_at: dt.datetime,
+    close_missing: bool = True,
+) -> DataFrame:
+    """A whole history after a run: closed versions as they are, open ones after ``scd2_step``."""
+    current = history.where(F.col(VALID_TO).isNull())
+    stepped = scd2_step(current, incoming, key, check_cols, run_at, close_missing)
+    return history.where(F.col(VALID_TO).isNotNull()).unionByName(stepped)

@@ -1,4 +1,8 @@
-"""Type-2 history of the customer dimension."""
+"""Type-2 history of the customer dimension, kept as immutable parts.
+
+Versions that a run closes are one folder that no later run touches; open versions are one folder that the next run
+replaces. So a run reads and writes the open versions and what it closes, however long the history is.
+"""
 
 from __future__ import annotations
 
@@ -7,8 +11,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.operators.history import open_versions, scd2_merge
-from tillstar.sources.workspace import persisted
+from tillstar.operators.history import VALID_TO, open_versions, scd2_step
+from tillstar.sources.commits import Commit, CommittedTable
 
 # What the history carries and which changes open a new version.
 TRACKED = [
@@ -18,21 +22,36 @@ TRACKED = [
 CHECKED = ["customer_segment", "churn_risk", "total_orders", "total_spend"]
 KEY = "customer_id"
 
+#: Layout column of the parts; not a column of the history.
+STATE = "_state"
+OPEN, CLOSED = "open", "closed"
+RUN_AT = "run_at"
+
 
 def active(customers: DataFrame, churned: str = "high") -> DataFrame:
     """Customers who have not left by the churn rule: the tracked set of a history that only follows active ones."""
     return customers.where(F.col("churn_risk") != churned)
 
 
-def record_run(history: DataFrame | None, customers: DataFrame, run_at: dt.datetime) -> DataFrame:
-    """The history after one run, as a table of its own.
+def _is_open(folder: str) -> bool:
+    return folder.endswith(f"/{STATE}={OPEN}")
+
+
+def record_run(table: CommittedTable, customers: DataFrame, run_at: dt.datetime) -> Commit:
+    """Continue the history with the customers of a run, or begin it.
 
-    A run reads the history twice, once for closed and once for open versions, so it must read a
-    written table and not the plan of all earlier runs.
+    Runs follow each other in time: one dated at or before the last would end versions before they begin.
     """
+    last = table.latest()
     incoming = customers.select(*TRACKED)
-    if history is None:
+    if last is None:
         versions = open_versions(incoming, KEY, run_at)
+    elif run_at <= dt.datetime.fromisoformat(last.notes[RUN_AT]):
+        raise ValueError(f"a run at {run_at} can't follow the run at {last.notes[RUN_AT]}")
     else:
-        versions = scd2_merge(history, incoming, KEY, CHECKED, run_at)
-    return persisted(versions, "customer_history")
+        versions = scd2_step(table.read(last, _is_open), incoming, KEY, CHECKED, run_at)
+    state = F.when(F.col(VALID_TO).isNull(), OPEN).otherwise(CLOSED)
+    return table.write(
+        versions.withColumn(STATE, state), (STATE,), keep=lambda f: not _is_open(f), hidden=(STATE,), arrange=False, base=last,
+        extra={RUN_AT: run_at.isoformat()},
+    )

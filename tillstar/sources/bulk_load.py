@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from tillstar.functions.casting import cast_failed, try_typed
-from tillstar.schemas import REQUIRED, STAGED_ORDERS
+from tillstar.schemas import REQUIRED
 from tillstar.sources.workspace import persisted
 
 OUTCOME = "load_outcome"
@@ -96,8 +96,3 @@ def copy_into(rows: DataFrame, target: StructType, name: str, on_error: str = "c
     counts = table.groupBy(OUTCOME).count().collect()
     rows_by_outcome = {line[OUTCOME]: line["count"] for line in counts}
     return LoadResult(table, target, rows_by_outcome.get(LOADED, 0), rows_by_outcome.get(REJECTED, 0))
-
-
-def read_parquet_objects(spark: SparkSession, path: str) -> DataFrame:
-    """Staged Parquet files only; anything else under the path is ignored, and a set without rows can be read."""
-    return spark.read.schema(STAGED_ORDERS).option("pathGlobFilter", "*.parquet").parquet(path)

@@ -1,27 +1,23 @@
-"""Publication: tables that are written and checked before they become visible, and outlive their process.
+"""Published tables: written and checked before they become visible, found by name from any process.
 
-A published table is a folder of versions under the warehouse. A version counts from the moment its marker file is
-there, which holds its schema; readers take the newest marked version. So a failed save leaves the old one,
-and a new process finds the table by name. The newest KEPT_VERSIONS stay for readers that are still running.
+Each is a committed table under the warehouse. Its view is SQL that reads the newest commit whenever it is used, so a view
+that one process has made shows what another one publishes later.
 """
 
 from __future__ import annotations
 
-import json
-import time
-import uuid
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tillstar.functions.keys import checked_name, quoted_name
 from tillstar.operators.dedup import key_counts
-from tillstar.sources.workspace import by_partition, warehouse_root
+from tillstar.sources.commits import KEPT_COMMITS, CommittedTable
+from tillstar.sources.workspace import warehouse_root
 
-KEPT_VERSIONS = 3
-MARKER = "_PUBLISHED"
+KEPT_VERSIONS = KEPT_COMMITS
 
 
 class SnapshotRejected(RuntimeError):
@@ -33,6 +29,7 @@ class Snapshot:
     location: str
     total_rows: int
     unique_keys: int
+    latest_load: dt.datetime | None = None
 
 
 def load_check(rows: DataFrame, loaded_at: str) -> DataFrame:
@@ -50,84 +47,60 @@ def key_check(rows: DataFrame, key: str, loaded_at: str | None = None) -> DataFr
     return counted.agg(total, unique, F.max("latest_load").alias("latest_load"))
 
 
-def _files(spark: SparkSession, path: str) -> tuple:
-    """Hadoop's view of the store that holds a path."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+def table(spark: SparkSession, target: str) -> CommittedTable:
+    return CommittedTable(spark, f"{warehouse_root(spark)}/_published/{checked_name(target).replace('.', '/')}")
 
 
-def table_root(spark: SparkSession, target: str) -> str:
-    return f"{warehouse_root(spark)}/_published/{checked_name(target).replace('.', '/')}"
-
-
-def versions(spark: SparkSession, target: str) -> list[str]:
-    """Published versions of a table, oldest first; their names begin with the time of writing."""
-    store, root = _files(spark, table_root(spark, target))
-    if not store.exists(root):
-        return []
-    paths = [status.getPath() for status in store.listStatus(root)]
-    return sorted(p.toString() for p in paths if store.exists(_files(spark, f"{p.toString()}/{MARKER}")[1]))
+def versions(spark: SparkSession, target: str) -> list[int]:
+    """Numbers of the versions that can be read, oldest first."""
+    return table(spark, target).numbers()
 
 
 def published(spark: SparkSession, target: str) -> DataFrame:
-    """The newest version of a table that any process has published."""
-    found = versions(spark, target)
-    if not found:
+    """The newest version of a table that any process has published; it stays on that version."""
+    found = table(spark, target)
+    if not found.numbers():
         raise LookupError(f"{target} has not been published under {warehouse_root(spark)}")
-    store, marker = _files(spark, f"{found[-1]}/{MARKER}")
-    stream = store.open(marker)
-    schema = bytes(stream.readAllBytes()).decode()
-    stream.close()
-    return spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(found[-1])
-
-
-def _write_version(rows: DataFrame, target: str, partition_by: tuple[str, ...]) -> str:
-    location = f"{table_root(rows.sparkSession, target)}/{time.time_ns():020d}-{uuid.uuid4().hex}"
-    by_partition(rows, partition_by).write.parquet(location, mode="errorifexists", partitionBy=list(partition_by))
-    return location
-
-
-def _publish(rows: DataFrame, location: str, target: str) -> None:
-    """Mark a complete version, point this session's view at it and drop versions beyond the retention."""
-    spark = rows.sparkSession
-    store, marker = _files(spark, f"{location}/{MARKER}")
-    stream = store.create(marker, False)
-    stream.write(bytearray(rows.schema.json().encode()))
-    stream.close()
-    _show(spark, target)
-    for old in versions(spark, target)[:-KEPT_VERSIONS]:
-        store.delete(_files(spark, old)[1], True)
-
-
-def _show(spark: SparkSession, target: str) -> None:
-    """Readers by name see the newest version; the view holds no files of its own."""
-    name = target.replace(".", "__")
-    published(spark, target).createOrReplaceTempView(name)
+    return found.read()
+
+
+def show(spark: SparkSession, target: str) -> None:
+    """Let this session, and its catalog for names with a schema, read the table by name."""
+    statement = table(spark, target).statement()
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW `{target.replace('.', '__')}` AS {statement}")
     if "." in target:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted_name(target.rpartition('.')[0])}")
-        location = versions(spark, target)[-1]
-        spark.sql(f"CREATE OR REPLACE VIEW {quoted_name(target)} AS SELECT * FROM parquet.`{location}`")
+        spark.sql(f"CREATE OR REPLACE VIEW {quoted_name(target)} AS {statement}")
 
 
-def replace_snapshot(rows: DataFrame, target: str, key: str, partition_by: tuple[str, ...] = ()) -> Snapshot:
+def replace_snapshot(
+    rows: DataFrame, target: str, key: str, partition_by: tuple[str, ...] = (), loaded_at: str | None = None
+) -> Snapshot:
     """Write a new version, verify volume and key uniqueness on what was written, then publish it."""
-    location = _write_version(rows, target, partition_by)
-    found = key_check(rows.sparkSession.read.schema(rows.schema).parquet(location), key).first()
-    if found["total_orders"] == 0:
-        raise SnapshotRejected(f"{target}: the load produced no rows")
-    if found["total_orders"] != found["unique_orders"]:
-        raise SnapshotRejected(f"{target}: {key} is not unique or is missing")
-    _publish(rows, location, target)
-    return Snapshot(location, found["total_orders"], found["unique_orders"])
+    found = {}
+
+    def check(written: DataFrame) -> dict[str, str]:
+        found.update(key_check(written, key, loaded_at).first().asDict())
+        if found["total_orders"] == 0:
+            raise SnapshotRejected(f"{target}: the load produced no rows")
+        if found["total_orders"] != found["unique_orders"]:
+            raise SnapshotRejected(f"{target}: {key} is not unique or is missing")
+        return {}
+
+    held = table(rows.sparkSession, target)
+    done = held.write(rows, partition_by, check=check)
+    show(rows.sparkSession, target)
+    return Snapshot(f"{held.root}@{done.number}", found["total_orders"], found["unique_orders"], found.get("latest_load"))
 
 
 def save_table(rows: DataFrame, target: str, cluster_by: tuple[str, ...] = ()) -> str:
-    """Publish as a table, laid out by ``cluster_by`` so range filters skip files; returns the version's location."""
-    location = _write_version(rows, target, cluster_by)
-    _publish(rows, location, target)
-    return location
+    """Publish as a table, laid out by ``cluster_by`` so range filters skip files; returns root and version."""
+    held = table(rows.sparkSession, target)
+    done = held.write(rows, cluster_by)
+    show(rows.sparkSession, target)
+    return f"{held.root}@{done.number}"
 
 
-def save_view(rows: DataFrame, name: str) -> None:
-    """A view is recomputed from its source on every read and stores nothing."""
-    rows.createOrReplaceTempView(checked_name(name))
+def save_view(spark: SparkSession, statement: str, name: str) -> None:
+    """A view stores nothing: its statement runs on every read and finds the newest version of what it reads."""
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {checked_name(name)} AS {statement}")

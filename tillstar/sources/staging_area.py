@@ -1,27 +1,44 @@
-"""Staged orders as Parquet, partitioned by order year and month."""
+"""Staged orders as Parquet, laid out by order year and month and replaced by commits.
+
+A month is a folder that is never changed: a run writes the months it brings, then one commit swaps them in. Until
+then, and if the run dies, readers see the old set.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillstar.schemas import STAGED_ORDERS
-from tillstar.sources.workspace import by_partition
+from tillstar.sources.commits import CommittedTable
 
 LAYOUT = ("year", "month")
 MAX_ROWS_PER_FILE = 5_000_000
 
 
-def write_staged(orders: DataFrame, path: str) -> int:
-    """Replace the staged set and return its row count.
+def write_staged(orders: DataFrame, path: str, months: Collection[tuple[int, int]] | None = None) -> int:
+    """Replace the staged set, or only the given (year, month) pairs of it, and return the number of rows written.
 
-    The count is taken from the written footers: unlike an accumulator it stays exact when
-    a stage is recomputed after an executor loss, and unlike ``orders.count()`` it repeats no work.
+    A given month without orders leaves the set; orders of other months are not written then.
     """
-    writer = by_partition(orders, LAYOUT).write.option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
-    writer.parquet(path, mode="overwrite", partitionBy=list(LAYOUT))
-    return orders.sparkSession.read.schema(orders.schema).parquet(path).count()
+    table = CommittedTable(orders.sparkSession, path)
+    if months is None:
+        done = table.write(orders, LAYOUT, rows_per_file=MAX_ROWS_PER_FILE)
+        return done.rows
+    given = {f"year={year}/month={month}" for year, month in months}
+    wanted = F.concat(F.lit("year="), "year", F.lit("/month="), "month").isin(*given) if given else F.lit(False)
+    done = table.write(orders.where(wanted), LAYOUT, keep=lambda f: f.partition("/")[2] not in given, rows_per_file=MAX_ROWS_PER_FILE)
+    return sum(n for f, n in done.folders.items() if f.partition("/")[2] in given)
 
 
 def read_staged(spark: SparkSession, path: str) -> DataFrame:
-    """``year`` and ``month`` come back from the directory names and prune the scan. A set without rows can be read."""
-    return spark.read.schema(STAGED_ORDERS).parquet(path)
+    """The committed set, or a folder of staged Parquet files from elsewhere, other files left aside.
+
+    ``year`` and ``month`` come back from the directory names and prune the scan. A set without rows can be read.
+    """
+    table = CommittedTable(spark, path)
+    if table.numbers():
+        return table.read()
+    return spark.read.schema(STAGED_ORDERS).option("pathGlobFilter", "*.parquet").parquet(path)
