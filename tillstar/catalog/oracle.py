@@ -347,6 +347,14 @@ FROM feed WHERE NOT ({any_bad})"""),
         "copy_into_counts": _on("feed", f"""
 SELECT CASE WHEN {any_bad} THEN 'rows_errors' ELSE 'rows_loaded' END AS outcome, count(*) AS row_count FROM feed GROUP BY 1"""),
         "copy_into_strict": _on("staged", f"SELECT {loaded} FROM staged"),
+        "load_files_good": _on("staged", f"SELECT {loaded} FROM staged WHERE cast(substr(order_id, 2, 8) AS INTEGER) % 50 NOT BETWEEN 1 AND 4"),
+        "load_files_errors": _on("staged", """
+SELECT order_id, CASE WHEN k <> 4 THEN customer_id END customer_id,
+  CASE k WHEN 1 THEN 'x' WHEN 2 THEN '2.5' ELSE cast(quantity AS VARCHAR) END quantity,
+  CASE WHEN k = 3 THEN '2024-02-30' ELSE cast(order_date AS VARCHAR) END order_date,
+  cast(year AS VARCHAR) AS year, cast(month AS VARCHAR) AS month,
+  CASE k WHEN 3 THEN 'order_date' WHEN 4 THEN 'customer_id' ELSE 'quantity' END load_reason
+FROM (SELECT *, cast(substr(order_id, 2, 8) AS INTEGER) % 50 k FROM staged) WHERE k BETWEEN 1 AND 4"""),
         "snapshot_replace_verify": _on("staged", "SELECT count(*) AS total_orders, count(DISTINCT order_id) AS unique_orders, true AS has_load_time FROM staged"),
         "dim_date_fixed": _on("stg", f"""
 SELECT d.*, count(o.order_id) AS orders

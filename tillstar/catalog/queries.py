@@ -24,7 +24,7 @@ from tillstar.plans import (
     verification,
 )
 from tillstar.schemas import LOADED_ORDERS, ORDER_STATUSES, RAW_COLUMNS, TYPED_FEED
-from tillstar.sources import bulk_load, manifest, snapshots, synthetic_feed, workspace
+from tillstar.sources import bulk_load, file_loads, manifest, snapshots, synthetic_feed, workspace
 from tillstar.sources.commits import CommittedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +123,35 @@ def copy_into_strict(layers):
     return bulk_load.copy_into(layers.staged(), LOADED_ORDERS, "orders_strict", on_error="abort").loaded
 
 
+def _planted_files(layers) -> CommittedTable:
+    """Staged orders as Parquet with bad values and missing keys, in two deliveries, each loaded as it arrives, then loaded again."""
+    source = workspace.new_location(layers.spark, "planted_orders")
+    kind = F.substring("order_id", 2, 8).cast("int") % 50
+    planted = layers.staged().drop("etl_loaded_at").withColumns(
+        {
+            "quantity": F.when(kind == 1, "x").when(kind == 2, "2.5").otherwise(F.col("quantity").cast("string")),
+            "order_date": F.when(kind == 3, "2024-02-30").otherwise(F.col("order_date").cast("string")),
+            "customer_id": F.when(kind != 4, F.col("customer_id")),
+        }
+    )
+    table = CommittedTable(layers.spark, workspace.new_location(layers.spark, "orders_from_files"))
+    for delivery in (kind < 25, kind >= 25):
+        planted.where(delivery).write.parquet(source, mode="append", partitionBy=["year", "month"])
+        file_loads.load_files(layers.spark, source, LOADED_ORDERS, table)
+    file_loads.load_files(layers.spark, source, LOADED_ORDERS, table)
+    return table
+
+
+@query
+def load_files_good(layers):
+    return file_loads.loaded_rows(_planted_files(layers), LOADED_ORDERS)
+
+
+@query
+def load_files_errors(layers):
+    return file_loads.rejected_rows(_planted_files(layers)).select("order_id", "customer_id", "quantity", "order_date", "year", "month", "load_reason")
+
+
 @query
 def snapshot_replace_verify(layers):
     snapshots.replace_snapshot(layers.staged(), "tillstar_orders_snapshot", "order_id", ("year", "month"))

@@ -23,18 +23,20 @@ def _faulty(rows: DataFrame, name: str, data_type: DataType) -> Column:
     return failed | F.col(name).isNull() if name in REQUIRED else failed
 
 
-def classify(rows: DataFrame, target: StructType) -> DataFrame:
-    """Typed columns plus an outcome per row; a rejected row also keeps its input values.
+def classify(rows: DataFrame, target: StructType, *carried: Column) -> DataFrame:
+    """Typed columns plus an outcome per row; a rejected row also keeps its input values, as text.
 
-    A row is rejected when any present value has no counterpart in the target type, or a required one is missing.
+    A row is rejected when any present value has no counterpart in the target type, or a required one is missing. Carried
+    columns may refer to the input and to the reason.
     """
     failing = F.concat_ws(",", *[F.when(_faulty(rows, f.name, f.dataType), F.lit(f.name)) for f in target])
-    source = F.struct(*[F.col(f.name) for f in target])
-    return rows.select(
+    source = F.struct(*[F.col(f.name).cast("string").alias(f.name) for f in target])
+    return rows.withColumn(REASON, failing).select(
         *[try_typed(F.col(f.name), rows.schema[f.name].dataType, f.dataType).alias(f.name) for f in target],
-        failing.alias(REASON),
-        F.when(failing != "", source).alias(SOURCE),
-        F.when(failing == "", LOADED).otherwise(REJECTED).alias(OUTCOME),
+        REASON,
+        F.when(F.col(REASON) != "", source).alias(SOURCE),
+        F.when(F.col(REASON) == "", LOADED).otherwise(REJECTED).alias(OUTCOME),
+        *carried,
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def list_objects(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+def list_objects(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> DataFrame:
     """``(path, size_bytes, modified_at)`` per object with content. Contents are never read.
 
     Spark does not schedule empty files and hides names that start with ``_`` or ``.``.
@@ -19,7 +19,7 @@ def list_objects(spark: SparkSession, path: str, pattern: str | None = None) ->
     )
 
 
-def _objects(spark: SparkSession, path: str, pattern: str | None) -> DataFrame:
+def _objects(spark: SparkSession, path: str | list[str], pattern: str | None) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     return (reader if pattern is None else reader.option("pathGlobFilter", pattern)).load(path)
 
