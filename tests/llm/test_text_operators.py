@@ -47,10 +47,29 @@ def test_words_and_their_hashes():
     assert len(set(by_hash.values())) == len(by_hash)
 
 
-def test_words_are_the_same_in_small_pieces(monkeypatch):
-    whole = textops.words_of(pa.array(TEXTS, pa.string()))
-    monkeypatch.setattr(textops, "PIECE", 16)
-    assert (textops.words_of(pa.array(TEXTS, pa.string())).hashes == whole.hashes).all()
+def thue_morse(n):
+    """Two words that polynomial hashes modulo a power of two can't tell apart."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_long_words_are_told_apart(spark, n):
+    from tokenizers import Tokenizer
+
+    one, two = thue_morse(n)
+    words = textops.words_of(pa.array([f"{one} {two}"]))
+    assert len(set(words.hashes.tolist())) == len(set(words.codes.tolist())) == 2
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids, _, _ = token_files.token_ids(pa.array([f"{one} {two}"]), path, end_id=2)
+    assert ids.tolist()[:-1] == Tokenizer.from_file(path).encode(f"{one} {two}", add_special_tokens=False).ids
+    both = [textops.shingles_of(pa.array([f"a b {w} d e"])).hashes.tolist() for w in (one, two)]
+    assert both[0] != both[1]
+    rest = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, f"{one} {rest}"), (2, f"{two} {rest}")], "doc_id long, text string")
+    from tillstar.llm.substring_dedup import removed_words
+
+    assert [r.n_removed for r in removed_words(docs).orderBy("doc_id").collect()] == [0, 60]
 
 
 def test_shingles():

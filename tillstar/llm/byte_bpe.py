@@ -287,7 +287,7 @@ class ByteBpe:
 
 def tokenizer(path: str) -> ByteBpe:
     """The tokenizer of a file, read once in each worker."""
-    held = worker_state().setdefault("byte_bpe", {})
+    held = worker_state("byte_bpe")
     if path not in held:
         held[path] = ByteBpe(path)
     return held[path]

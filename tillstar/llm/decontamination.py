@@ -73,7 +73,7 @@ def word_class(word: bytes) -> list[int]:
 
 def canonical(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Template hash, type of slot (0 for none) and value of every word."""
-    table = worker_state().setdefault("template_words", WordTable(lambda words: [word_class(w) for w in words]))
+    table = worker_state("decontamination").setdefault("words", WordTable(lambda words: [word_class(w) for w in words]))
     rows = table.rows(words)  # may replace the table's arrays
     first = table.first[rows]
     flags, values = table.values[first], mix(table.values[first + 1].view(np.uint64))

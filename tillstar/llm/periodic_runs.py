@@ -25,11 +25,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.textops import WHITE, ranges, slices, text_buffer
+from tillstar.llm.textops import WHITE, Spelled, ranges, slices, spell
 
 #: Text handled at a time; a longer text is taken whole.
 PART_BYTES = 4 << 20
@@ -40,34 +39,6 @@ _WHITE = np.zeros(256, bool)
 _WHITE[list(WHITE)] = True
 
 
-class Spelled(NamedTuple):
-    """Words of texts: where they lie, which are equal, and the first one of each text."""
-
-    data: np.ndarray
-    offsets: np.ndarray
-    starts: np.ndarray
-    ends: np.ndarray
-    ids: np.ndarray
-    first: np.ndarray
-
-
-def spell(texts: pa.Array) -> Spelled:
-    """Equal words, byte for byte, get equal numbers."""
-    data, offsets = text_buffer(texts)
-    solid = ~_WHITE[data]
-    before = np.concatenate([[False], solid[:-1]])
-    edges = offsets[:-1][offsets[:-1] < len(data)]
-    before[edges] = False
-    after = np.concatenate([solid[1:], [False]])
-    lasts = offsets[1:][offsets[1:] > 0] - 1
-    after[lasts] = False
-    starts, ends = np.flatnonzero(solid & ~before), np.flatnonzero(solid & ~after) + 1
-    bounds = np.concatenate([[0], np.cumsum(ends - starts)])
-    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data[solid])])
-    ids = words.dictionary_encode().indices.to_numpy().astype(np.int64)
-    return Spelled(data, offsets, starts, ends, ids, np.searchsorted(starts, offsets))
-
-
 def _dense(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Number of each key among the distinct ones, ascending, and how often each occurs."""
     _, back, counts = np.unique(keys, return_inverse=True, return_counts=True)
@@ -287,8 +258,8 @@ def find_runs(texts: pa.Array, min_length: int = 6, min_exponent: float = 4.0) -
     words = spell(texts)
     counts = np.diff(words.first)
     doc = np.repeat(np.arange(len(counts)), counts)
-    start, end, period = runs_of(doc, words.ids, min_length, min_exponent)
-    edges = np.zeros(len(words.ids) + 1, np.int64)
+    start, end, period = runs_of(doc, words.codes.astype(np.int64), min_length, min_exponent)
+    edges = np.zeros(len(words.codes) + 1, np.int64)
     np.add.at(edges, start + period, 1)
     np.add.at(edges, end, -1)
     data, offsets = _collapsed(words, np.cumsum(edges[:-1]) > 0)

@@ -1,6 +1,6 @@
-"""Words and word hashes of whole Arrow batches, without a Python step per word.
+"""Words and word hashes of whole Arrow batches, with a Python step per distinct word of a batch at most.
 
-A word is a maximal run of bytes other than space and tab to carriage return, so white space above
+Words are numbered by their bytes, so different words are never taken for one another; hashes are XXH3 of the bytes. A word is a maximal run of bytes other than space and tab to carriage return, so white space above
 ASCII belongs to words. All functions work on UTF-8 bytes; a null text has no words.
 """
 
@@ -14,27 +14,43 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import xxhash
 
-#: Bytes hashed at a time. A longer text is cut between words, a longer word is taken whole.
+#: Text that operators with much state per word take at a time.
 PIECE = 1 << 21
 
 #: Bytes between words.
 WHITE = b" \t\n\v\f\r"
 
 _P = 0x9E3779B97F4A7C15 | 1
-_TABLES: dict = {}
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 
-class Words(NamedTuple):
+class Spelled(NamedTuple):
     """Words of a batch in reading order."""
 
     data: np.ndarray  # bytes of all texts
+    offsets: np.ndarray  # first byte of each text, and the number of bytes
     starts: np.ndarray  # first byte of each word in data
     ends: np.ndarray
-    hashes: np.ndarray  # uint64
+    codes: np.ndarray  # which distinct word each one is
+    distinct: pa.Array  # the distinct words, as bytes
     first: np.ndarray  # index of the first word of each text, and the number of words
 
 
+class Words(NamedTuple):
+    """Spelled words with a hash of each."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    codes: np.ndarray
+    distinct: pa.Array
+    hashes: np.ndarray  # uint64
+    first: np.ndarray
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every bit of 64-bit integers."""
     x = x.astype(np.uint64, copy=True)
@@ -46,27 +62,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _tables() -> dict:
-    if not _TABLES:
-        codes = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_P))
-        lower = codes.copy()
-        lower[65:91] = codes[97:123]
-        _TABLES.update(plain=codes, lower=lower, inverse=np.uint64(pow(_P, -1, 1 << 64)), powers={})
-    return _TABLES
-
-
-def _powers(base: str, n: int) -> np.ndarray:
-    tables = _tables()
-    held = tables["powers"].get(base)
-    if held is None or len(held) < n:
-        factor = np.uint64(_P) if base == "up" else tables["inverse"]
-        held = np.full(max(n, PIECE + 1), factor, np.uint64)
-        held[0] = 1
-        np.multiply.accumulate(held, out=held)
-        tables["powers"][base] = held
-    return held[:n]
-
-
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string array; nulls are empty."""
     if isinstance(texts, pa.ChunkedArray):
@@ -80,39 +75,30 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return bytes_[at[0] : at[-1]], at - at[0]
 
 
-def words_of(texts: pa.Array, lower: bool = False, breaks: bytes = WHITE) -> Words:
-    """Words of each text; breaks are the bytes between words."""
+def spell(texts: pa.Array, lower: bool = False, breaks: bytes = WHITE) -> Spelled:
+    """Words of each text; breaks are the bytes between words. Equal words, byte for byte, have equal codes."""
     data, offsets = text_buffer(texts)
-    tables = _tables()
-    n = len(data)
     white = np.zeros(256, bool)
     white[list(breaks)] = True
     solid = ~white[data]
-    # A word starts at a solid byte after white space or at the start of a text.
-    opens = solid.copy()
-    if n:
-        opens[1:] &= ~solid[:-1]
-        edges = offsets[:-1][offsets[:-1] < n]
-        opens[edges] = solid[edges]
-        closes = solid.copy()
-        closes[:-1] &= ~solid[1:]
-        lasts = offsets[1:][offsets[1:] > 0] - 1
-        closes[lasts] = solid[lasts]
-        starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    else:
-        starts = ends = np.zeros(0, np.int64)
-    hashes = np.empty(len(starts), np.uint64)
-    codes = tables["lower" if lower else "plain"]
-    a = 0
-    while a < len(starts):
-        b = max(a + 1, int(np.searchsorted(ends, starts[a] + PIECE, side="right")))
-        lo, hi = int(starts[a]), int(ends[b - 1])
-        sums = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum(codes[data[lo:hi]] * _powers("up", hi - lo), out=sums[1:])
-        s, e = starts[a:b] - lo, ends[a:b] - lo
-        hashes[a:b] = (sums[e] - sums[s]) * _powers("down", hi - lo)[s]
-        a = b
-    return Words(data, starts, ends, mix(hashes), np.searchsorted(starts, offsets))
+    # A word begins at a solid byte after white space or at the start of a text.
+    before = np.concatenate([[False], solid[:-1]])
+    before[offsets[:-1][offsets[:-1] < len(data)]] = False
+    after = np.concatenate([solid[1:], [False]])
+    after[offsets[1:][offsets[1:] > 0] - 1] = False
+    starts, ends = np.flatnonzero(solid & ~before), np.flatnonzero(solid & ~after) + 1
+    bounds = np.concatenate([[0], np.cumsum(ends - starts)])
+    letters = (_LOWER[data] if lower else data)[solid]
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(letters)])
+    coded = words.dictionary_encode()
+    return Spelled(data, offsets, starts, ends, coded.indices.to_numpy(), coded.dictionary, np.searchsorted(starts, offsets))
+
+
+def words_of(texts: pa.Array, lower: bool = False, breaks: bytes = WHITE) -> Words:
+    found = spell(texts, lower, breaks)
+    n = len(found.distinct)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found.distinct.to_pylist()), np.uint64, n)
+    return Words(found.data, found.starts, found.ends, found.codes, found.distinct, hashes[found.codes], found.first)
 
 
 def window_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -164,9 +150,15 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
         a = b
 
 
-def worker_state() -> dict:
-    """What outlives a task in a reused Python worker; functions shipped by value lose their globals."""
-    return sys.modules.setdefault("_tillstar_worker", types.ModuleType("_tillstar_worker")).__dict__
+def worker_state(owner: str) -> dict:
+    """What outlives a task in a reused Python worker; functions shipped by value lose their globals.
+
+    A worker holds the state of one owner: when another one asks, the tables of the last are let go.
+    """
+    held = sys.modules.setdefault("_tillstar_worker", types.ModuleType("_tillstar_worker")).__dict__
+    if held.get("owner") != owner:
+        held.update(owner=owner, state={})
+    return held["state"]
 
 
 class WordTable:
@@ -176,37 +168,29 @@ class WordTable:
     ``most`` words it starts anew with those of the current batch, which costs time and changes no result.
     """
 
-    def __init__(self, compute: Callable[[list[bytes]], list], most: int = 1 << 20) -> None:
+    def __init__(self, compute: Callable[[list[bytes]], list], most: int = 1 << 18) -> None:
         self.compute, self.most = compute, most
-        self._set(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self._clear()
 
-    def _set(self, hashes: np.ndarray, sizes: np.ndarray, values: np.ndarray) -> None:
-        self.hashes, self.sizes, self.values = hashes, sizes, values
-        self.first = np.concatenate([[0], np.cumsum(sizes)])
+    def _clear(self) -> None:
+        self.index: dict[bytes, int] = {}
+        self.sizes, self.first, self.values = np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64)
 
     def rows(self, words: Words) -> np.ndarray:
         """Index in the table of every word, after missing ones are computed."""
-        distinct, at, back = np.unique(words.hashes, return_index=True, return_inverse=True)
-        found = np.searchsorted(self.hashes, distinct)
-        known = np.zeros(len(distinct), bool)
-        inside = found < len(self.hashes)
-        known[inside] = self.hashes[found[inside]] == distinct[inside]
-        if not known.all():
-            if len(self.hashes) + int((~known).sum()) > self.most:
-                self._set(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-                known[:] = False
-            fresh, at = distinct[~known], at[~known]
-            raw = words.data.tobytes()
-            results = self.compute([raw[a:b] for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)])
+        spelled = words.distinct.to_pylist()
+        fresh = [w for w in spelled if w not in self.index]
+        if len(self.index) + len(fresh) > self.most:
+            self._clear()
+            fresh = spelled
+        if fresh:
+            results = self.compute(fresh)
             sizes = np.fromiter(map(len, results), np.int64, len(results))
             values = np.fromiter((x for r in results for x in r), np.int64, int(sizes.sum()))
-            hashes = np.concatenate([self.hashes, fresh])
-            order = np.argsort(hashes, kind="stable")
-            starts = np.concatenate([self.first[:-1], self.first[-1] + np.cumsum(sizes) - sizes])[order]
-            sizes, values = np.concatenate([self.sizes, sizes])[order], np.concatenate([self.values, values])
-            self._set(hashes[order], sizes, values[ranges(starts, sizes)])
-            found = np.searchsorted(self.hashes, distinct)
-        return found[back]
+            self.index.update(zip(fresh, range(len(self.index), len(self.index) + len(fresh)), strict=True))
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
+            self.sizes, self.values = np.concatenate([self.sizes, sizes]), np.concatenate([self.values, values])
+        return np.fromiter(map(self.index.__getitem__, spelled), np.int64, len(spelled))[words.codes]
 
 
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

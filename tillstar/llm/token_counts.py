@@ -73,7 +73,7 @@ class CountOnlyViterbi:
 
 
 def _counter(path: str) -> WordTable:
-    held = worker_state().setdefault("counters", {})
+    held = worker_state("token_counts")
     if path not in held:
         viterbi = CountOnlyViterbi(vocabulary_of(path))
         held[path] = WordTable(lambda words: [[viterbi.count(SPACE + w.decode())] for w in words])
@@ -92,7 +92,7 @@ def counts_of(texts: pa.Array, path: str) -> np.ndarray:
     words = words_of(texts, breaks=b" ")
     rows = table.rows(words)
     sums = np.concatenate([[0], np.cumsum(table.values[ranges(table.first[rows], table.sizes[rows])])])[words.first]
-    return np.diff(sums) + (parts - np.diff(words.first)) * worker_state()["counters"][path, "space"]
+    return np.diff(sums) + (parts - np.diff(words.first)) * worker_state("token_counts")[path, "space"]
 
 
 def _counted(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:

@@ -110,7 +110,7 @@ class Block:
 
 def _encoder(path: str) -> tuple[WordTable, int]:
     """Token ids of distinct words, and bytes per id. A word's ids don't depend on its neighbours; see encodes_by_words."""
-    held = worker_state().setdefault("encoders", {})
+    held = worker_state("token_files")
     if path not in held:
         from tokenizers import Tokenizer
 
