@@ -13,15 +13,23 @@ from tillstar.session import builder
 def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="tillstar")
     commands = parser.add_subparsers(dest="job", required=True)
+    generate = commands.add_parser("generate", help="write a synthetic feed with noise")
+    generate.add_argument("feed")
+    generate.add_argument("--rows", type=int, default=1_000_000)
+    generate.add_argument("--seed", type=int, default=42)
     stage = commands.add_parser("stage", help="clean a CSV feed into staged Parquet")
     stage.add_argument("feed")
     stage.add_argument("staged")
+    stage.add_argument("--month", type=lambda m: tuple(map(int, m.split("-"))), action="append", metavar="YYYY-MM", help="replace only these months")
     check = commands.add_parser("check", help="run the quality gate; exit code 1 when it stays closed")
     check.add_argument("staged")
     check.add_argument("--volume", type=int, nargs=2, default=None, metavar=("LOW", "HIGH"))
     load = commands.add_parser("load", help="publish the staged set as the orders snapshot")
     load.add_argument("staged")
-    load.add_argument("--target", default="orders")
+    load.add_argument("--target", default=None)
+    load.add_argument("--on-error", choices=("abort", "continue"), default="abort", help="continue: append new files, rejected rows aside")
+    verify = commands.add_parser("verify", help="figures and age of the published orders; exit code 1 when they are too old")
+    verify.add_argument("--target", default="orders")
     marts = commands.add_parser("marts", help="build the star schema, test it and write the reports")
     marts.add_argument("--orders", default="orders")
     marts.add_argument("--schema", default=None)
@@ -33,7 +41,16 @@ def main(arguments: list[str] | None = None) -> int:
 
     spark = builder().getOrCreate()
     if options.job == "stage":
-        print(jobs.stage(spark, options.feed, options.staged))
+        print(jobs.stage(spark, options.feed, options.staged, options.month))
+    elif options.job == "generate":
+        jobs.generate(spark, options.feed, options.rows, options.seed)
+    elif options.job == "verify":
+        figures, age = jobs.verify(spark, options.target)
+        print(figures)
+        print(age)
+        return int(age["status"] == "error")
+    elif options.job == "load" and options.on_error == "continue":
+        print(jobs.load_tolerant(spark, options.staged, options.target or "loaded_files"))
     elif options.job == "check":
         bounds = {"volume": tuple(options.volume)} if options.volume else {}
         try:
@@ -43,7 +60,7 @@ def main(arguments: list[str] | None = None) -> int:
             print(f"quality gate closed: {closed}", file=sys.stderr)
             return 1
     elif options.job == "load":
-        print(jobs.load(spark, options.staged, options.target))
+        print(jobs.load(spark, options.staged, options.target or "orders"))
     elif options.job == "history":
         print(jobs.record_history(spark, options.run_at, options.schema))
     else:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillstar.functions import keys, scoring
 from tillstar.functions.calendar import as_of_day, load_time
 from tillstar.functions.money import average_amount, beyond, cents, from_cents
-from tillstar.operators.modes import modal_value
+from tillstar.operators.modes import likeliest, modal_value
 
 
 def customer_country_mode(stg: DataFrame) -> DataFrame:
@@ -18,24 +18,36 @@ def customer_country_mode(stg: DataFrame) -> DataFrame:
     return modal_value(stg, "customer_id", "country_code")
 
 
-def customer_metrics(stg: DataFrame) -> DataFrame:
-    """Sums per customer over orders that were not cancelled.
+def customer_partials(stg: DataFrame, *by: str) -> DataFrame:
+    """Sums per (customer, category, country), and per ``by`` if given; sums of any of them are the sums of their orders.
 
-    Adding up per (customer, category) first makes the distinct category count a plain count of
-    groups, with no row expansion, and leaves a dominant customer with one row per category.
-    ``stg`` holds one row per order, so orders are counted without a distinct.
+    Every figure of the dimension follows from these rows, whether they come from all orders at once or month by
+    month, and a dominant customer has one row per category and country. ``stg`` holds one row per order,
+    so orders are counted without a distinct.
     """
-    net = cents(F.col("net_amount"))
+    counts = F.col("order_status") != "cancelled"
+    net = F.when(counts, F.col("net_amount"))
+    return stg.groupBy(*by, "customer_id", "product_category", "country_code").agg(
+        F.count(F.lit(1)).alias("all_rows"),
+        F.count_if(counts).alias("kept_rows"),
+        F.min(F.when(counts, F.col("order_date"))).alias("first_day"),
+        F.max(F.when(counts, F.col("order_date"))).alias("last_day"),
+        F.count(F.when(counts, F.col("order_id"))).alias("orders"),
+        F.sum(cents(net)).alias("net_cents"),
+        F.sum(beyond(net)).alias("net_rest"),
+        F.count(net).alias("net_rows"),
+    )
+
+
+def customer_metrics(partials: DataFrame) -> DataFrame:
+    """Sums per customer over orders that were not cancelled. Adding up per category first makes distinct categories plain groups."""
     per_category = (
-        stg.where(F.col("order_status") != "cancelled")
+        partials.where("kept_rows > 0")
         .groupBy("customer_id", "product_category")
         .agg(
-            F.min("order_date").alias("first_day"),
-            F.max("order_date").alias("last_day"),
-            F.count("order_id").alias("orders"),
-            F.sum(net).alias("net_cents"),
-            F.sum(beyond(F.col("net_amount"))).alias("net_rest"),
-            F.count("net_amount").alias("net_rows"),
+            F.min("first_day").alias("first_day"),
+            F.max("last_day").alias("last_day"),
+            *[F.sum(c).alias(c) for c in ("orders", "net_cents", "net_rest", "net_rows")],
         )
     )
     return per_category.groupBy("customer_id").agg(
@@ -49,8 +61,19 @@ def customer_metrics(stg: DataFrame) -> DataFrame:
     )
 
 
+def country_of(partials: DataFrame) -> DataFrame:
+    """Most frequent country over all orders, cancelled ones included."""
+    known = partials.where(F.col("country_code").isNotNull()).groupBy("customer_id", "country_code").agg(F.sum("all_rows").alias("n"))
+    return known.groupBy("customer_id").agg(likeliest(F.col("country_code"), F.col("n")).alias("country_code"))
+
+
 def dim_customers(stg: DataFrame, as_of: dt.date | None = None) -> DataFrame:
-    measured = customer_metrics(stg).join(customer_country_mode(stg), "customer_id", "left")
+    return customers_from(customer_partials(stg), as_of)
+
+
+def customers_from(partials: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+    """The dimension from partial sums."""
+    measured = customer_metrics(partials).join(country_of(partials), "customer_id", "left")
     spend = from_cents(F.col("spend_cents"), F.col("spend_rest"))
     silent = F.datediff(as_of_day(as_of), "last_order_date")
     return measured.select(

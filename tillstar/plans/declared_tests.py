@@ -130,16 +130,21 @@ def _parent_results(table: str, rows: DataFrame, test: ParentTest, parent: DataF
     return _lines(lost.agg(F.expr("coalesce(sum(orphan_rows), 0L) AS n")), table, [test], ["n"])
 
 
-def table_results(table: str, tables: dict[str, DataFrame]) -> list[DataFrame]:
+def table_results(table: str, tables: dict[str, DataFrame], parents: bool = True) -> list[DataFrame]:
     rows, tests = tables[table], declared_tests()[table]
-    parents = [t for t in tests if isinstance(t, ParentTest)]
+    between = [t for t in tests if isinstance(t, ParentTest) and parents]
     return [
         _row_results(table, rows, [t for t in tests if isinstance(t, RowTest)]),
         _unique_results(table, rows, [t for t in tests if isinstance(t, UniqueTest)]),
-        *[_parent_results(table, rows, t, tables[t.parent]) for t in parents],
+        *[_parent_results(table, rows, t, tables[t.parent]) for t in between],
     ]
 
 
+def own_report(table: str, rows: DataFrame) -> DataFrame:
+    """The tests of a table that need no other table."""
+    return combine(table_results(table, {table: rows}, parents=False))
+
+
 def declared_report(tables: dict[str, DataFrame]) -> DataFrame:
     """``(table_name, column_name, test, status, failures)``, one line per declared test."""
     return combine([frame for table in declared_tests() for frame in table_results(table, tables)])

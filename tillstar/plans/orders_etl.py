@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tillstar.functions import calendar, casting, money, text
 from tillstar.operators.dedup import keep_best, total_preference
 from tillstar.operators.funnel import funnel
+from tillstar.sources.commits import CommittedTable
 from tillstar.sources.staging_area import write_staged
 
 MANDATORY = ["order_id", "customer_id", "product_id", "order_date", "unit_price"]
@@ -110,7 +112,13 @@ class EtlSummary:
         return round(100.0 * self.rows_dropped / self.raw_rows, 1) if self.raw_rows else 0.0
 
 
-def run_etl(raw: DataFrame, path: str) -> EtlSummary:
-    """Stage a feed: one pass that writes, one column-free count of the feed."""
-    clean = write_staged(staged_orders(raw), path)
-    return EtlSummary(raw.count(), clean)
+def run_etl(raw: DataFrame, path: str, months: Collection[tuple[int, int]] | None = None) -> EtlSummary:
+    """Stage a feed, or only some months of it, reading it once.
+
+    The raw rows are landed beside the staged set, as text in columns. Their number comes from the written footers, so it stays
+    exact when tasks are repeated, and the ETL reads columns instead of parsing lines.
+    """
+    landing = CommittedTable(raw.sparkSession, f"{path.rstrip('/')}/feed")
+    landed = landing.write(raw, arrange=False, retained=1)
+    clean = write_staged(staged_orders(landing.read(landed)), path, months)
+    return EtlSummary(landed.rows, clean)

@@ -10,6 +10,7 @@ from tillstar.functions.calendar import load_time
 from tillstar.functions.money import average, beyond, cents, from_cents, half_up_ratio, scaled
 from tillstar.operators.modes import likeliest, modal_value
 from tillstar.operators.tiers import rank_tier
+from tillstar.sources.workspace import persisted
 
 # Rank limits of the revenue tiers.
 TIERS = [(100, "top_100"), (500, "top_500")]
@@ -28,13 +29,9 @@ def product_revenue(stg: DataFrame) -> DataFrame:
     return summed.select("product_id", from_cents(F.col("cents"), F.col("rest")).alias("total_revenue"))
 
 
-def product_metrics(stg: DataFrame) -> DataFrame:
-    """Sums per product plus its modal category, both from one (product, category) aggregate.
-
-    Distinct buyers come from a separate two-column aggregate. Both sides are hashed on product_id, so
-    joining them moves no data again.
-    """
-    per_category = stg.groupBy("product_id", "product_category").agg(
+def product_partials(stg: DataFrame, *by: str) -> DataFrame:
+    """Sums per (product, category), and per ``by`` if given; sums of any of them are the sums of their orders."""
+    return stg.groupBy(*by, "product_id", "product_category").agg(
         F.count("order_id").alias("orders"),
         F.count(F.lit(1)).alias("weight"),
         F.sum("quantity").alias("units"),
@@ -47,6 +44,17 @@ def product_metrics(stg: DataFrame) -> DataFrame:
         F.count("discount_pct").alias("discount_rows"),
         F.count_if(F.col("order_status") == "returned").alias("returns"),
     )
+
+
+def product_buyers(stg: DataFrame, *by: str) -> DataFrame:
+    """Who bought what, once each, and per ``by`` if given."""
+    return stg.select(*by, "product_id", "customer_id").distinct()
+
+
+def product_metrics(partials: DataFrame, buyers: DataFrame) -> DataFrame:
+    """Sums per product, its modal category and its distinct buyers. Both sides are hashed on product_id, so joining them moves no data again."""
+    names = [c for c in partials.columns if c not in ("product_id", "product_category", "order_year", "order_month")]
+    per_category = partials.groupBy("product_id", "product_category").agg(*[F.sum(c).alias(c) for c in names])
     per_product = per_category.groupBy("product_id").agg(
         likeliest(F.col("product_category"), F.col("weight")).alias("category"),
         F.sum("orders").alias("total_orders"),
@@ -59,15 +67,21 @@ def product_metrics(stg: DataFrame) -> DataFrame:
         F.sum("discount_rows").alias("discount_rows"),
         F.sum("returns").alias("return_count"),
     )
-    buyers = stg.groupBy("product_id").agg(F.count_distinct("customer_id").alias("unique_buyers"))
+    counted = buyers.groupBy("product_id").agg(F.count_distinct("customer_id").alias("unique_buyers"))
     # Orders without a product are a group of their own.
-    other = buyers.withColumnRenamed("product_id", "buyers_of")
+    other = counted.withColumnRenamed("product_id", "buyers_of")
     return per_product.join(other, F.col("product_id").eqNullSafe(F.col("buyers_of"))).drop("buyers_of")
 
 
 def dim_products(stg: DataFrame) -> DataFrame:
-    tier = rank_tier(product_revenue(stg), "total_revenue", TIERS, LOWEST_TIER)
-    return product_metrics(stg).select(
+    return products_from(product_partials(stg), stg.select("product_id", "customer_id"))
+
+
+def products_from(partials: DataFrame, buyers: DataFrame) -> DataFrame:
+    """The dimension from partial sums and buyers. Metrics are written once: tiers compare them with the largest revenues of all."""
+    metrics = persisted(product_metrics(partials, buyers), "product_metrics", shuffle=False)
+    tier = rank_tier(metrics, "total_revenue", TIERS, LOWEST_TIER)
+    return metrics.select(
         keys.surrogate_key("product_id").alias("product_key"),
         "product_id",
         "category",

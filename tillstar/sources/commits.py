@@ -111,13 +111,14 @@ class CommittedTable:
         rows_per_file: int = 0,
         base: Commit | None = None,
         extra: dict[str, str] | None = None,
+        retained: int = KEPT_COMMITS,
     ) -> Commit:
         """Write rows as a new part and commit it.
 
-        ``keep`` names folders of the base commit that stay; by default the new part replaces all. ``check`` sees what was
-        written before anybody else does, may raise, and returns notes for the commit. ``hidden`` columns
+        ``keep`` names folders of the base commit that stay; by default the new part replaces all. ``check`` sees the whole
+        table to be before anybody else does, may raise, and returns notes for the commit. ``hidden`` columns
         lay the part out without belonging to the table. What fails leaves no files. Pass as ``base`` the commit that ``rows``
-        was made from, so that a commit in between is noticed. ``extra`` are notes that are known beforehand.
+        was made from, so that a commit in between is noticed. ``extra`` are notes that are known beforehand; ``retained`` is the number of commits that stay.
         """
         base = base or self.latest()
         number = base.number + 1 if base else 1
@@ -136,7 +137,10 @@ class CommittedTable:
             for *values, count in counted:
                 made["/".join([part, *(f"{c}={NULL_FOLDER if v is None else v}" for c, v in zip(layout, values, strict=True))])] = count
             kept = {f: n for f, n in base.folders.items() if keep(f)} if base and keep else {}
-            notes = check(written) if check else {}
+            whole = written.drop(*hidden)
+            if kept:
+                whole = self.read(base, kept.__contains__).unionByName(whole)
+            notes = check(whole) if check else {}
             if not made and not kept:
                 # One file without rows holds the schema for readers that infer it.
                 made["/".join([part, *(f"{c}={NULL_FOLDER}" for c in layout)])] = 0
@@ -151,7 +155,7 @@ class CommittedTable:
         except BaseException:
             self._delete(location)
             raise
-        self.collect()
+        self.collect(retained)
         return done
 
     def _publish(self, commit: Commit) -> None:

@@ -7,6 +7,7 @@ that one process has made shows what another one publishes later.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 
 from tillstar.functions.keys import checked_name, quoted_name
 from tillstar.operators.dedup import key_counts
-from tillstar.sources.commits import KEPT_COMMITS, CommittedTable
+from tillstar.sources import monthly
+from tillstar.sources.commits import KEPT_COMMITS, Commit, CommittedTable
 from tillstar.sources.workspace import warehouse_root
 
 KEPT_VERSIONS = KEPT_COMMITS
@@ -73,30 +75,54 @@ def show(spark: SparkSession, target: str) -> None:
         spark.sql(f"CREATE OR REPLACE VIEW {quoted_name(target)} AS {statement}")
 
 
-def replace_snapshot(
-    rows: DataFrame, target: str, key: str, partition_by: tuple[str, ...] = (), loaded_at: str | None = None
-) -> Snapshot:
-    """Write a new version, verify volume and key uniqueness on what was written, then publish it."""
-    found = {}
+def key_gate(target: str, key: str, loaded_at: str | None, found: dict) -> Callable[[DataFrame], dict[str, str]]:
+    """A check for a write that refuses tables without rows or with missing or repeated keys; its figures go to ``found``."""
 
-    def check(written: DataFrame) -> dict[str, str]:
-        found.update(key_check(written, key, loaded_at).first().asDict())
+    def check(whole: DataFrame) -> dict[str, str]:
+        found.update(key_check(whole, key, loaded_at).first().asDict())
         if found["total_orders"] == 0:
             raise SnapshotRejected(f"{target}: the load produced no rows")
         if found["total_orders"] != found["unique_orders"]:
             raise SnapshotRejected(f"{target}: {key} is not unique or is missing")
         return {}
 
-    held = table(rows.sparkSession, target)
-    done = held.write(rows, partition_by, check=check)
-    show(rows.sparkSession, target)
+    return check
+
+
+def _snapshot(held: CommittedTable, done: Commit, found: dict) -> Snapshot:
     return Snapshot(f"{held.root}@{done.number}", found["total_orders"], found["unique_orders"], found.get("latest_load"))
 
 
-def save_table(rows: DataFrame, target: str, cluster_by: tuple[str, ...] = ()) -> str:
-    """Publish as a table, laid out by ``cluster_by`` so range filters skip files; returns root and version."""
+def replace_snapshot(
+    rows: DataFrame, target: str, key: str, partition_by: tuple[str, ...] = (), loaded_at: str | None = None
+) -> Snapshot:
+    """Write a new version, verify volume and key uniqueness on what was written, then publish it."""
+    found: dict = {}
+    held = table(rows.sparkSession, target)
+    done = held.write(rows, partition_by, check=key_gate(target, key, loaded_at, found))
+    show(rows.sparkSession, target)
+    return _snapshot(held, done, found)
+
+
+def follow_snapshot(
+    source: CommittedTable, target: str, key: str, build: Callable[[DataFrame], DataFrame], partition_by: tuple[str, ...], loaded_at: str | None = None
+) -> tuple[Snapshot, set[str]]:
+    """The same from a table laid out by month: only months that differ are written, and keys are verified over all."""
+    found: dict = {}
+    held = table(source.spark, target)
+    done, changed = monthly.follow(source, held, build, partition_by, check=key_gate(target, key, loaded_at, found))
+    if not found:
+        found.update(key_check(held.read(done), key, loaded_at).first().asDict())
+    show(source.spark, target)
+    return _snapshot(held, done, found), changed
+
+
+def save_table(
+    rows: DataFrame, target: str, cluster_by: tuple[str, ...] = (), check: Callable[[DataFrame], dict[str, str]] | None = None
+) -> str:
+    """Publish as a table, laid out by ``cluster_by`` so range filters skip files, if ``check`` lets it; returns root and version."""
     held = table(rows.sparkSession, target)
-    done = held.write(rows, cluster_by)
+    done = held.write(rows, cluster_by, check=check)
     show(rows.sparkSession, target)
     return f"{held.root}@{done.number}"
 
