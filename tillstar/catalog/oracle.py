@@ -372,6 +372,15 @@ FROM (SELECT count(*) total_orders, count(DISTINCT customer_id) unique_customers
 SELECT total_rows, unique_customers, earliest_order, latest_order, {_ratio('cents', '100000000', 2)} AS revenue_millions
 FROM (SELECT count(*) total_rows, count(DISTINCT customer_id) unique_customers, min(order_date) earliest_order,
   max(order_date) latest_order, {totals} FROM staged)"""),
+        "load_stamps": _on("staged", """
+SELECT year, month, count(*) AS orders, count(*) AS stamped, true AS one_moment, true AS in_the_past FROM staged GROUP BY ALL"""),
+        "legal_names": _on("feed", """
+SELECT DISTINCT name, regexp_full_match(name, '[A-Za-z_][A-Za-z0-9_$]*([.][A-Za-z_][A-Za-z0-9_$]*)*') AS legal
+FROM (SELECT unnest([category, status, country, store_id, channel, concat_ws('.', country, channel)]) name FROM feed) WHERE name IS NOT NULL"""),
+        "quality_gate_of_nothing": _on("staged", f"""
+SELECT name, name LIKE 'schema:%' AS success, severity, 0 AS invalid_count,
+  CASE WHEN name LIKE 'row count:%' OR name LIKE '%: cardinality in%' THEN 100.0 ELSE 0.0 END::DOUBLE AS unexpected_percent
+FROM ({gate})"""),
         "stg_orders": _on("stg", "SELECT * FROM stg"),
         "dim_date": _on("cal", "SELECT * FROM cal"),
         "dim_customers": _on("cust", "SELECT * FROM cust"),

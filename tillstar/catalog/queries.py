@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.catalog.layers import AS_OF, Layers
+from tillstar.functions import calendar, keys
 from tillstar.operators import contracts, dedup, history, integrity
 from tillstar.plans import (
     customer_history,
@@ -180,6 +181,26 @@ def load_check(layers):
     return checked.select("row_count", F.col("latest_load").isNotNull().alias("has_load_time"))
 
 
+@query
+def load_stamps(layers):
+    """Load times of staged months: every order has the one of its job, and none lies ahead."""
+    stamp = F.col("etl_loaded_at")
+    return layers.staged().groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.count(stamp).alias("stamped"),
+        (F.min(stamp) == F.max(stamp)).alias("one_moment"),
+        (F.max(stamp) <= calendar.load_time()).alias("in_the_past"),
+    )
+
+
+@query
+def legal_names(layers):
+    """Which values of the feed could name a table."""
+    words = F.explode(F.array("category", "status", "country", "store_id", "channel", F.concat_ws(".", "country", "channel")))
+    names = layers.feed().select(words.alias("name")).where("name IS NOT NULL").distinct()
+    return names.select("name", keys.is_legal_name(F.col("name")).alias("legal"))
+
+
 @query
 def load_verification(layers):
     return verification.load_verification(layers.staged())
@@ -325,6 +346,12 @@ def quality_gate_verdict(layers):
     return contracts.verdict(quality_gate.quality_report(layers.staged()))
 
 
+@query
+def quality_gate_of_nothing(layers):
+    """The gate over staged orders none of which is of the year that is asked for."""
+    return quality_gate.quality_report(layers.staged().where("year < 0"))
+
+
 @query
 def duplicate_order_ids(layers):
     return dedup.duplicate_keys(layers.feed(), "order_id")

@@ -28,6 +28,11 @@ def checked_name(name: str) -> str:
     return name
 
 
+def is_legal_name(name: Column) -> Column:
+    """The same test on a column of names."""
+    return name.rlike(rf"^(?:{NAME_SHAPE.pattern})\z")
+
+
 def quoted_name(name: str) -> str:
     return ".".join(f"`{part}`" for part in checked_name(name).split("."))
 

@@ -127,14 +127,14 @@ def build_marts(spark: SparkSession, orders: str = "orders", schema: str | None
     snapshots.save_view(spark, staging.statement(f"({snapshots.table(spark, orders).statement()})"), "stg_orders")
     states = _states(spark, orders, schema)
 
-    def save(name: str, rows: DataFrame, cluster_by: tuple[str, ...] = ()) -> None:
-        snapshots.save_table(rows, mart_name(name, schema), cluster_by, _tested(name))
+    def save(name: str, rows: DataFrame, cluster_by: tuple[str, ...] = (), arranged: bool = False) -> None:
+        snapshots.save_table(rows, mart_name(name, schema), cluster_by, _tested(name), arranged)
 
     save("dim_customers", customers.customers_from(states["customer_state"], as_of))
     save("dim_products", products.products_from(states["product_state"], states["buyer_state"]))
     save("dim_date", dates.dim_date(dates.years_covering(stg, "order_date"), as_of))
     written = snapshots.published(spark, mart_name("dim_customers", schema))
-    save("fct_sales", sales.fct_sales(stg, written), sales.LAYOUT)
+    save("fct_sales", sales.arranged(sales.fct_sales(stg, written), stg), sales.LAYOUT, arranged=True)
 
 
 def marts(spark: SparkSession, orders: str = "orders", schema: str | None = None) -> dict[str, DataFrame]:

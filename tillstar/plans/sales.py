@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions import calendar, keys
+from tillstar.sources.clustering import clustered, curve
 
 LAYOUT = ("order_year", "order_month")
+# Inside a month, by day and then near in customer and product.
+NEAR = ("customer_id", "product_id")
 FAST_SHIPPING_DAYS = 2
 
 
@@ -39,6 +42,11 @@ def fct_sales(stg: DataFrame, customers: DataFrame) -> DataFrame:
     return stg.join(segments, "customer_id", "left").withColumns(columns).select(*FACT_COLUMNS)
 
 
+def arranged(fact: DataFrame, stg: DataFrame) -> DataFrame:
+    """The fact in its order on disk, so that filters on day, customer or product skip row groups. Ranges of keys come from the orders."""
+    return clustered(fact, (*LAYOUT, "order_date"), curve(stg, NEAR))
+
+
 # Column order of the fact.
 FACT_COLUMNS = [
     "sale_key", "order_id", "customer_id", "product_id", "store_id", "date_key",

@@ -118,11 +118,18 @@ def follow_snapshot(
 
 
 def save_table(
-    rows: DataFrame, target: str, cluster_by: tuple[str, ...] = (), check: Callable[[DataFrame], dict[str, str]] | None = None
+    rows: DataFrame,
+    target: str,
+    cluster_by: tuple[str, ...] = (),
+    check: Callable[[DataFrame], dict[str, str]] | None = None,
+    arranged: bool = False,
 ) -> str:
-    """Publish as a table, laid out by ``cluster_by`` so range filters skip files, if ``check`` lets it; returns root and version."""
+    """Publish as a table, laid out by ``cluster_by`` so range filters skip files, if ``check`` lets it; returns root and version.
+
+    Rows that are ``arranged`` already, as by clustering, are written in the order they come.
+    """
     held = table(rows.sparkSession, target)
-    done = held.write(rows, cluster_by, check=check)
+    done = held.write(rows, cluster_by, check=check, arrange=not arranged)
     show(rows.sparkSession, target)
     return f"{held.root}@{done.number}"
 
