@@ -9,6 +9,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -35,7 +36,7 @@ class Spelled(NamedTuple):
     starts: np.ndarray  # first byte of each word in data
     ends: np.ndarray
     codes: np.ndarray  # which distinct word each one is
-    distinct: pa.Array  # the distinct words, as bytes
+    distinct: list[bytes]  # the distinct words
     first: np.ndarray  # index of the first word of each text, and the number of words
 
 
@@ -46,7 +47,7 @@ class Words(NamedTuple):
     starts: np.ndarray
     ends: np.ndarray
     codes: np.ndarray
-    distinct: pa.Array
+    distinct: list[bytes]
     hashes: np.ndarray  # uint64
     first: np.ndarray
 
@@ -91,13 +92,18 @@ def spell(texts: pa.Array, lower: bool = False, breaks: bytes = WHITE) -> Spelle
     letters = (_LOWER[data] if lower else data)[solid]
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(letters)])
     coded = words.dictionary_encode()
-    return Spelled(data, offsets, starts, ends, coded.indices.to_numpy(), coded.dictionary, np.searchsorted(starts, offsets))
+    codes = coded.indices.to_numpy()
+    # Bytes of the distinct words, sliced where each is first met.
+    at = np.zeros(len(coded.dictionary), np.int64)
+    at[codes[::-1]] = np.arange(len(codes))[::-1]
+    raw = letters.tobytes()
+    distinct = [raw[a:b] for a, b in zip(bounds[at].tolist(), bounds[at + 1].tolist(), strict=True)]
+    return Spelled(data, offsets, starts, ends, codes, distinct, np.searchsorted(starts, offsets))
 
 
 def words_of(texts: pa.Array, lower: bool = False, breaks: bytes = WHITE) -> Words:
     found = spell(texts, lower, breaks)
-    n = len(found.distinct)
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found.distinct.to_pylist()), np.uint64, n)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found.distinct), np.uint64, len(found.distinct))
     return Words(found.data, found.starts, found.ends, found.codes, found.distinct, hashes[found.codes], found.first)
 
 
@@ -164,11 +170,12 @@ def worker_state(owner: str) -> dict:
 class WordTable:
     """What a function gives for each distinct word, kept while words repeat.
 
-    compute takes a list of words (bytes) and returns an integer array for each. The table is bounded: beyond
+    compute takes a list of words (bytes) and returns a list of integers for each, or a pair of arrays: how many integers each word
+    has, and all of them in a row. The table is bounded: beyond
     ``most`` words it starts anew with those of the current batch, which costs time and changes no result.
     """
 
-    def __init__(self, compute: Callable[[list[bytes]], list], most: int = 1 << 18) -> None:
+    def __init__(self, compute: Callable[[list[bytes]], list | tuple], most: int = 1 << 19) -> None:
         self.compute, self.most = compute, most
         self._clear()
 
@@ -176,17 +183,20 @@ class WordTable:
         self.index: dict[bytes, int] = {}
         self.sizes, self.first, self.values = np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64)
 
-    def rows(self, words: Words) -> np.ndarray:
+    def rows(self, words: Spelled) -> np.ndarray:
         """Index in the table of every word, after missing ones are computed."""
-        spelled = words.distinct.to_pylist()
+        spelled = words.distinct
         fresh = [w for w in spelled if w not in self.index]
         if len(self.index) + len(fresh) > self.most:
             self._clear()
             fresh = spelled
         if fresh:
             results = self.compute(fresh)
-            sizes = np.fromiter(map(len, results), np.int64, len(results))
-            values = np.fromiter((x for r in results for x in r), np.int64, int(sizes.sum()))
+            if isinstance(results, tuple):
+                sizes, values = results
+            else:
+                sizes = np.fromiter(map(len, results), np.int64, len(results))
+                values = np.fromiter(chain.from_iterable(results), np.int64, int(sizes.sum()))
             self.index.update(zip(fresh, range(len(self.index), len(self.index) + len(fresh)), strict=True))
             self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
             self.sizes, self.values = np.concatenate([self.sizes, sizes]), np.concatenate([self.values, values])

@@ -22,7 +22,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.textops import WordTable, ranges, slices, text_buffer, words_of, worker_state
+from tillstar.llm.textops import WordTable, ranges, slices, spell, text_buffer, worker_state
 
 SPACE = "\u2581"
 #: What an unknown character scores below the least score of the vocabulary.
@@ -89,7 +89,7 @@ def counts_of(texts: pa.Array, path: str) -> np.ndarray:
     leading = np.zeros(len(sizes), bool)
     leading[sizes > 0] = data[offsets[:-1][sizes > 0]] == 0x20
     parts = np.where(sizes > 0, np.diff(spaces) + ~leading, 0)
-    words = words_of(texts, breaks=b" ")
+    words = spell(texts, breaks=b" ")
     rows = table.rows(words)
     sums = np.concatenate([[0], np.cumsum(table.values[ranges(table.first[rows], table.sizes[rows])])])[words.first]
     return np.diff(sums) + (parts - np.diff(words.first)) * worker_state("token_counts")[path, "space"]
