@@ -191,6 +191,17 @@ def test_items_beside_other_fillings_of_their_template(spark):
     assert got[0].n_items == got[1].n_items == 2 and got[0].coverage == 1.0
 
 
+def test_lists_of_numbers_and_names(spark):
+    """A window of slots alone has the template of any other, so only its values count."""
+    numbers = lambda a: " ".join(str(a + 7 * i) for i in range(16))
+    item = numbers(100)
+    rows = [(1, f"Table {numbers(5000)}"), (2, f"Table {item} end"), (3, " ".join(str(i) for i in range(30_000, 90_000))), (4, " ".join(f"Ab{i}" for i in range(20_000)))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: r.contaminated for r in decontamination.judge_contamination(frame, bench).collect()}
+    assert got == {1: False, 2: True, 3: False, 4: False}
+
+
 def test_occurrences():
     steps = [(0, 0), (1, 1), (4, 2), (5, 3), (30, 0), (31, 1), (40, 3), (41, 2)]
     assert decontamination.occurrences(steps) == [steps[:4], [(30, 0), (31, 1), (40, 3)], [(41, 2)]]
@@ -281,6 +292,13 @@ def test_quality_counts(spark):
     assert quality_rules.judge_quality(frame.limit(0)).count() == 0
 
 
+def test_windows_of_a_very_long_text(spark):
+    words = [f"w{i}" for i in range(600_000)]
+    words[-3:] = words[:3]
+    text = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
+    assert quality_rules.features(text).first().n_repeat_words == 6
+
+
 def test_quality_verdicts(spark):
     rng = random.Random(3)
     clean = [". ".join(" ".join(prose(rng, 9, 5000)).capitalize() for _ in range(12)) + "." for _ in range(90)]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.textops import WordTable, Words, mix, slices, window_hashes, words_of, worker_state
+from tillstar.llm.textops import Spelled, WordTable, mix, slices, spell, window_hashes, worker_state
 
 WINDOW = 8
 #: Share of an item's windows that have to match, and of its slots that have to agree.
@@ -71,7 +71,7 @@ def word_class(word: bytes) -> list[int]:
     return [flags, int.from_bytes(blake2b(lower.encode(), digest_size=8).digest(), "little", signed=True)]
 
 
-def canonical(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def canonical(words: Spelled) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Template hash, type of slot (0 for none) and value of every word."""
     table = worker_state("decontamination").setdefault("words", WordTable(lambda words: [word_class(w) for w in words]))
     rows = table.rows(words)  # may replace the table's arrays
@@ -94,20 +94,24 @@ def windows(texts: pa.Array, size: int, lengths: Iterable[int] | None = None) ->
 
     Besides windows of the full size there are those of the given shorter lengths; without lengths, a text shorter than the size is one window.
     """
-    words = words_of(texts)
+    words = spell(texts)
     template, kind, values = canonical(words)
     counts = np.diff(words.first)
     text = np.repeat(np.arange(len(counts)), counts)
     place = np.arange(len(template)) - words.first[text]
     left = counts[text] - place
     at = np.flatnonzero(left >= size)
-    found = [(at, np.full(len(at), size), window_hashes(template, size)[at])]
     plain = np.concatenate([[0], np.cumsum(kind == PLAIN)])
+
+    def hashed(at: np.ndarray, n: int) -> np.ndarray:
+        """A window's template, or its values if it is nothing but slots: any list of numbers has the template of any other."""
+        return np.where(plain[at + n] > plain[at], window_hashes(template, n)[at], window_hashes(values, n)[at])
+
+    found = [(at, np.full(len(at), size), hashed(at, size))]
     for n in sorted({int(x) for x in counts if 0 < x < size} if lengths is None else lengths):
         at = np.flatnonzero((left >= n) if lengths is not None else (place == 0) & (left == n))
         if len(at):
-            hashes = np.where(plain[at + n] > plain[at], window_hashes(template, n)[at], window_hashes(values, n)[at])
-            found.append((at, np.full(len(at), n), mix(hashes ^ np.uint64(n))))
+            found.append((at, np.full(len(at), n), mix(hashed(at, n) ^ np.uint64(n))))
     at, span, hashes = (np.concatenate(x) for x in zip(*found, strict=True))
     return text[at], place[at], hashes, at, span, kind, values
 

@@ -41,7 +41,7 @@ RIGHT = 0.9
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Counts of each text by row. Windows are compared by 64-bit hashes, cut by the bits that number a text's windows."""
+    """Counts of each text by row. Windows are compared by two hashes of 96 bits together, whatever the length of the text."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     base = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.btrim(text, F.lit(WHITE_CHARS)).alias("inner"))
     rows = base.select(
@@ -55,17 +55,17 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     triples = F.when(n < 3, F.array().cast("array<long>")).otherwise(
         F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(word(i), word(i + 1), word(i + 2)))
     )
-    rows = rows.withColumn("triples", triples).withColumn("bits", F.ceil(F.log2(n + F.lit(1))).cast("int"))
-    # Hash above, place below: sorting brings equal windows together without a structure per window.
-    packed = F.transform("triples", lambda h, i: _above(h, F.col("bits")).bitwiseOR(i.cast("long")))
+    rows = rows.withColumn("triples", triples)
+    # Sorting brings equal windows together; most texts repeat no window and need none of it.
+    named = F.transform(
+        "triples", lambda h, i: F.struct(h.alias("h"), F.hash(word(i), word(i + 1), word(i + 2)).alias("g"), i.cast("long").alias("place"))
+    )
     clear = F.size(F.array_distinct("triples")) == F.size("triples")
-    rows = rows.withColumn("sorted", F.when(clear, F.array().cast("array<long>")).otherwise(F.sort_array(packed)))
-    same = lambda x, y: _shift(x, F.col("bits")) == _shift(y, F.col("bits"))
-    twice = F.filter("sorted", lambda x, i: F.coalesce(same(x, F.get("sorted", i + 1)), F.lit(False)) | F.coalesce(same(x, F.get("sorted", i - 1)), F.lit(False)))
-    rows = rows.withColumn("twice", twice)
-    low = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bits")) - 1
-    places = F.sort_array(F.transform("twice", lambda x: x.bitwiseAND(low)))
-    rows = rows.withColumn("places", places)
+    rows = rows.withColumn("sorted", F.when(~clear, F.sort_array(named)))
+    same = lambda x, y: F.coalesce((x["h"] == y["h"]) & (x["g"] == y["g"]), F.lit(False))
+    twice = F.filter("sorted", lambda x, i: same(x, F.get("sorted", i + 1)) | same(x, F.get("sorted", i - 1)))
+    rows = rows.withColumn("twice", F.coalesce(F.transform(twice, lambda x: x["place"]), F.array().cast("array<long>")))
+    rows = rows.withColumn("places", F.sort_array("twice"))
     covered = F.aggregate(F.transform("places", lambda p, i: F.least(F.lit(3).cast("long"), F.coalesce(F.get("places", i + 1) - p, F.lit(3).cast("long")))), F.lit(0).cast("long"), lambda a, x: a + x)
     found = lambda pattern: F.regexp_count("text", F.lit(pattern)).cast("long")
     count = lambda char: (F.length("text") - F.length(F.replace("text", F.lit(char), F.lit("")))).cast("long")
@@ -83,14 +83,6 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
-def _shift(x: Column, bits: Column) -> Column:
-    return F.call_function("shiftright", x, bits)
-
-
-def _above(x: Column, bits: Column) -> Column:
-    return F.call_function("shiftleft", _shift(x, bits), bits)
-
-
 def votes() -> dict[str, Column]:
     """1 for good, -1 for bad, 0 to abstain. Most rules know one kind of junk and say nothing about its absence."""
     c = F.col
