@@ -1,7 +1,7 @@
 """Quality by co-training: one classifier sees the text, another the metadata; each teaches the other.
 
-Both are logistic regressions trained on a bounded sample of labelled documents. In every round each view labels the
-documents of a bounded pool that it is surest of, and the other view learns from them. Views are calibrated
+Both are logistic regressions trained on a bounded sample of labelled documents. In every round each view judges all
+unlabelled documents, labels those that it is surest of, and the other view learns from them. Views are calibrated
 on held-out labelled documents, and their log odds add up, less the prior's, to the score of every document.
 
 The text view is a histogram of characters and word lengths with figures on repetition; the metadata
@@ -22,11 +22,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from tillstar.llm.textops import mix, slices, text_buffer, words_of
+from tillstar.sources.workspace import persisted
 
-#: Bounds of the labelled sample and of the unlabelled pool, in documents, drawn by hash of the id.
-MOST_LABELLED, MOST_POOL = 4000, 4000
+#: Bound of the labelled sample, in documents, drawn by hash of the id.
+MOST_LABELLED = 4000
+#: Rounds, and documents that a view teaches the other in each of them: the surest of all unlabelled ones.
 ROUNDS, TAUGHT = 4, 100
 #: Probability from which a view's label is passed on.
 SURE = 0.97
@@ -113,47 +116,76 @@ def calibrate(model: Logistic, x: np.ndarray, y: np.ndarray) -> Logistic:
     return model._replace(slope=max(float(slope), 0.0), shift=float(shift))
 
 
-def co_train(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, pools: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS) -> tuple[list[Logistic], float]:
-    """Calibrated models of both views and the prior log odds. Rows come in drawn order, so the last ones are held out."""
+class Teaching(NamedTuple):
+    """What co-training has come to: rows and labels by view, held-out rows, and models."""
+
+    rows: list[np.ndarray]
+    labels: list[np.ndarray]
+    held: tuple[list[np.ndarray], np.ndarray]
+    models: list[Logistic]
+
+    def trained(self) -> Teaching:
+        views, y = self.held
+        return self._replace(models=[calibrate(train(x, t), v, y) for x, t, v in zip(self.rows, self.labels, views, strict=True)])
+
+    def taught(self, pupil: int, x: np.ndarray, good: np.ndarray) -> None:
+        self.rows[pupil] = np.concatenate([self.rows[pupil], x])
+        self.labels[pupil] = np.concatenate([self.labels[pupil], good])
+
+
+def begin(views: tuple[np.ndarray, np.ndarray], y: np.ndarray) -> Teaching:
+    """Models of labelled rows alone. Rows come in drawn order, so the last ones are held out."""
     cut = max(2, int(len(y) * (1 - HELD_OUT)))
     if len(set(y[:cut])) < 2 or len(set(y[cut:])) < 2:
         cut = len(y)
     held = slice(cut, None) if cut < len(y) else slice(None)
-    prior = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
-    rows, labels = [x[:cut] for x in views], [y[:cut].astype(float) for _ in views]
-    free = np.ones(len(pools[0]), bool)
-    models = [calibrate(train(x, t), v[held], y[held]) for x, t, v in zip(rows, labels, views, strict=True)]
-    for _ in range(rounds):
-        for i in (0, 1):
-            odds = models[i].log_odds(pools[i])
-            sure = np.flatnonzero(free & (np.abs(odds) >= np.log(SURE / (1 - SURE))))
-            # As many of each kind as the labelled documents have, the surest first.
-            for good, share in ((True, 1 / (1 + np.exp(-prior))), (False, 1 / (1 + np.exp(prior)))):
-                kind = sure[(odds[sure] > 0) == good]
-                kind = kind[np.argsort(-np.abs(odds[kind]), kind="stable")][: max(1, int(TAUGHT * share))]
-                free[kind] = False
-                rows[1 - i] = np.concatenate([rows[1 - i], pools[1 - i][kind]])
-                labels[1 - i] = np.concatenate([labels[1 - i], np.full(len(kind), float(good))])
-        models = [calibrate(train(x, t), v[held], y[held]) for x, t, v in zip(rows, labels, views, strict=True)]
-    return models, prior
-
-
-def _views(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return Teaching([x[:cut] for x in views], [y[:cut].astype(float) for _ in views], ([x[held] for x in views], y[held]), []).trained()
+
+
+def prior_of(y: np.ndarray) -> float:
+    return float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
+
+
+def _views(part: pa.RecordBatch, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
     sizes = np.asarray(part.column("n_chars"), np.int64)
-    return text_features(part.column("text")), meta_features(part.column("lang").to_pylist(), part.column("source").to_pylist(), sizes)
+    return text_features(part.column(text)), meta_features(part.column("lang").to_pylist(), part.column("source").to_pylist(), sizes)
 
 
-def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features of both views as half-precision numbers in a row."""
     for batch in batches:
         for part in slices(batch, "text", 2 << 20):
-            packed = [np.concatenate(pair).astype("<f4").tobytes() for pair in zip(*_views(part), strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column("draw"), part.column("good"), pa.array(packed, pa.binary())], ["draw", "good", "features"])
+            both = np.concatenate(_views(part), axis=1).astype("<f2")
+            packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * (TEXT + META)), len(both), [None, pa.py_buffer(both.tobytes())])
+            yield pa.RecordBatch.from_arrays([part.column("draw"), packed.cast(pa.binary())], ["draw", "features"])
+
+
+def _unpacked(features: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(b"".join(features), "<f2").reshape(len(features), TEXT + META).astype(float)
+    return both[:, :TEXT], both[:, TEXT:]
 
 
-def _scored(batches: Iterator[pa.RecordBatch], models: list[Logistic], prior: float) -> Iterator[pa.RecordBatch]:
+def _surest(batches: Iterator[pa.RecordBatch], models: list[Logistic], taken: frozenset[int], quota: dict[bool, int]) -> Iterator[pa.RecordBatch]:
+    """Of each batch, the rows that a view is surest of, by view and kind."""
+    shape = pa.schema([("view", pa.int32()), ("good", pa.bool_()), ("odds", pa.float64()), ("draw", pa.int64()), ("features", pa.binary())])
     for batch in batches:
-        for part in slices(batch, "text", 2 << 20):
-            text, meta = (m.log_odds(x) for m, x in zip(models, _views(part), strict=True))
+        draws = batch.column("draw").to_numpy(zero_copy_only=False)
+        free = np.array([d not in taken for d in draws.tolist()], bool)
+        for view, (model, x) in enumerate(zip(models, _unpacked(batch.column("features").to_pylist()), strict=True)):
+            odds = model.log_odds(x)
+            for good, most in quota.items():
+                at = np.flatnonzero(free & ((odds > 0) == good) & (np.abs(odds) >= np.log(SURE / (1 - SURE))))
+                # Repeated rows are one lesson.
+                at = at[np.unique(draws[at], return_index=True)[1]]
+                at = at[np.lexsort((draws[at], -np.abs(odds[at])))][:most]
+                columns = [pa.array(np.full(len(at), view, np.int32)), pa.array(np.full(len(at), good)), pa.array(np.abs(odds[at])), batch.column("draw").take(pa.array(at)), batch.column("features").take(pa.array(at))]
+                yield pa.RecordBatch.from_arrays(columns, schema=shape)
+
+
+def _scored(batches: Iterator[pa.RecordBatch], models: list[Logistic], prior: float, column: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, column, 2 << 20):
+            text, meta = (m.log_odds(x) for m, x in zip(models, _views(part, column), strict=True))
             p = [1 / (1 + np.exp(-z)) for z in (text, meta, np.clip(text + meta - prior, -30, 30))]
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in part.schema.names if c.startswith("own_")), *map(pa.array, p)], [c for c in part.schema.names if c.startswith("own_")] + ["p_text", "p_meta", "p_good"])
 
@@ -166,22 +198,42 @@ def _inputs(docs: DataFrame, id_col: str) -> list:
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> tuple[list[Logistic], float] | None:
-    """Models from labels (id, quality). Both samples are cut to their bound before they meet the texts."""
-    draw = F.xxhash64(F.col(id_col), F.lit("quality")).alias("draw")
+    """Models from labels (id, quality) and from all documents without a label, which every round reads as features."""
+    draw = F.xxhash64(F.col(id_col), F.lit("quality"))
     known = labels.where(F.col("quality").isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min("quality").alias("quality"))
-    known = known.select(id_col, draw, (F.col("quality") > 0).cast("int").alias("good")).orderBy("draw", id_col).limit(MOST_LABELLED)
-    ids = docs.select(id_col).where(F.col(id_col).isNotNull()).join(labels.select(id_col).distinct(), id_col, "left_anti")
-    pool = ids.select(id_col, draw, F.lit(None).cast("int").alias("good")).orderBy("draw", id_col).limit(MOST_POOL)
-    drawn = F.broadcast(known.unionByName(pool))  # MOST_LABELLED + MOST_POOL rows at most
-    sample = docs.select(F.col(id_col), *_inputs(docs, id_col)).join(drawn, id_col).select("draw", "good", "text", "lang", "source", "n_chars")
-    rows = sample.mapInArrow(_sampled, "draw long, good int, features binary").orderBy("draw", "features").limit(2 * (MOST_LABELLED + MOST_POOL)).collect()
-    features = np.frombuffer(b"".join(r["features"] for r in rows), "<f4").reshape(len(rows), TEXT + META) if rows else np.zeros((0, TEXT + META))
-    labelled = np.array([r["good"] is not None for r in rows], bool)
-    y = np.array([r["good"] for r in rows if r["good"] is not None], np.int64)
+    known = known.select(draw.alias("draw"), (F.col("quality") > 0).cast("int").alias("good")).orderBy("draw").limit(MOST_LABELLED)
+    # Rows without an id differ by their texts.
+    place = F.when(F.col(id_col).isNull(), F.xxhash64("text")).otherwise(draw)
+    inputs = docs.select(place.alias("draw"), *_inputs(docs, id_col))
+    features = persisted(inputs.mapInArrow(_featured, "draw long, features binary"), "quality_features", shuffle=False)
+
+    sample = features.join(F.broadcast(known), "draw").orderBy("draw", "features").limit(2 * MOST_LABELLED).collect()
+    y = np.array([r["good"] for r in sample], np.int64)
     if len(set(y.tolist())) < 2:
         return None
-    split = lambda x: (x[:, :TEXT].astype(float), x[:, TEXT:].astype(float))
-    return co_train(split(features[labelled]), y, split(features[~labelled]))
+    state, prior = begin(_unpacked([bytes(r["features"]) for r in sample]), y), prior_of(y)
+    labelled = labels.where(F.col(id_col).isNotNull()).select(draw.alias("draw")).distinct()
+    pool = persisted(features.join(labelled, "draw", "left_anti"), "quality_pool", shuffle=False)
+    # As many of each kind as the labelled documents have, the surest first.
+    quota = {True: max(1, int(TAUGHT / (1 + np.exp(-prior)))), False: max(1, int(TAUGHT / (1 + np.exp(prior))))}
+    best = Window.partitionBy("view", "good").orderBy(F.col("odds").desc(), "draw", "features")
+    taken: frozenset[int] = frozenset()
+    for _ in range(ROUNDS):
+        models = state.models
+        found = pool.mapInArrow(lambda b, m=models, t=taken: _surest(b, m, t, quota), "view int, good boolean, odds double, draw long, features binary")
+        # One row a document: which of equal copies teaches makes no difference.
+        once = found.groupBy("view", "good", "draw").agg(F.max("odds").alias("odds"), F.min("features").alias("features"))
+        lessons = once.withColumn("rank", F.row_number().over(best)).where(F.when(F.col("good"), quota[True]).otherwise(quota[False]) >= F.col("rank")).orderBy("view", "good", "rank").collect()
+        if not lessons:
+            break
+        for view in (0, 1):
+            own = [r for r in lessons if r["view"] == view]
+            if own:
+                x = _unpacked([bytes(r["features"]) for r in own])[1 - view]
+                state.taught(1 - view, x, np.array([float(r["good"]) for r in own]))
+        taken |= {r["draw"] for r in lessons}
+        state = state.trained()
+    return state.models, prior
 
 
 def score(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...], id_col: str = "doc_id", min_good: float = MIN_GOOD) -> DataFrame:
@@ -193,5 +245,8 @@ def score(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...], id_col: str
     models, prior = learned
     types = {f.name: f.dataType.simpleString() for f in docs.schema}
     shape = ", ".join([*(f"`own_{c}` {types[c]}" for c in keep), "p_text double", "p_meta double", "p_good double"])
-    rows = docs.select(*(F.col(c).alias(f"own_{c}") for c in keep), *_inputs(docs, id_col)).mapInArrow(lambda b: _scored(b, models, prior), shape)
+    # A text that is kept goes to the workers once.
+    carried = "text" in keep and types["text"] == "string"
+    column, inputs = ("own_text", _inputs(docs, id_col)[1:]) if carried else ("text", _inputs(docs, id_col))
+    rows = docs.select(*(F.col(c).alias(f"own_{c}") for c in keep), *inputs).mapInArrow(lambda b: _scored(b, models, prior, column), shape)
     return rows.select(*(F.col(f"own_{c}").alias(c) for c in keep), "p_text", "p_meta", "p_good", (F.col("p_good") >= min_good).alias("kept"))
