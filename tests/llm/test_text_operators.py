@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 
@@ -47,6 +48,21 @@ def test_words_and_their_hashes():
     assert len(set(by_hash.values())) == len(by_hash)
 
 
+def test_ids_of_odd_texts():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, rng = Tokenizer.from_file(path), random.Random(1)
+    signs = "aAbZz019.,-'<|>sé日½_$ \n\t "
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(3000)]
+    texts += ["<|endoftext|>x1<|startoftext|>", "a<|endoftext|>1", "it's 'some I'LL 'RE9 O'1", "", "<|startoftext|", "|>"]
+    ids, sizes, _ = token_files.token_ids(pa.array(texts), path, end_id=2)
+    ends = np.cumsum(sizes)
+    for text, n, end in zip(texts, sizes, ends, strict=True):
+        assert ids[end - n : end - 1].tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert token_files.encodes_by_pieces(path) and not token_files.encodes_by_pieces(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def thue_morse(n):
     """Two words that polynomial hashes modulo a power of two can't tell apart."""
     one = "".join("ab"[bin(i).count("1") % 2] for i in range(n))

@@ -6,6 +6,7 @@ ASCII belongs to words. All functions work on UTF-8 bytes; a null text has no wo
 
 from __future__ import annotations
 
+import os
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -26,6 +27,12 @@ WHITE = b" \t\n\v\f\r"
 _P = 0x9E3779B97F4A7C15 | 1
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Kinds of bytes: letters, digits, other ASCII, and those that bind a word together, as in contractions and special tokens.
+_LETTER, _DIGIT, _OTHER, _STICKY = 1, 2, 3, 4
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[65:91] = _KIND[97:123] = _LETTER
+_KIND[48:58] = _DIGIT
+_KIND[128:] = _KIND[39] = _KIND[124] = _STICKY
 
 
 class Spelled(NamedTuple):
@@ -76,8 +83,11 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return bytes_[at[0] : at[-1]], at - at[0]
 
 
-def spell(texts: pa.Array, lower: bool = False, breaks: bytes = WHITE) -> Spelled:
-    """Words of each text; breaks are the bytes between words. Equal words, byte for byte, have equal codes."""
+def spell(texts: pa.Array, lower: bool = False, breaks: bytes = WHITE, refine: Callable | None = None) -> Spelled:
+    """Words of each text; breaks are the bytes between words. Equal words, byte for byte, have equal codes.
+
+    ``refine`` may cut words further and respell them: of bytes, starts and ends it makes starts, ends and bytes.
+    """
     data, offsets = text_buffer(texts)
     white = np.zeros(256, bool)
     white[list(breaks)] = True
@@ -88,8 +98,11 @@ def spell(texts: pa.Array, lower: bool = False, breaks: bytes = WHITE) -> Spelle
     after = np.concatenate([solid[1:], [False]])
     after[offsets[1:][offsets[1:] > 0] - 1] = False
     starts, ends = np.flatnonzero(solid & ~before), np.flatnonzero(solid & ~after) + 1
+    spelled = _LOWER[data] if lower else data
+    if refine is not None:
+        starts, ends, spelled = refine(data, starts, ends)
     bounds = np.concatenate([[0], np.cumsum(ends - starts)])
-    letters = (_LOWER[data] if lower else data)[solid]
+    letters = spelled[solid]
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(letters)])
     coded = words.dictionary_encode()
     codes = coded.indices.to_numpy()
@@ -101,6 +114,23 @@ def spell(texts: pa.Array, lower: bool = False, breaks: bytes = WHITE) -> Spelle
     return Spelled(data, offsets, starts, ends, codes, distinct, np.searchsorted(starts, offsets))
 
 
+def ascii_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cuts ASCII words without apostrophe and vertical bar into lower-cased runs of letters, single digits and runs of other characters."""
+    kind = _KIND[data]
+    sticky = np.concatenate([[0], np.cumsum(kind == _STICKY)])
+    plain = sticky[ends] == sticky[starts]
+    steps = np.zeros(len(data) + 1, np.int8)
+    steps[starts[plain]] += 1
+    steps[ends[plain]] -= 1
+    inside = np.cumsum(steps[:-1], dtype=np.int8) > 0
+    cut = ((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)) & inside[1:] & inside[:-1]
+    opens, closes = np.zeros(len(data), bool), np.zeros(len(data), bool)
+    opens[starts], closes[ends - 1] = True, True
+    opens[1:] |= cut
+    closes[:-1] |= cut
+    return np.flatnonzero(opens), np.flatnonzero(closes) + 1, np.where(inside, _LOWER[data], data)
+
+
 def words_of(texts: pa.Array, lower: bool = False, breaks: bytes = WHITE) -> Words:
     found = spell(texts, lower, breaks)
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found.distinct), np.uint64, len(found.distinct))
@@ -161,6 +191,7 @@ def worker_state(owner: str) -> dict:
 
     A worker holds the state of one owner: when another one asks, the tables of the last are let go.
     """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; a library's threads would only contend for it
     held = sys.modules.setdefault("_tillstar_worker", types.ModuleType("_tillstar_worker")).__dict__
     if held.get("owner") != owner:
         held.update(owner=owner, state={})

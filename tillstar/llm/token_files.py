@@ -18,7 +18,7 @@ first, equal ids by the hash of their text; every row is kept. Extra columns are
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +27,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tillstar.llm.textops import WordTable, ranges, slices, words_of, worker_state
+from tillstar.llm.textops import WordTable, ascii_pieces, ranges, slices, spell, worker_state
 from tillstar.sources.workspace import write_once
 
 MAGIC = b"TSB1"
 #: Set bits between two kept positions.
 SAMPLE = 64
 #: Text of one block; a longer text makes a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 4 << 20
+#: Words that the library encodes in one call.
+CALL = 1024
 
 
 def elias_fano(values: np.ndarray, universe: int) -> bytes:
@@ -108,18 +110,29 @@ class Block:
         return self.tokens[self.ends.select(i - 1) if i else 0 : self.ends.select(i)]
 
 
-def _encoder(path: str) -> tuple[WordTable, int]:
-    """Token ids of distinct words, and bytes per id. A word's ids don't depend on its neighbours; see encodes_by_words."""
+def _encoder(path: str) -> tuple[WordTable, int, Callable | None]:
+    """Token ids of distinct words, bytes per id, and how words are cut further. A word's ids don't depend on its neighbours; see encodes_by_words."""
     held = worker_state("token_files")
     if path not in held:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
 
-        def encode(words: list[bytes]) -> list[list[int]]:
-            return [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-
-        held[path] = WordTable(encode), 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
+        plain = (t for t in tokenizer.get_added_tokens_decoder().values() if t.special and not (t.lstrip or t.rstrip or t.normalized or t.single_word))
+        mark = next(plain, None)
+
+        def encode(words: list[bytes]) -> list[list[int]] | tuple[np.ndarray, np.ndarray]:
+            # Words in a row with a special token between them, which the library cuts at first: a call for many words.
+            parts = [words[a : a + CALL] for a in range(0, len(words), CALL)] if mark else []
+            rows = [mark.content.encode().join(part) for part in parts]
+            if not rows or any(row.count(mark.content.encode()) >= len(part) for row, part in zip(rows, parts, strict=True)):
+                return [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+            found = [np.array(e.ids, np.int64) for e in tokenizer.encode_batch_fast([row.decode() for row in rows], add_special_tokens=False)]
+            cuts = [np.flatnonzero(ids == tokenizer.token_to_id(mark.content)) for ids in found]
+            sizes = [np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1 for ids, cut in zip(found, cuts, strict=True)]
+            return np.concatenate(sizes), np.concatenate([np.delete(ids, cut) for ids, cut in zip(found, cuts, strict=True)])
+
+        held[path] = WordTable(encode), 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4, ascii_pieces if encodes_by_pieces(path) else None
     return held[path]
 
 
@@ -132,10 +145,26 @@ def encodes_by_words(path: str) -> bool:
     return all(tokenizer.encode(f"{a}it's{b}x,2{c}", add_special_tokens=False).ids == one + two for a, b, c in (("", " ", ""), (" ", "\n\n", "\t"), ("\r", " \t ", " ")))
 
 
+def encodes_by_pieces(path: str) -> bool:
+    """True if the tokenizer also lowers case and encodes runs of ASCII letters, single digits and runs of signs by themselves."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+
+    def ids(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    signs = [chr(c) for c in range(0x21, 0x7F) if c not in (0x27, 0x7C) and not chr(c).isalnum()]
+    probes = [p for s in signs for p in (["ab", s, "cd"], [s, "1", s, "x"], ["x", "1", "2", s])]
+    probes += [["Ab", "1", "2", "cd", "..-", "3", "X"], signs[:1], ["".join(signs), "q", "0"]]
+    bound = all("|" in t.content for t in tokenizer.get_added_tokens_decoder().values())
+    return bound and all(ids("".join(p)) == [i for piece in p for i in ids(piece.lower())] for p in probes)
+
+
 def token_ids(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray, int]:
     """Ids of all texts in a row, each with the end id, their numbers, and bytes per id."""
-    table, width = _encoder(path)
-    words = words_of(texts)
+    table, width, refine = _encoder(path)
+    words = spell(texts, refine=refine)
     rows = table.rows(words)
     sizes = table.sizes[rows]
     before = np.concatenate([[0], np.cumsum(sizes)])[words.first]
