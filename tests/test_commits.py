@@ -96,7 +96,7 @@ class TestCommits:
 
     def test_leftovers_of_a_killed_writer_go_and_running_writers_stay(self, spark, table):
         table.write(spark.range(2))
-        dead, running = f"{table.root}/data/part=00000002-dead", f"{table.root}/data/part=00000003-running"
+        dead, running = f"{table.root}/data/_part=00000002-dead", f"{table.root}/data/_part=00000003-running"
         for path in (dead, running):
             spark.range(4).write.parquet(path)
         assert table.collect() == [] and ids(table.read()) == [0, 1]

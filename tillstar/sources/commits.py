@@ -2,7 +2,7 @@
 
 ::
 
-    root/data/part=00000007-<id>/[year=2024/month=3/]*.parquet    written once, never changed
+    root/data/_part=00000007-<id>/[year=2024/month=3/]*.parquet    written once, never changed
     root/log/00000007.json                                       which folders are the table, from commit 7 on
 
 A commit lists every folder of the table, so it can take some over from the one before and add or leave out others. Its file
@@ -94,7 +94,7 @@ class CommittedTable:
         """SQL that reads the newest commit whenever it runs: folders are listed anew, and the log's own list prunes them."""
         commit = commit or self.latest()
         typed = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in commit.schema)
-        levels = [f"'part=', part", *(f"'/{c}=', coalesce(CAST(`{c}` AS STRING), '{NULL_FOLDER}')" for c in commit.layout)]
+        levels = [f"'_part=', _part", *(f"'/{c}=', coalesce(CAST(`{c}` AS STRING), '{NULL_FOLDER}')" for c in commit.layout)]
         newest = f"SELECT max_by(folders, number) FROM json.`{self.root}/log`"
         return f"SELECT {typed} FROM parquet.`{self.root}/data` WHERE array_contains(({newest}), concat({', '.join(levels)}))"
 
@@ -122,7 +122,7 @@ class CommittedTable:
         """
         base = base or self.latest()
         number = base.number + 1 if base else 1
-        part = f"part={number:08d}-{uuid.uuid4().hex}"
+        part = f"_part={number:08d}-{uuid.uuid4().hex}"
         location = f"{self.root}/data/{part}"
         schema = StructType([f for f in rows.schema if f.name not in hidden])
         try:
@@ -207,7 +207,7 @@ class CommittedTable:
             return [x for name in inner for x in leftovers(f"{folder}/{name}", level + 1)]
 
         for name, _ in self._children(f"{self.root}/data"):
-            if name.startswith("part=") and int(name[5:13]) <= found[-1]:
+            if name.startswith("_part=") and int(name[6:14]) <= found[-1]:
                 gone += leftovers(name, 0)
         for path in gone:
             self._delete(path)
