@@ -333,3 +333,19 @@ def similar_documents(
     linked = rows.join(merged, ["n", "s1", "s2"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return linked.select(F.col("id").alias(id_col), *(["row"] if keyed else []), F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def one_per_group(docs: DataFrame, columns: tuple[str, ...], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The given columns of one document per component, that with the smallest id; of rows that repeat id and text, one.
+
+    Rows without id are linked with nothing and stay, repeats aside. Of repeated rows the least of the other columns stays.
+    """
+    row = F.xxhash64(text_col)
+    groups = similar_documents(docs, id_col, text_col, keyed=True)
+    gone = groups.where(F.col(id_col) != F.col("component_id")).select(id_col, "row").distinct()
+    left = docs.withColumn("row", row).join(gone, [id_col, "row"], "left_anti")
+    many = docs.groupBy(id_col, row.alias("row")).count().where("count > 1").select(F.col(id_col).alias("many_id"), F.col("row").alias("many_row"))
+    same = F.col(id_col).eqNullSafe(F.col("many_id")) & (F.col("row") == F.col("many_row"))
+    others = [c for c in columns if c not in (id_col, text_col)]
+    repeated = left.join(many, same, "left_semi").groupBy(id_col, text_col).agg(F.min(F.struct(*others)).alias("rest"))
+    return left.join(many, same, "left_anti").select(*columns).unionByName(repeated.select(id_col, text_col, "rest.*"))
