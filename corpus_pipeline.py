@@ -2,13 +2,16 @@
 
 Each stage takes (spark, docs, sf_dir) and returns the documents it keeps, the last one the rows of the token
 files. The result of a stage is written as Parquet and read again as the input of the next.
+
+Every stage takes null ids, texts, languages and sources, empty and very long texts, repeated rows and ids, empty tables and
+further columns, which it drops. A null text counts as empty; it is judged by its own columns, resembles no other document,
+holds no benchmark item, takes no words of the mix and so isn't in the token files.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tillstar.llm import decontamination, mixing, ngram_join, quality_classifier, token_files
 from tillstar.sources.workspace import persisted
@@ -23,15 +26,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the document with the smallest id; of rows that repeat id and text, one."""
-    row = F.xxhash64("text")
-    groups = ngram_join.similar_documents(docs, keyed=True)
-    gone = groups.where("doc_id <> component_id").select("doc_id", "row").distinct()
-    left = docs.withColumn("row", row).join(gone, ["doc_id", "row"], "left_anti")
-    many = docs.groupBy("doc_id", row.alias("row")).count().where("count > 1").select(F.col("doc_id").alias("many_id"), F.col("row").alias("many_row"))
-    same = F.col("doc_id").eqNullSafe(F.col("many_id")) & (F.col("row") == F.col("many_row"))
-    repeated = left.join(many, same, "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct("lang", "source", "n_chars")).alias("rest"))
-    return left.join(many, same, "left_anti").select(*COLUMNS).unionByName(repeated.select("doc_id", "text", "rest.*"))
+    """Of each group of near copies, the document with the smallest id; of rows that repeat id and text, one. Texts without words stay."""
+    return ngram_join.one_per_group(docs, COLUMNS)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
