@@ -6,6 +6,8 @@ ASCII belongs to words. All functions work on UTF-8 bytes; a null text has no wo
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import sys
 import types
@@ -195,9 +197,20 @@ def worker_state(owner: str) -> dict:
     held = sys.modules.setdefault("_tillstar_worker", types.ModuleType("_tillstar_worker")).__dict__
     if held.get("owner") != owner:
         held.update(owner=owner, state={})
+        give_back()
     return held["state"]
 
 
+def give_back() -> None:
+    """Return memory that allocators keep after an earlier stage of a reused worker."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the C library of Linux: what is kept is used again
+        pass
+
+
 class WordTable:
     """What a function gives for each distinct word, kept while words repeat.
 
