@@ -72,10 +72,11 @@ def components(rows):
     return {i: (len(sets[i]), root(i)) for i in ids}
 
 
-@pytest.mark.parametrize(("frequent", "few"), [(64, 8), (2, 8), (2, 0)])
-def test_near_copies(docs, rows, monkeypatch, frequent, few):
+@pytest.mark.parametrize(("frequent", "pivots", "sketch"), [(64, 8, 4), (2, 8, 4), (2, 2, 0)])
+def test_near_copies(docs, rows, monkeypatch, frequent, pivots, sketch):
     monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
-    monkeypatch.setattr(ngram_join, "FEW", few)
+    monkeypatch.setattr(ngram_join, "PIVOTS", pivots)
+    monkeypatch.setattr(ngram_join, "SKETCH", sketch)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_documents(docs).collect()}
     assert got == components(rows)
 

@@ -10,9 +10,12 @@ overlap that any partner demands, and its k smallest common ones within ``k - 1`
 3. Classes left are ordered by shingle frequency. Rare shingles of the prefix are index keys by themselves.
    Where the prefix reaches frequent shingles it is extended, frequent shingles are dealt into fewer groups than
    common ones are certain, and pairs of shingles within a group are the keys.
-4. Each key's classes are verified against one of them, links are contracted to components, and only
-   classes of one key in different components are verified against each other. Repeated with other
-   partners while many such pairs are left; then all of them are verified.
+4. Groups of copies are contracted first: every class is verified against one class for each of its least shingles, that
+   with the fewest shingles of its own. What links is one component from then on.
+5. A key is open while its classes lie in several components. Keys leave a batch of classes once per component, and only
+   classes of components with an open key are looked at again. Each turn verifies classes of open keys against the
+   next pivots of the key, PIVOTS times as many as before, and contracts the links. It ends when no key is open or all its
+   classes have been pivots, so no pair of different components that meets at a key is left out.
 
 Shingles are 64-bit hashes. Overlaps are counted on whole sets, so no pair is accepted by estimate.
 
@@ -37,10 +40,10 @@ from tillstar.sources.workspace import persisted
 GROUP_TOKENS = 1_500_000
 #: A shingle in more classes than this is frequent.
 FREQUENT = 64
-#: Entries of pairs in different components, per entry of the index, up to which all are verified at once.
-FEW = 16
-#: Rounds with single partners, at most.
-MOST_TURNS = 2
+#: Least shingles by which a class looks for the group of copies that it belongs to.
+SKETCH = 4
+#: Pivots of a key in the first turn, and by how much their number grows with each turn.
+PIVOTS = 8
 
 _TOKEN = np.uint64((1 << 40) - 1)
 _MANY = np.uint64(0)  # stands for "several classes of this slice"
@@ -107,11 +110,8 @@ def _filter_tokens(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int
             tokens, classes = tokens[opens], np.where(runs > 1, _MANY, s1[own[of[opens]]])
             group = (tokens % np.uint64(groups)).astype(np.int64)
             by_group = np.argsort(group, kind="stable")
-            ends = np.searchsorted(group[by_group], np.arange(groups + 1))
-            for g in range(groups):
-                take = by_group[ends[g] : ends[g + 1]]
-                if len(take):
-                    rows.append((g, _pack_tokens(tokens[take], classes[take])))
+            present, begins = np.unique(group[by_group], return_index=True)
+            rows += [(int(g), _pack_tokens(tokens[take], classes[take])) for g, take in zip(present, np.split(by_group, begins[1:]), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["bin", "packed"])
 
 
@@ -219,33 +219,68 @@ def index_keys(n: int, frequency: np.ndarray, shingles: np.ndarray, num: int, de
     return np.concatenate(keys), np.concatenate(caps), np.concatenate(before), np.concatenate(upper)
 
 
-def _index(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+def _common_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each set, the shingles that others have as well and in how many sets each is."""
+    lists = batch.column("common")
+    first, flat = lists.offsets.to_numpy(), lists.values
+    shingles, frequency = flat.field("shingle").to_numpy().view(np.uint64), flat.field("df").to_numpy()
+    for i in range(len(lists)):
+        yield shingles[first[i] : first[i + 1]], frequency[first[i] : first[i + 1]]
+
+
+def _index(batch: pa.RecordBatch, num: int, den: int) -> tuple[np.ndarray, ...]:
+    """Keys of the sets of a batch: the row of its set, and what index_keys says of each."""
     none = np.zeros(0, np.uint64)
+    found = [index_keys(1, none, none, num, den)]
+    for n, (s, f) in zip(batch.column("n").to_pylist(), _common_of(batch), strict=True):
+        order = np.lexsort((s, f))
+        found.append(index_keys(n, f[order], s[order], num, den))
+    of = np.repeat(np.arange(len(batch)), [len(x[0]) for x in found[1:]])
+    return of, *(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The least of each set's common shingles, and how many shingles it has alone."""
     for batch in batches:
-        lists = batch.column("common")
-        first = lists.offsets.to_numpy()
-        flat = lists.values
-        shingles, frequency = flat.field("shingle").to_numpy().view(np.uint64), flat.field("df").to_numpy()
         sizes = batch.column("n").to_numpy()
-        found = [index_keys(1, none, none, num, den)]
-        for i, n in enumerate(sizes):
-            s, f = shingles[first[i] : first[i + 1]], frequency[first[i] : first[i + 1]]
-            order = np.lexsort((s, f))
-            found.append(index_keys(int(n), f[order], s[order], num, den))
-        counts = [len(x[0]) for x in found[1:]]
-        keys, caps, befores, upper = (np.concatenate(x) for x in zip(*found, strict=True))
+        least = [np.sort(mix(s))[:SKETCH] for s, _ in _common_of(batch)]
+        counts = [len(x) for x in least]
+        alone = sizes - np.diff(batch.column("common").offsets.to_numpy())
+        keys = np.concatenate([np.zeros(0, np.uint64), *least])
         yield pa.RecordBatch.from_arrays(
-            [keys.view(np.int64), np.repeat(batch.column("rep").to_numpy(), counts), np.repeat(sizes, counts).astype(np.int32), caps.astype(np.int32), befores.view(np.int64), pa.array(upper)],
-            ["key", "rep", "n", "cap", "before", "upper"],
+            [keys.view(np.int64), np.repeat(batch.column("rep").to_numpy(), counts), np.repeat(sizes, counts), np.repeat(alone, counts).astype(np.int64)],
+            ["key", "rep", "n", "alone"],
+        )
+
+
+def _key_labels(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Keys of each component in a batch, with the number of its sets that have them."""
+    for batch in batches:
+        of, keys, *_ = _index(batch, num, den)
+        labels = batch.column("label").to_numpy()[of]
+        order = np.lexsort((keys, labels))
+        keys, labels = keys[order], labels[order]
+        opens = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (labels[1:] != labels[:-1])])[: len(keys)])
+        counts = np.diff(np.concatenate([opens, [len(keys)]]))
+        yield pa.RecordBatch.from_arrays([keys[opens].view(np.int64), labels[opens], counts.astype(np.int64)], ["key", "label", "m"])
+
+
+def _entries(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        of, keys, caps, befores, upper = _index(batch, num, den)
+        reps, sizes, labels = (batch.column(c).to_numpy()[of] for c in ("rep", "n", "label"))
+        yield pa.RecordBatch.from_arrays(
+            [keys.view(np.int64), reps, sizes.astype(np.int32), labels, caps.astype(np.int32), befores.view(np.int64), pa.array(upper)],
+            ["key", "rep", "n", "label", "cap", "before", "upper"],
         )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Of pairs (a, b) of classes, those that link."""
+    """Of pairs (a, b) of classes, those that link; further columns of pairs stay."""
     left = sets.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
-    return pairs.join(right, "b").join(left, "a").where(den * common >= num * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
+    return pairs.join(right, "b").join(left, "a").where(den * common >= num * (F.col("n_a") + F.col("n_b") - common)).select(*pairs.columns)
 
 
 def _possible(num: int, den: int) -> F.Column:
@@ -254,6 +289,68 @@ def _possible(num: int, den: int) -> F.Column:
     return (num + den) * F.least("cap_a", "cap_b") >= num * together
 
 
+def _near_pairs(common: DataFrame, num: int, den: int) -> DataFrame:
+    """Each class with the one, of all that share a least shingle with it, that has the fewest shingles alone."""
+    sketch = persisted(common.mapInArrow(_sketches, "key long, rep long, n long, alone long"), "sketches", shuffle=False)
+    partner = sketch.groupBy("key").agg(F.min(F.struct("alone", F.xxhash64("rep").alias("h"), "rep", "n")).alias("p"))
+    partner = partner.select("key", F.col("p.rep").alias("other"), F.col("p.n").alias("n_other"))
+    fits = den * F.least("n", "n_other") >= num * F.greatest("n", "n_other")
+    met = sketch.join(partner, "key").where((F.col("rep") != F.col("other")) & fits)
+    return met.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+
+
+def _pivot_pairs(members: DataFrame, turn: int, num: int, den: int) -> DataFrame:
+    """Pairs of a pivot of this turn and a class after it, in different components, that meet at their first common key.
+
+    A class's place u among those of a key is the same at all keys; about PIVOTS ** turn classes of a key come before
+    the limit of a turn.
+    """
+    columns = ("rep", "n", "cap", "before", "upper", "label", "u")
+    place, limit = F.col("u") * F.col("m"), float(PIVOTS**turn)
+    pivots = members.where(place < limit) if turn == 1 else members.where((place < limit) & (place >= limit / PIVOTS))
+    a = pivots.select("key", *(F.col(c).alias(f"{c}_a") for c in columns))
+    b = members.select("key", *(F.col(c).alias(f"{c}_b") for c in columns))
+    first = ((F.col("before_a") != F.col("before_b")) | (F.col("before_a") == 0)) & ~(F.col("upper_a") & F.col("upper_b"))
+    after = F.struct("u_a", "rep_a") < F.struct("u_b", "rep_b")
+    met = a.join(b, (a["key"] == b["key"]) & (F.col("label_a") != F.col("label_b")) & after & _possible(num, den) & first)
+    of_a = F.col("rep_a") < F.col("rep_b")
+    label_a, label_b = (F.when(of_a, F.col(x)).otherwise(F.col(y)) for x, y in (("label_a", "label_b"), ("label_b", "label_a")))
+    return met.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"), label_a.alias("label_a"), label_b.alias("label_b")).distinct()
+
+
+def _relabelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows with label replaced by the component that links between labels make."""
+    labels = component_labels(links, "label_a", "label_b")
+    return rows.join(labels, F.col("label") == F.col("node"), "left").withColumn("label", F.coalesce("component", "label")).select(*rows.columns)
+
+
+def _components(common: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(rep, label): the component of each class of common, named by the least rep of it."""
+    tested = persisted(_near_pairs(common, num, den), "near_pairs", shuffle=False)
+    near = persisted(_verified(tested, sets, num, den).select(F.col("a").alias("label_a"), F.col("b").alias("label_b")), "near_links", shuffle=False)
+    names = persisted(_relabelled(common.select("rep", F.col("rep").alias("label")), near), "class_labels", shuffle=False)
+    open_sets, turn = common, 0
+    while True:
+        turn += 1
+        labelled = persisted(open_sets.drop("label").join(names, "rep"), "labelled_sets", shuffle=False)
+        found = persisted(labelled.mapInArrow(lambda b: _key_labels(b, num, den), "key long, label long, m long"), "key_labels", shuffle=False)
+        tally = found.groupBy("key").agg(F.sum("m").alias("m"), F.min("label").alias("low"), F.max("label").alias("high"))
+        mixed = persisted(tally.where("low < high").select("key", "m"), "open_keys", shuffle=False)
+        most = mixed.agg(F.max("m")).first()[0]
+        if most is None or most <= PIVOTS ** (turn - 1) and turn > 1:
+            return names
+        touched = found.join(mixed, "key", "left_semi").select("label").distinct()
+        open_sets = labelled.join(touched, "label", "left_semi")
+        entries = open_sets.mapInArrow(lambda b: _entries(b, num, den), "key long, rep long, n int, label long, cap int, before long, upper boolean")
+        place = F.shiftrightunsigned(F.xxhash64("rep"), 11) / float(1 << 53)
+        members = persisted(entries.join(mixed, "key").withColumn("u", place), "open_members", shuffle=False)
+        pairs = _pivot_pairs(members, turn, num, den).join(tested, ["a", "b"], "left_anti")
+        pairs = persisted(pairs, "candidate_pairs", shuffle=False)
+        links = persisted(_verified(pairs, sets, num, den).select("label_a", "label_b").distinct(), "links", shuffle=False)
+        names = persisted(_relabelled(names, links), "class_labels", shuffle=False)
+        tested = tested.unionByName(pairs.select("a", "b"))
+
+
 def similar_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 75, den: int = 100, words: int = 5, keyed: bool = False
 ) -> DataFrame:
@@ -284,51 +381,10 @@ def similar_documents(
         .groupBy("rep", "n")
         .agg(F.collect_list(F.struct("shingle", "df")).alias("common"))
     )
-    index = persisted(common.mapInArrow(lambda b: _index(b, num, den), "key long, rep long, n int, cap int, before long, upper boolean"), "shingle_index", shuffle=False)
-
-    links, labels, tested, turn = None, None, None, 0
-    entries = index.count()
-    members = index.withColumn("label", F.col("rep"))
-    while True:
-        tally = members.groupBy("key", "label").count().groupBy("key").agg(F.count("*").alias("labels"), F.sum("count").alias("m"), F.sum(F.col("count") * F.col("count")).alias("q"))
-        mixed = persisted(tally.where("labels > 1"), "mixed_keys", shuffle=False)
-        open_pairs = mixed.agg(F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("q")) / 2), F.lit(0))).first()[0]
-        if not open_pairs:
-            break
-        # Keys whose sets are all in one component have nothing left to tell.
-        members = persisted(members.join(mixed.select("key"), "key", "left_semi"), "mixed_members", shuffle=False)
-        last = open_pairs <= FEW * entries or turn >= MOST_TURNS
-        columns = ("rep", "n", "cap", "before", "upper", "label")
-        b = members.select("key", *(F.col(c).alias(f"{c}_b") for c in columns))
-        if last:
-            a = members.select("key", *(F.col(c).alias(f"{c}_a") for c in columns))
-            first = ((F.col("before_a") != F.col("before_b")) | (F.col("before_a") == 0)) & ~(F.col("upper_a") & F.col("upper_b"))
-            met = a.join(b, (a["key"] == b["key"]) & (F.col("label_a") < F.col("label_b")) & _possible(num, den) & first)
-        else:
-            # At first one partner for all keys of a group; then another one for each key.
-            draw = F.xxhash64("rep") if not turn else F.xxhash64("rep", "key", F.lit(turn))
-            one = F.min(F.struct(draw.alias("h"), *columns))
-            a = members.groupBy("key").agg(one.alias("p")).select("key", *(F.col(f"p.{c}").alias(f"{c}_a") for c in columns))
-            met = a.join(b, (a["key"] == b["key"]) & (F.col("label_a") != F.col("label_b")) & _possible(num, den))
-        pairs = met.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = persisted(pairs, "candidate_pairs", shuffle=False)
-        fresh = persisted(_verified(pairs, sets, num, den), "links", shuffle=False)
-        links = fresh if links is None else links.unionByName(fresh)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = persisted(component_labels(links, "a", "b"), "components", shuffle=False)
-        turn += 1
-        if last:
-            break
-        members = members.drop("label").join(labels, F.col("rep") == F.col("node"), "left").withColumn("label", F.coalesce("component", "rep")).drop("node", "component")
-
-    component_id = F.col("least")
-    if labels is not None:
-        named = labels.join(kept.select("rep", "least"), F.col("node") == F.col("rep")).select("node", "component", "least")
-        smallest = named.groupBy("component").agg(F.min("least").alias("smallest"))
-        named = named.join(smallest, "component").select("node", "smallest")
-        classes, component_id = classes.join(named, F.col("rep") == F.col("node"), "left"), F.coalesce("smallest", "least")
+    names = _components(persisted(common, "common_shingles", shuffle=False), sets, num, den)
+    least_of = names.join(kept.select("rep", "least"), "rep").groupBy("label").agg(F.min("least").alias("smallest"))
+    named = names.join(least_of, "label").select(F.col("rep").alias("node"), "smallest")
+    classes, component_id = classes.join(named, F.col("rep") == F.col("node"), "left"), F.coalesce("smallest", "least")
     merged = classes.select("n", "s1", "s2", component_id.alias("component_id"))
     linked = rows.join(merged, ["n", "s1", "s2"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
