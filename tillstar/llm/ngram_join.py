@@ -277,7 +277,8 @@ def _entries(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Of pairs (a, b) of classes, those that link; further columns of pairs stay."""
-    left = sets.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("x"))
+    named = sets.join(pairs.select(F.col("a").alias("rep")).distinct(), "rep", "left_semi")
+    left = named.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     return pairs.join(right, "b").join(left, "a").where(den * common >= num * (F.col("n_a") + F.col("n_b") - common)).select(*pairs.columns)
@@ -290,12 +291,12 @@ def _possible(num: int, den: int) -> F.Column:
 
 
 def _near_pairs(common: DataFrame, num: int, den: int) -> DataFrame:
-    """Each class with the one, of all that share a least shingle with it, that has the fewest shingles alone."""
+    """Each class with one other, of those that share a least shingle with it the one that has the fewest shingles alone."""
     sketch = persisted(common.mapInArrow(_sketches, "key long, rep long, n long, alone long"), "sketches", shuffle=False)
     partner = sketch.groupBy("key").agg(F.min(F.struct("alone", F.xxhash64("rep").alias("h"), "rep", "n")).alias("p"))
-    partner = partner.select("key", F.col("p.rep").alias("other"), F.col("p.n").alias("n_other"))
-    fits = den * F.least("n", "n_other") >= num * F.greatest("n", "n_other")
-    met = sketch.join(partner, "key").where((F.col("rep") != F.col("other")) & fits)
+    fits = den * F.least("n", "p.n") >= num * F.greatest("n", "p.n")
+    met = sketch.join(partner, "key").where((F.col("rep") != F.col("p.rep")) & fits)
+    met = met.groupBy("rep").agg(F.min("p").alias("p")).select("rep", F.col("p.rep").alias("other"))
     return met.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
 
 
@@ -318,21 +319,20 @@ def _pivot_pairs(members: DataFrame, turn: int, num: int, den: int) -> DataFrame
     return met.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"), label_a.alias("label_a"), label_b.alias("label_b")).distinct()
 
 
-def _relabelled(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """Rows with label replaced by the component that links between labels make."""
-    labels = component_labels(links, "label_a", "label_b")
+def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows with label replaced by its component where labels, (node, component), names one."""
     return rows.join(labels, F.col("label") == F.col("node"), "left").withColumn("label", F.coalesce("component", "label")).select(*rows.columns)
 
 
 def _components(common: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """(rep, label): the component of each class of common, named by the least rep of it."""
     tested = persisted(_near_pairs(common, num, den), "near_pairs", shuffle=False)
-    near = persisted(_verified(tested, sets, num, den).select(F.col("a").alias("label_a"), F.col("b").alias("label_b")), "near_links", shuffle=False)
-    names = persisted(_relabelled(common.select("rep", F.col("rep").alias("label")), near), "class_labels", shuffle=False)
-    open_sets, turn = common, 0
+    near = persisted(_verified(tested, sets, num, den), "near_links", shuffle=False)
+    names = persisted(_relabelled(common.select("rep", F.col("rep").alias("label")), component_labels(near, "a", "b")), "class_labels", shuffle=False)
+    open_names, turn = names, 0
     while True:
         turn += 1
-        labelled = persisted(open_sets.drop("label").join(names, "rep"), "labelled_sets", shuffle=False)
+        labelled = common.join(open_names, "rep")
         found = persisted(labelled.mapInArrow(lambda b: _key_labels(b, num, den), "key long, label long, m long"), "key_labels", shuffle=False)
         tally = found.groupBy("key").agg(F.sum("m").alias("m"), F.min("label").alias("low"), F.max("label").alias("high"))
         mixed = persisted(tally.where("low < high").select("key", "m"), "open_keys", shuffle=False)
@@ -340,14 +340,15 @@ def _components(common: DataFrame, sets: DataFrame, num: int, den: int) -> DataF
         if most is None or most <= PIVOTS ** (turn - 1) and turn > 1:
             return names
         touched = found.join(mixed, "key", "left_semi").select("label").distinct()
-        open_sets = labelled.join(touched, "label", "left_semi")
-        entries = open_sets.mapInArrow(lambda b: _entries(b, num, den), "key long, rep long, n int, label long, cap int, before long, upper boolean")
+        open_names = persisted(open_names.join(touched, "label", "left_semi"), "open_labels", shuffle=False)
+        entries = common.join(open_names, "rep").mapInArrow(lambda b: _entries(b, num, den), "key long, rep long, n int, label long, cap int, before long, upper boolean")
         place = F.shiftrightunsigned(F.xxhash64("rep"), 11) / float(1 << 53)
         members = persisted(entries.join(mixed, "key").withColumn("u", place), "open_members", shuffle=False)
         pairs = _pivot_pairs(members, turn, num, den).join(tested, ["a", "b"], "left_anti")
         pairs = persisted(pairs, "candidate_pairs", shuffle=False)
         links = persisted(_verified(pairs, sets, num, den).select("label_a", "label_b").distinct(), "links", shuffle=False)
-        names = persisted(_relabelled(names, links), "class_labels", shuffle=False)
+        merged = component_labels(links, "label_a", "label_b")
+        names, open_names = (persisted(_relabelled(x, merged), "class_labels", shuffle=False) for x in (names, open_names))
         tested = tested.unionByName(pairs.select("a", "b"))
 
 
