@@ -228,6 +228,38 @@ def test_large_trees_match_from_both_ends(monkeypatch):
     assert {(0, 0), (1, 1), (7, 10)} <= set(pairs) and len(pairs) == 8
 
 
+def test_size_does_not_change_how_trees_match(monkeypatch):
+    """Unlike ends around many equal children, and random trees against the plain recursion."""
+    wide = lambda first, n, last: [[0, "body", "", 0], [1, first, "", 0], *([1, "p", str(i), 0] for i in range(n)), [1, last, "", 0]]
+    for n in (5, 700):
+        assert sorted(html_extract.match_trees(wide("nav", n, "div"), wide("ul", n, "ol"))) == [(0, 0), *((i, i) for i in range(2, n + 2))]
+
+    def most(a, b, i=0, j=0):
+        if a[i][1] != b[j][1]:
+            return 0
+        below_a, below_b = html_extract._children(a), html_extract._children(b)
+        best = {}
+        for p, x in enumerate(below_a[i], 1):
+            for q, y in enumerate(below_b[j], 1):
+                best[p, q] = max(best.get((p - 1, q), 0), best.get((p, q - 1), 0), best.get((p - 1, q - 1), 0) + most(a, b, x, y))
+        return 1 + max(best.values(), default=0)
+
+    def tree(seed):
+        draw = random.Random(seed)
+        nodes = [[0, "r", "", 0]]
+        for _ in range(draw.randint(0, 14)):
+            nodes.append([draw.randint(1, min(3, nodes[-1][0] + 1)), draw.choice("xy"), draw.choice("12"), 0])
+        return nodes
+
+    for rows in (1, 2, 400):
+        monkeypatch.setattr(html_extract, "MOST_NODES", rows)
+        for seed in range(150):
+            a, b = tree(seed), tree(seed + 1000)
+            pairs = sorted(html_extract.match_trees(a, b))
+            assert len(pairs) == most(a, b) and pairs == sorted(pairs, key=lambda p: p[1])
+            assert all(a[i][:2] == b[j][:2] for i, j in pairs) and len({j for _, j in pairs}) == len(pairs)
+
+
 def test_wrappers_choose_the_slots_of_pages_with_articles(spark):
     page = "<body><div class=a>Our shop</div><article><p>First {0}.</p></article><div class=b>Between {0}.</div><article><p>Second {0}, longer.</p></article><p>All rights reserved</p></body>"
     other = "<body><section><p>Only {0}.</p></section><p>Call us</p></body>"

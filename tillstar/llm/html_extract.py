@@ -19,9 +19,10 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +34,7 @@ from tillstar.sources.workspace import persisted
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.9, 3
 #: Share of a block's characters in links above which it is a menu.
 LINK_SHARE = 0.5
-#: Nodes of two trees whose product is within the square of this are aligned exactly; larger ones child by child from both ends.
-#: A node without a partner is a slot, so no bound drops text.
+#: Children whose rows of an alignment's table are held at once; others are made anew from every so many. It bounds memory and changes no result.
 MOST_NODES = 400
 #: Open elements above which a further one becomes a sibling of the last, as in browsers.
 MOST_OPEN = 512
@@ -237,77 +237,122 @@ def _children(nodes: list[list]) -> list[list[int]]:
     return below
 
 
-def _sizes(below: list[list[int]]) -> list[int]:
-    """Nodes of each node's subtree."""
-    sizes = [1] * len(below)
-    for i in range(len(below) - 1, -1, -1):
-        sizes[i] += sum(sizes[x] for x in below[i])
-    return sizes
+def _shapes(nodes: list[list], below: list[list[int]], numbers: dict[tuple, int]) -> list[int]:
+    """Number of each node's subtree by its keys; equal subtrees of all trees that share ``numbers`` have one number."""
+    shapes = [0] * len(nodes)
+    for i in range(len(nodes) - 1, -1, -1):
+        shapes[i] = numbers.setdefault((nodes[i][1], *(shapes[x] for x in below[i])), len(numbers))
+    return shapes
+
+
+def _ends(xs: Sequence, ys: Sequence, equal: Callable, head: int = 0, tail: int = 0) -> tuple[int, int]:
+    """How many pairs from the left and from the right are equal, beyond those already counted."""
+    most = min(len(xs), len(ys))
+    while head + tail < most and equal(xs[head], ys[head]):
+        head += 1
+    while head + tail < most and equal(xs[-1 - tail], ys[-1 - tail]):
+        tail += 1
+    return head, tail
+
+
+class _Alignment:
+    """Weights of the best order-keeping match of two lists of shapes, row by row; rows in between are made anew when they are needed."""
+
+    def __init__(self, xs: Sequence[int], ys: Sequence[int], weigh: Callable[[int, int], int]) -> None:
+        self.xs, self.weigh = xs, weigh
+        self.kinds, self.places = np.unique(np.asarray(ys, np.int64), return_inverse=True)
+        self.known: dict[int, np.ndarray] = {}
+        row, self.kept = np.zeros(len(ys) + 1, np.int32), []
+        for p in range(len(xs)):
+            if p % MOST_NODES == 0:
+                self.kept.append(row)
+            row = self._next(row, p)
+        self.total = int(row[-1])
+
+    def _next(self, over: np.ndarray, p: int) -> np.ndarray:
+        x = self.xs[p]
+        if x not in self.known:
+            self.known[x] = np.array([self.weigh(x, y) for y in self.kinds.tolist()], np.int32)
+        row = over.copy()
+        np.maximum(over[1:], over[:-1] + self.known[x][self.places], out=row[1:])
+        return np.maximum.accumulate(row, out=row)
+
+    def pairs(self) -> list[tuple[int, int]]:
+        found = []
+        p, q = len(self.xs), len(self.places)
+        while p and q:
+            first = (p - 1) // MOST_NODES * MOST_NODES
+            rows = [self.kept[first // MOST_NODES]]
+            for i in range(first, p):
+                rows.append(self._next(rows[-1], i))
+            while p > first and q:
+                here, over = rows[p - first], rows[p - first - 1]
+                if here[q] == over[q]:
+                    p -= 1
+                elif here[q] == here[q - 1]:
+                    q -= 1
+                else:
+                    p, q = p - 1, q - 1
+                    found.append((p, q))
+        return found
 
 
 def match_trees(a: list[list], b: list[list]) -> list[tuple[int, int]]:
-    """Pairs of nodes in an order-keeping match of two trees whose matched parents have matched keys: the largest one within MOST_NODES.
+    """Pairs of nodes in a largest order-keeping match of two trees whose matched parents have matched keys, for trees of any size.
 
-    Children of larger subtrees pair up from both ends, those of equal text first; what is left between them is
-    matched exactly if it is small enough, and stays without partners if not.
+    Children of equal shape at either end of their lists pair up, those of equal text first: a match without that pair is never larger,
+    as neither of the two can find a better partner. What is left between them is aligned by weight. Weights belong to pairs of shapes,
+    so a page that repeats its shapes needs few of them.
     """
+    if not a or not b or a[0][1] != b[0][1]:
+        return []
     below_a, below_b = _children(a), _children(b)
-    sizes_a, sizes_b = _sizes(below_a), _sizes(below_b)
-    held: dict[tuple[int, int], tuple[int, list]] = {}
-
-    def weigh(i: int, j: int) -> int:
-        if a[i][1] != b[j][1]:
+    numbers: dict[tuple, int] = {}
+    shapes_a, shapes_b = _shapes(a, below_a, numbers), _shapes(b, below_b, numbers)
+    # A shape's number is above those of its children, in either tree.
+    keys, inner = [x[0] for x in numbers], [x[1:] for x in numbers]
+    sizes: list[int] = []
+    for x in inner:
+        sizes.append(1 + sum(sizes[y] for y in x))
+    weights: dict[tuple[int, int], int] = {}
+
+    def weigh(s: int, t: int) -> int:
+        if keys[s] != keys[t]:
             return 0
-        if (i, j) not in held:
-            best = table(below_a[i], below_b[j])
-            held[i, j] = best[-1][-1] + 1, best
-        return held[i, j][0]
-
-    def table(xs: list[int], ys: list[int]) -> list[list[int]]:
-        best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-        for p, x in enumerate(xs):
-            row, over = best[p + 1], best[p]
-            for q, y in enumerate(ys):
-                row[q + 1] = max(over[q + 1], row[q], over[q] + weigh(x, y))
-        return best
-
-    pairs: list[tuple[int, int]] = []
-
-    def backwards(xs: list[int], ys: list[int], best: list[list[int]]) -> None:
-        p, q = len(xs), len(ys)
-        while p and q:
-            if best[p][q] == best[p - 1][q]:
-                p -= 1
-            elif best[p][q] == best[p][q - 1]:
-                q -= 1
-            else:
-                p, q = p - 1, q - 1
-                pair(xs[p], ys[q])
+        return sizes[s] if s == t else weights[s, t] if inner[s] and inner[t] else 1
 
-    def fits(n: int, m: int) -> bool:
-        return n * m <= MOST_NODES * MOST_NODES
+    def between(s: int, t: int) -> tuple[int, tuple[int, ...], tuple[int, ...]]:
+        """Nodes of the children that pair up at the ends, and the children in the middle."""
+        xs, ys = inner[s], inner[t]
+        head, tail = _ends(xs, ys, int.__eq__)
+        ends = sum(sizes[x] for x in xs[:head]) + sum(sizes[x] for x in xs[len(xs) - tail :])
+        return ends, xs[head : len(xs) - tail], ys[head : len(ys) - tail]
 
-    def pair(i: int, j: int) -> None:
+    # Pairs of shapes that can meet, without recursion as trees are deep; then their weights, from the smallest on.
+    waiting, wanted = [(shapes_a[0], shapes_b[0])], set()
+    while waiting:
+        s, t = waiting.pop()
+        if s != t and keys[s] == keys[t] and inner[s] and inner[t] and (s, t) not in wanted:
+            wanted.add((s, t))
+            _, xs, ys = between(s, t)
+            waiting.extend((x, y) for x in set(xs) for y in set(ys))
+    for s, t in sorted(wanted):
+        ends, xs, ys = between(s, t)
+        weights[s, t] = 1 + ends + (_Alignment(xs, ys, weigh).total if xs and ys else 0)
+
+    pairs, meeting = [], [(0, 0)]
+    while meeting:
+        i, j = meeting.pop()
         pairs.append((i, j))
         xs, ys = below_a[i], below_b[j]
-        if fits(sizes_a[i], sizes_b[j]):
-            weigh(i, j)
-            backwards(xs, ys, held[i, j][1])
-            return
-        head, tail_a, tail_b = 0, len(xs), len(ys)
-        for last in (2, 1):  # keys and texts equal, then keys only
-            while head < min(tail_a, tail_b) and a[xs[head]][1 : last + 1] == b[ys[head]][1 : last + 1]:
-                pair(xs[head], ys[head])
-                head += 1
-            while head < min(tail_a, tail_b) and a[xs[tail_a - 1]][1 : last + 1] == b[ys[tail_b - 1]][1 : last + 1]:
-                tail_a, tail_b = tail_a - 1, tail_b - 1
-                pair(xs[tail_a], ys[tail_b])
-        xs, ys = xs[head:tail_a], ys[head:tail_b]
-        if xs and ys and fits(sum(sizes_a[x] for x in xs), sum(sizes_b[y] for y in ys)):
-            backwards(xs, ys, table(xs, ys))
-
-    if a and b and a[0][1] == b[0][1]:
-        pair(0, 0)
+        alike = lambda x, y: shapes_a[x] == shapes_b[y]
+        head, tail = _ends(xs, ys, alike, *_ends(xs, ys, lambda x, y: alike(x, y) and a[x][2] == b[y][2]))
+        meeting.extend(zip(xs[:head], ys[:head], strict=True))
+        meeting.extend(zip(xs[len(xs) - tail :], ys[len(ys) - tail :], strict=True))
+        xs, ys = xs[head : len(xs) - tail], ys[head : len(ys) - tail]
+        if xs and ys:
+            aligned = _Alignment([shapes_a[x] for x in xs], [shapes_b[y] for y in ys], weigh)
+            meeting.extend((xs[p], ys[q]) for p, q in aligned.pairs())
     return pairs
 
 
