@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillstar.operators import dedup, integrity
-from tillstar.plans import customers, dashboard, products, sales
-from tillstar.sources import workspace
+from tillstar.plans import customers, dashboard, orders_etl, products, sales
+from tillstar.sources import orders_feed, workspace
 
 ROWS = 30_000
 TIGHT = {
@@ -142,3 +142,37 @@ def test_a_hot_month_is_written_by_several_tasks(spark, skewed, tight):
     assert back.count() == ROWS
     files = back.select("order_month", F.input_file_name().alias("file")).distinct().groupBy("order_month").count()
     assert {r.order_month: r["count"] for r in files.collect()}[6] > 1
+
+
+def below_the_rebalance(frame):
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan
+    return plan.split("RebalancePartitions", 1)[1]
+
+
+def test_derived_columns_of_staged_orders_do_not_move(spark, raw):
+    feed = raw({"order_id": "A"}, {"order_id": "A", "quantity": "3"}, {"order_id": "B", "order_date": "2023-12-31"}, {"order_id": None})
+    whole, moved = orders_etl.staged_orders(feed), orders_etl.staged_by_month(feed)
+    assert moved.columns == whole.columns
+    assert sorted(moved.drop("etl_loaded_at").collect()) == sorted(whole.drop("etl_loaded_at").collect())
+    assert not any(name in below_the_rebalance(moved) for name in ("net_amount", "gross_amount", "days_to_ship"))
+
+
+def test_a_packed_feed_reads_the_same(raw, spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(orders_feed, "ROWS_PER_PACKED_FILE", 2)
+    feed = raw(*[{"order_id": f"O{i}", "channel": " In-Store "} for i in range(5)]).coalesce(1)
+    orders_feed.write_feed(feed, str(tmp_path / "packed"), packed=True)
+    assert len(list((tmp_path / "packed").glob("*.csv.gz"))) == 3
+    assert sorted(orders_feed.read_feed(spark, str(tmp_path / "packed")).collect()) == sorted(feed.collect())
+
+
+def test_small_scans_end_with_the_write_and_yield_to_the_session(spark):
+    assert spark.conf.get(workspace.SCAN_BYTES) == workspace.USUAL_SCAN
+    with pytest.raises(ZeroDivisionError), workspace.small_scans(spark):
+        assert spark.conf.get(workspace.SCAN_BYTES) == workspace.SMALL_SCAN
+        1 / 0
+    assert spark.conf.get(workspace.SCAN_BYTES) == workspace.USUAL_SCAN
+    spark.conf.set(workspace.SCAN_BYTES, "1m")
+    with workspace.small_scans(spark):
+        assert spark.conf.get(workspace.SCAN_BYTES) == "1m"
+    spark.conf.unset(workspace.SCAN_BYTES)

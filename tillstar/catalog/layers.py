@@ -35,10 +35,10 @@ class Layers:
             _written[key] = location
         return _written[key]
 
-    def _table(self, layer: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()) -> DataFrame:
+    def _table(self, layer: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = (), shuffle: bool = True) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, layer)
         if key not in _written:
-            _written[key] = workspace.write_once(build(), layer, partition_by)
+            _written[key] = workspace.write_once(build(), layer, partition_by, shuffle)
         return self.spark.read.parquet(_written[key])
 
     def raw(self) -> DataFrame:
@@ -46,7 +46,7 @@ class Layers:
         return raw_orders(self.spark, self.sf_dir)
 
     def feed_location(self) -> str:
-        return self._location("raw_feed", lambda path: write_feed(self.raw(), path))
+        return self._location("raw_feed", lambda path: write_feed(self.raw(), path, packed=True))
 
     def feed(self) -> DataFrame:
         """The feed as CSV files, the form in which orders arrive and the ETL reads them.
@@ -57,7 +57,7 @@ class Layers:
         return read_feed(self.spark, self.feed_location())
 
     def staged_location(self) -> str:
-        return self._location("staged_orders", lambda path: write_staged(orders_etl.staged_orders(self.feed()), path))
+        return self._location("staged_orders", lambda path: write_staged(orders_etl.staged_by_month(self.feed()), path, arrange=False))
 
     def staged(self) -> DataFrame:
         return read_staged(self.spark, self.staged_location())

@@ -14,7 +14,8 @@ from tillstar.functions import calendar, casting, money, text
 from tillstar.operators.dedup import keep_best, total_preference
 from tillstar.operators.funnel import funnel
 from tillstar.sources.commits import CommittedTable
-from tillstar.sources.staging_area import write_staged
+from tillstar.sources.staging_area import LAYOUT, write_staged
+from tillstar.sources.workspace import by_partition
 
 MANDATORY = ["order_id", "customer_id", "product_id", "order_date", "unit_price"]
 
@@ -94,6 +95,13 @@ def staged_orders(raw: DataFrame) -> DataFrame:
     return raw.transform(clean_orders).transform(enriched_orders)
 
 
+def staged_by_month(raw: DataFrame) -> DataFrame:
+    """The same rows in order for the staged layout, brought together before the derived columns are there: those follow from the row and need not move."""
+    months = {c: derive("order_date") for c, derive in zip(LAYOUT, (F.year, F.month), strict=True)}
+    together = by_partition(clean_orders(raw).withColumns(months), LAYOUT)
+    return together.drop(*LAYOUT).transform(enriched_orders)
+
+
 def etl_funnel(raw: DataFrame) -> DataFrame:
     return funnel(typed_orders(raw), "order_id", is_valid_order())
 
@@ -120,5 +128,5 @@ def run_etl(raw: DataFrame, path: str, months: Collection[tuple[int, int]] | Non
     """
     landing = CommittedTable(raw.sparkSession, f"{path.rstrip('/')}/feed")
     landed = landing.write(raw, arrange=False, retained=1)
-    clean = write_staged(staged_orders(landing.read(landed)), path, months)
+    clean = write_staged(staged_by_month(landing.read(landed)), path, months, arrange=False)
     return EtlSummary(landed.rows, clean)

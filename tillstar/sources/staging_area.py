@@ -13,23 +13,26 @@ from pyspark.sql import functions as F
 
 from tillstar.schemas import STAGED_ORDERS
 from tillstar.sources.commits import CommittedTable
+from tillstar.sources.workspace import small_scans
 
 LAYOUT = ("year", "month")
 MAX_ROWS_PER_FILE = 5_000_000
 
 
-def write_staged(orders: DataFrame, path: str, months: Collection[tuple[int, int]] | None = None) -> int:
+def write_staged(orders: DataFrame, path: str, months: Collection[tuple[int, int]] | None = None, arrange: bool = True) -> int:
     """Replace the staged set, or only the given (year, month) pairs of it, and return the number of rows written.
 
     A given month without orders leaves the set; orders of other months are not written then.
+    ``arrange=False`` is for orders that the months have brought together already.
     """
     table = CommittedTable(orders.sparkSession, path)
     if months is None:
-        done = table.write(orders, LAYOUT, rows_per_file=MAX_ROWS_PER_FILE)
-        return done.rows
+        with small_scans(orders.sparkSession):
+            return table.write(orders, LAYOUT, rows_per_file=MAX_ROWS_PER_FILE, arrange=arrange).rows
     given = {f"year={year}/month={month}" for year, month in months}
     wanted = F.concat(F.lit("year="), "year", F.lit("/month="), "month").isin(*given) if given else F.lit(False)
-    done = table.write(orders.where(wanted), LAYOUT, keep=lambda f: f.partition("/")[2] not in given, rows_per_file=MAX_ROWS_PER_FILE)
+    with small_scans(orders.sparkSession):
+        done = table.write(orders.where(wanted), LAYOUT, keep=lambda f: f.partition("/")[2] not in given, rows_per_file=MAX_ROWS_PER_FILE, arrange=arrange)
     return sum(n for f, n in done.folders.items() if f.partition("/")[2] in given)
 
 

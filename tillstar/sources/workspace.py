@@ -7,9 +7,14 @@ any executor and cut the lineage of whatever reads them.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+SCAN_BYTES, USUAL_SCAN, SMALL_SCAN = "spark.sql.files.maxPartitionBytes", "134217728b", "16m"
+
+
 def shared_root(spark: SparkSession) -> str:
     """Scratch: the checkpoint folder, or else a corner of the warehouse, which executors share as well."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -35,6 +40,20 @@ def by_partition(rows: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
     return rows.hint("rebalance", *partition_by) if partition_by else rows
 
 
+@contextmanager
+def small_scans(spark: SparkSession) -> Iterator[None]:
+    """Let scan tasks that sort what they read, as the first half of a deduplication does, stay within memory. A session's own setting is left alone."""
+    before = spark.conf.get(SCAN_BYTES)
+    if before != USUAL_SCAN:
+        yield
+        return
+    spark.conf.set(SCAN_BYTES, SMALL_SCAN)
+    try:
+        yield
+    finally:
+        spark.conf.set(SCAN_BYTES, before)
+
+
 def write_once(rows: DataFrame, name: str, partition_by: tuple[str, ...] = (), shuffle: bool = True) -> str:
     """Write to a fresh location and return it. ``shuffle=False`` keeps a map-only job map-only."""
     location = new_location(rows.sparkSession, name)
