@@ -176,3 +176,19 @@ def test_small_scans_end_with_the_write_and_yield_to_the_session(spark):
     with workspace.small_scans(spark):
         assert spark.conf.get(workspace.SCAN_BYTES) == "1m"
     spark.conf.unset(workspace.SCAN_BYTES)
+
+
+def test_children_of_known_parents_do_not_move(spark):
+    """Neither the child nor the parent is small, the keys without a parent are."""
+    key = F.concat(F.lit("K"), F.col("id"))
+    child = spark.range(0, 20_000).select(key.alias("k"), F.col("id").alias("n")).unionByName(spark.range(1).select(F.lit(None).cast("string").alias("k"), F.lit(-1).alias("n")))
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    try:
+        for name in names:
+            spark.conf.set(name, "20KB")
+        lost = integrity.relationships(child, "k", spark.range(3, 20_000).select(key.alias("p")), "p")
+        assert sorted(r.n for r in lost.collect()) == [0, 1, 2]
+        assert "BroadcastHashJoin" in final_plan(lost) and "SortMergeJoin" not in final_plan(lost)
+    finally:
+        for name in names:
+            spark.conf.unset(name)

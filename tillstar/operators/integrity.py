@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions.calendar import wall_time
 from tillstar.operators.dedup import duplicate_keys
+from tillstar.sources.workspace import persisted
 
 
 def outside(column: Column, values: Sequence) -> Column:
@@ -53,9 +54,13 @@ def orphan_keys(child: DataFrame, column: str, parent: DataFrame, field: str) ->
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
-    """Child rows whose non-null key has no parent."""
-    known = parent.select(F.col(field).alias(column))
-    return child.where(F.col(column).isNotNull()).join(known, column, "left_anti")
+    """Child rows whose non-null key has no parent.
+
+    Keys are looked up first, each once, and those without a parent are written down: they are few where a relationship mostly
+    holds, so Spark sees a small table and the child's rows stay where they are.
+    """
+    lost = persisted(orphan_keys(child, column, parent, field).select(column), "orphan_keys", shuffle=False)
+    return child.join(lost, column, "left_semi")
 
 
 def freshness(
