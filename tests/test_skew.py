@@ -158,6 +158,14 @@ def test_derived_columns_of_staged_orders_do_not_move(spark, raw):
     assert not any(name in below_the_rebalance(moved) for name in ("net_amount", "gross_amount", "days_to_ship"))
 
 
+def test_derived_columns_of_the_fact_do_not_move(spark, skewed):
+    segments = spark.createDataFrame([("C0", "gold")], "customer_id string, customer_segment string")
+    fact, moved = sales.fct_sales(skewed, segments), sales.fct_sales(skewed, segments, together=True)
+    assert moved.columns == fact.columns
+    assert sorted(moved.drop("dbt_updated_at").collect(), key=str) == sorted(fact.drop("dbt_updated_at").collect(), key=str)
+    assert not any(name in below_the_rebalance(moved) for name in ("sale_key", "date_key"))
+
+
 def test_a_packed_feed_reads_the_same(raw, spark, tmp_path, monkeypatch):
     monkeypatch.setattr(orders_feed, "ROWS_PER_PACKED_FILE", 2)
     feed = raw(*[{"order_id": f"O{i}", "channel": " In-Store "} for i in range(5)]).coalesce(1)

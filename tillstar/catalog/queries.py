@@ -255,7 +255,7 @@ def dim_products(layers):
 
 @query
 def fct_sales(layers):
-    return sales.fct_sales(layers.stg(), layers.dim_customers())
+    return sales.fct_sales(layers.stg(), layers.customer_segments())
 
 
 @query

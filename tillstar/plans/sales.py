@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions import calendar, keys
 from tillstar.sources.clustering import clustered, curve
+from tillstar.sources.workspace import by_partition
 
 LAYOUT = ("order_year", "order_month")
 # Inside a month, by day and then near in customer and product.
@@ -19,12 +20,13 @@ def _flag(test: Column) -> Column:
     return F.coalesce(test, F.lit(False))
 
 
-def fct_sales(stg: DataFrame, customers: DataFrame) -> DataFrame:
+def fct_sales(stg: DataFrame, customers: DataFrame, together: bool = False) -> DataFrame:
     """Orders with their customer's segment.
 
     The product dimension contributes no column and is unique per product, so it is not joined. No
     join strategy is forced: Spark broadcasts the two-column customer side only while its size is
-    under the configured threshold, and past it splits a hot customer at run time (AQE skew join).
+    under the configured threshold, and past it splits a hot customer at run time (AQE skew join). ``together`` brings the
+    months together for a partitioned write, before the derived columns are there, which need not move.
     """
     segments = customers.select("customer_id", "customer_segment")
     day = F.col("order_date")
@@ -39,7 +41,8 @@ def fct_sales(stg: DataFrame, customers: DataFrame) -> DataFrame:
         "is_fast_shipped": _flag(F.col("days_to_ship") <= FAST_SHIPPING_DAYS),
         "dbt_updated_at": calendar.load_time(),
     }
-    return stg.join(segments, "customer_id", "left").withColumns(columns).select(*FACT_COLUMNS)
+    joined = stg.join(segments, "customer_id", "left")
+    return (by_partition(joined, LAYOUT) if together else joined).withColumns(columns).select(*FACT_COLUMNS)
 
 
 def arranged(fact: DataFrame, stg: DataFrame) -> DataFrame:
