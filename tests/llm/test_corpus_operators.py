@@ -88,6 +88,19 @@ def test_near_copies_of_odd_rows(spark, docs):
     assert got == sorted(map(str, [(None, 1, None), (3, 1, 3), (3, 1, 3), (2, 0, 2)]))
 
 
+def test_keys_close_when_all_their_classes_were_pivots(spark):
+    members = [(1, i, i) for i in range(3)] + [(2, i, i) for i in range(9)] + [(3, i, 7) for i in range(9)]
+    members = spark.createDataFrame(members, "key long, rep long, label long")
+    found = [{(r.key, r.m) for r in ngram_join._open_keys(members, turn).collect()} for turn in (1, 2, 3)]
+    assert found == [{(1, 3), (2, 9)}, {(2, 9)}, set()]
+
+
+def test_sets_without_possible_partners_leave(spark):
+    common = [(1, 4, [(1, 2), (2, 2), (3, 2)]), (2, 4, [(1, 2), (2, 2)]), (3, 5, [(1, 2), (2, 2), (3, 2)])]
+    common = spark.createDataFrame(common, "rep long, n long, common array<struct<shingle long, df long>>")
+    assert [r.rep for r in ngram_join._linkable(common, 75, 100).collect()] == [1]
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(100, 160)] + [(5, 7), (7, 5), (9, 9)], "a long, b long")
     got = {r.node: r.component for r in component_labels(links, "a", "b").collect()}

@@ -7,15 +7,15 @@ overlap that any partner demands, and its k smallest common ones within ``k - 1`
 1. Equal sets become one class, represented by the text of their smallest id.
 2. Shingles in the order of their hashes: a class stays when enough of its extended prefix also occurs in
    other classes' prefixes. Most documents have no near copy and leave here.
-3. Classes left are ordered by shingle frequency. Rare shingles of the prefix are index keys by themselves.
+3. Of the classes left, those stay whose shingles occur in others as often as a link demands. They are ordered by shingle frequency. Rare shingles of the prefix are index keys by themselves.
    Where the prefix reaches frequent shingles it is extended, frequent shingles are dealt into fewer groups than
    common ones are certain, and pairs of shingles within a group are the keys.
 4. Groups of copies are contracted first: every class is verified against one class for each of its least shingles, that
    with the fewest shingles of its own. What links is one component from then on.
-5. A key is open while its classes lie in several components. Keys leave a batch of classes once per component, and only
-   classes of components with an open key are looked at again. Each turn verifies classes of open keys against the
-   next pivots of the key, PIVOTS times as many as before, and contracts the links. It ends when no key is open or all its
-   classes have been pivots, so no pair of different components that meets at a key is left out.
+5. A key is open while its classes lie in several components and some of them have been no pivots. Keys are written once, and a
+   turn keeps those of open keys only. Each turn verifies classes of open keys against the next pivots of the key, PIVOTS times as
+   many as before, and contracts the links. It ends when no key is open, so no pair of different components that meets at a
+   key is left out.
 
 Shingles are 64-bit hashes. Overlaps are counted on whole sets, so no pair is accepted by estimate.
 
@@ -253,35 +253,32 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _key_labels(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Keys of each component in a batch, with the number of its sets that have them."""
-    for batch in batches:
-        of, keys, *_ = _index(batch, num, den)
-        labels = batch.column("label").to_numpy()[of]
-        order = np.lexsort((keys, labels))
-        keys, labels = keys[order], labels[order]
-        opens = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (labels[1:] != labels[:-1])])[: len(keys)])
-        counts = np.diff(np.concatenate([opens, [len(keys)]]))
-        yield pa.RecordBatch.from_arrays([keys[opens].view(np.int64), labels[opens], counts.astype(np.int64)], ["key", "label", "m"])
-
-
 def _entries(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         of, keys, caps, befores, upper = _index(batch, num, den)
-        reps, sizes, labels = (batch.column(c).to_numpy()[of] for c in ("rep", "n", "label"))
+        reps, sizes = (batch.column(c).to_numpy()[of] for c in ("rep", "n"))
         yield pa.RecordBatch.from_arrays(
-            [keys.view(np.int64), reps, sizes.astype(np.int32), labels, caps.astype(np.int32), befores.view(np.int64), pa.array(upper)],
-            ["key", "rep", "n", "label", "cap", "before", "upper"],
+            [keys.view(np.int64), reps, sizes.astype(np.int32), caps.astype(np.int32), befores.view(np.int64), pa.array(upper)],
+            ["key", "rep", "n", "cap", "before", "upper"],
         )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Of pairs (a, b) of classes, those that link; further columns of pairs stay."""
-    named = sets.join(pairs.select(F.col("a").alias("rep")).distinct(), "rep", "left_semi")
-    left = named.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    return pairs.join(right, "b").join(left, "a").where(den * common >= num * (F.col("n_a") + F.col("n_b") - common)).select(*pairs.columns)
+def _linkable(common: DataFrame, num: int, den: int) -> DataFrame:
+    """The sets of which others have so many shingles that a partner is possible."""
+    return common.where(den * F.size("common") >= num * F.col("n"))
+
+
+def _verified(pairs: DataFrame, common: DataFrame, num: int, den: int) -> DataFrame:
+    """Of pairs (a, b) of classes, those that link; further columns of pairs stay.
+
+    What two sets share is among the common shingles of both. The sets that pairs name move once for both sides.
+    """
+    reps = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    named = common.select("rep", "n", F.col("common.shingle").alias("shingles")).join(reps, "rep", "left_semi")
+    right = pairs.join(named, F.col("b") == F.col("rep")).select(*pairs.columns, F.col("n").alias("n_b"), F.col("shingles").alias("y"))
+    both = right.join(named, F.col("a") == F.col("rep"))
+    shared = F.size(F.array_intersect("shingles", "y"))
+    return both.where(den * shared >= num * (F.col("n") + F.col("n_b") - shared)).select(*pairs.columns)
 
 
 def _possible(num: int, den: int) -> F.Column:
@@ -324,31 +321,36 @@ def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(labels, F.col("label") == F.col("node"), "left").withColumn("label", F.coalesce("component", "label")).select(*rows.columns)
 
 
-def _components(common: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _open_keys(members: DataFrame, turn: int) -> DataFrame:
+    """Keys whose classes lie in several components and haven't all been pivots in earlier turns, with the number m of their classes.
+
+    No class of an open key ever leaves it, so m is the same in all turns.
+    """
+    tally = members.groupBy("key").agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high"))
+    pivots = PIVOTS ** (turn - 1) if turn > 1 else 0
+    return tally.where((F.col("low") < F.col("high")) & (F.col("m") > pivots)).select("key", "m")
+
+
+def _components(common: DataFrame, num: int, den: int) -> DataFrame:
     """(rep, label): the component of each class of common, named by the least rep of it."""
     tested = persisted(_near_pairs(common, num, den), "near_pairs", shuffle=False)
-    near = persisted(_verified(tested, sets, num, den), "near_links", shuffle=False)
+    near = persisted(_verified(tested, common, num, den), "near_links", shuffle=False)
     names = persisted(_relabelled(common.select("rep", F.col("rep").alias("label")), component_labels(near, "a", "b")), "class_labels", shuffle=False)
-    open_names, turn = names, 0
+    shape = "key long, rep long, n int, cap int, before long, upper boolean"
+    entries = persisted(common.mapInArrow(lambda b: _entries(b, num, den), shape), "key_entries", shuffle=False)
+    place, turn = F.shiftrightunsigned(F.xxhash64("rep"), 11) / float(1 << 53), 0
     while True:
         turn += 1
-        labelled = common.join(open_names, "rep")
-        found = persisted(labelled.mapInArrow(lambda b: _key_labels(b, num, den), "key long, label long, m long"), "key_labels", shuffle=False)
-        tally = found.groupBy("key").agg(F.sum("m").alias("m"), F.min("label").alias("low"), F.max("label").alias("high"))
-        mixed = persisted(tally.where("low < high").select("key", "m"), "open_keys", shuffle=False)
-        most = mixed.agg(F.max("m")).first()[0]
-        if most is None or most <= PIVOTS ** (turn - 1) and turn > 1:
+        mixed = persisted(_open_keys(entries.select("key", "rep").join(names, "rep"), turn), "open_keys", shuffle=False)
+        if mixed.first() is None:
             return names
-        touched = found.join(mixed, "key", "left_semi").select("label").distinct()
-        open_names = persisted(open_names.join(touched, "label", "left_semi"), "open_labels", shuffle=False)
-        entries = common.join(open_names, "rep").mapInArrow(lambda b: _entries(b, num, den), "key long, rep long, n int, label long, cap int, before long, upper boolean")
-        place = F.shiftrightunsigned(F.xxhash64("rep"), 11) / float(1 << 53)
-        members = persisted(entries.join(mixed, "key").withColumn("u", place), "open_members", shuffle=False)
+        members = entries.join(mixed, "key").join(names, "rep").withColumn("u", place)
+        members = persisted(members, "open_members", shuffle=False)
         pairs = _pivot_pairs(members, turn, num, den).join(tested, ["a", "b"], "left_anti")
         pairs = persisted(pairs, "candidate_pairs", shuffle=False)
-        links = persisted(_verified(pairs, sets, num, den).select("label_a", "label_b").distinct(), "links", shuffle=False)
-        merged = component_labels(links, "label_a", "label_b")
-        names, open_names = (persisted(_relabelled(x, merged), "class_labels", shuffle=False) for x in (names, open_names))
+        links = persisted(_verified(pairs, common, num, den).select("label_a", "label_b").distinct(), "links", shuffle=False)
+        names = persisted(_relabelled(names, component_labels(links, "label_a", "label_b")), "class_labels", shuffle=False)
+        entries = members.select(*entries.columns)
         tested = tested.unionByName(pairs.select("a", "b"))
 
 
@@ -382,7 +384,7 @@ def similar_documents(
         .groupBy("rep", "n")
         .agg(F.collect_list(F.struct("shingle", "df")).alias("common"))
     )
-    names = _components(persisted(common, "common_shingles", shuffle=False), sets, num, den)
+    names = _components(persisted(_linkable(common, num, den), "common_shingles", shuffle=False), num, den)
     least_of = names.join(kept.select("rep", "least"), "rep").groupBy("label").agg(F.min("least").alias("smallest"))
     named = names.join(least_of, "label").select(F.col("rep").alias("node"), "smallest")
     classes, component_id = classes.join(named, F.col("rep") == F.col("node"), "left"), F.coalesce("smallest", "least")
