@@ -63,6 +63,21 @@ def test_ids_of_odd_texts():
     assert token_files.encodes_by_pieces(path) and not token_files.encodes_by_pieces(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def test_ids_of_latin_words():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, rng = Tokenizer.from_file(path), random.Random(2)
+    signs = [*map(chr, range(0xC0, 0x100)), *"aZ1,!'| \n", "\u0301", "\u0178", "\u00b5"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(20))) for _ in range(3000)]
+    ids, sizes, _ = token_files.token_ids(pa.array(texts), path, end_id=2)
+    for text, n, end in zip(texts, sizes, np.cumsum(sizes), strict=True):
+        assert ids[end - n : end - 1].tolist() == library.encode(text, add_special_tokens=False).ids, text
+    refine = token_files._encoder(path)[2]
+    pieces = textops.spell(pa.array(["\u00c9t\u00e9, \u00e9t\u00e9!"]), refine=refine).distinct
+    assert [p.decode() for p in pieces] == ["\u00e9t\u00e9", ",", "!"]
+
+
 def thue_morse(n):
     """Two words that polynomial hashes modulo a power of two can't tell apart."""
     one = "".join("ab"[bin(i).count("1") % 2] for i in range(n))

@@ -116,9 +116,15 @@ def spell(texts: pa.Array, lower: bool = False, breaks: bytes = WHITE, refine: C
     return Spelled(data, offsets, starts, ends, codes, distinct, np.searchsorted(starts, offsets))
 
 
-def ascii_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Cuts ASCII words without apostrophe and vertical bar into lower-cased runs of letters, single digits and runs of other characters."""
-    kind = _KIND[data]
+def latin_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cuts words of ASCII and of letters from U+00C0 to U+00FF, without apostrophe and vertical bar, into lower-cased runs of letters, single digits and runs of other characters."""
+    kind, lower = _KIND[data], _LOWER[data]
+    # In UTF-8 these letters are 0xC3 and one more byte, in which 0x97 and 0xB7 are signs and small letters are 0x20 above capital ones.
+    lead = np.flatnonzero(data == 0xC3)
+    second = data[lead + 1]
+    letter = (second != 0x97) & (second != 0xB7)
+    kind[lead[letter]] = kind[lead[letter] + 1] = _LETTER
+    lower[lead[letter & (second < 0x9F)] + 1] += 0x20
     sticky = np.concatenate([[0], np.cumsum(kind == _STICKY)])
     plain = sticky[ends] == sticky[starts]
     steps = np.zeros(len(data) + 1, np.int8)
@@ -130,7 +136,7 @@ def ascii_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tupl
     opens[starts], closes[ends - 1] = True, True
     opens[1:] |= cut
     closes[:-1] |= cut
-    return np.flatnonzero(opens), np.flatnonzero(closes) + 1, np.where(inside, _LOWER[data], data)
+    return np.flatnonzero(opens), np.flatnonzero(closes) + 1, np.where(inside, lower, data)
 
 
 def words_of(texts: pa.Array, lower: bool = False, breaks: bytes = WHITE) -> Words:
